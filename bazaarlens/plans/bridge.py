@@ -227,14 +227,18 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as search results: language as category; now and then a page without items or with the URL before it."""
+    """Pages as search results: language as category, now and then a page without items, with the URL before it, or
+    with an item that lost its link."""
     n = F.col("page_id")
     category = F.regexp_extract("url", "/([a-z][a-z])/", 1)
     return table(spark, sf_dir, "pages").select(
         category.alias("category"),
         n.alias("page_no"),
         F.concat(category, F.lit("?page="), F.when(n % 17 == 16, n - 1).otherwise(n)).alias("url"),
-        F.when(n % 41 == 40, F.replace("html", F.lit("<li>"), F.lit("<i>"))).otherwise(F.col("html")).alias("html"),
+        F.when(n % 41 == 40, F.replace("html", F.lit("<li>"), F.lit("<i>")))
+        .when(n % 13 == 12, F.replace("html", F.lit('<a href="/t'), F.lit('<a data="/t')))
+        .otherwise(F.col("html"))
+        .alias("html"),
     )
 
 

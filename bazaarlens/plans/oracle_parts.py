@@ -111,7 +111,8 @@ PAGES = """
 WITH found AS (
   SELECT regexp_extract(url, '/([a-z][a-z])/', 1) AS category, page_id AS page_no,
          CASE WHEN page_id % 17 = 16 THEN page_id - 1 ELSE page_id END AS shown,
-         CASE WHEN page_id % 41 = 40 THEN replace(html, '<li>', '<i>') ELSE html END AS html
+         CASE WHEN page_id % 41 = 40 THEN replace(html, '<li>', '<i>')
+              WHEN page_id % 13 = 12 THEN replace(html, '<a href="/t', '<a data="/t') ELSE html END AS html
   FROM pages
 ),
 cat_pages AS (
@@ -121,5 +122,34 @@ cat_pages AS (
   FROM found
 )
 """
-LINKS = """SELECT category, page_no, unnest(range(CAST(len(hrefs) AS INTEGER))) AS pos, unnest(hrefs) AS href
-  FROM (SELECT category, page_no, regexp_extract_all(html, '<li[^>]*><a href="([^"]*)"', 1) AS hrefs FROM {source})"""
+
+
+def links(source: str) -> str:
+    """Links of pages with their place; null where an item has none."""
+    return f"""SELECT category, page_no, CAST(pos - 1 AS INTEGER) AS pos,
+      nullif(regexp_extract(blocks[pos], '<a\\s[^>]*?href="([^"]*)"', 1), '') AS href
+    FROM (SELECT category, page_no, blocks, unnest(range(1, len(blocks) + 1)) AS pos
+          FROM (SELECT *, regexp_extract_all(html, '(?s)<li[^>]*>.*?</li>') AS blocks FROM {source}))"""
+
+
+# Pages before the first repeated or empty page of their category.
+STOPS = """,
+lagged AS (SELECT *, lag(url) OVER (PARTITION BY category ORDER BY page_no) AS previous_url FROM cat_pages),
+before_repeat AS (
+  SELECT p.* FROM cat_pages p LEFT JOIN
+    (SELECT category, min(page_no) AS stop FROM lagged WHERE url = previous_url GROUP BY category) s USING (category)
+  WHERE stop IS NULL OR page_no < stop
+),
+before_empty AS (
+  SELECT p.* FROM cat_pages p LEFT JOIN
+    (SELECT category, min(page_no) AS stop FROM cat_pages WHERE items = 0 GROUP BY category) s USING (category)
+  WHERE stop IS NULL OR page_no < stop
+)
+"""
+
+
+def first_pages(source: str, count: int = 10) -> str:
+    return (
+        f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY page_no) AS nth FROM {source}) "
+        f"WHERE nth <= {count})"
+    )

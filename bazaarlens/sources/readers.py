@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaarlens.schemas import LISTINGS, MODEL_CSV, SEED
 
@@ -22,9 +23,15 @@ def read_model_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_listings(spark: SparkSession, path: str, site: str) -> DataFrame:
-    """Raw listings as NDJSON. On site B a description reading ``None`` is a missing one."""
-    return fix_missing(spark.read.schema(LISTINGS[site]).json(path), site)
+def read_listings(spark: SparkSession, path: str, site: str, partitioned: bool = False) -> DataFrame:
+    """Raw listings as NDJSON; ``partitioned`` takes ``category`` from the folder names, as text.
+
+    On site B a description reading ``None`` is a missing one.
+    """
+    schema = LISTINGS[site]
+    if partitioned and "category" not in schema.names:
+        schema = T.StructType([*schema.fields, T.StructField("category", T.StringType())])
+    return fix_missing(spark.read.schema(schema).json(path), site)
 
 
 def stream_listings(spark: SparkSession, path: str, site: str, files_per_batch: int | None = None) -> DataFrame:
@@ -41,9 +48,9 @@ def fix_missing(records: DataFrame, site: str) -> DataFrame:
     return records.withColumn("product_desc", F.nullif("product_desc", F.lit("None")))
 
 
-def read_seeds(spark: SparkSession, root: str, levels: int) -> DataFrame:
-    """Category seeds: one JSON object per ``base_url.txt``, a fixed number of folders below the root."""
-    pattern = "/".join([root.rstrip("/"), *["*"] * levels, "base_url.txt"])
+def read_seeds(spark: SparkSession, root: str, levels: int, file_name: str = "base_url.txt") -> DataFrame:
+    """Category seeds: one JSON object per file, a fixed number of folders below the root."""
+    pattern = "/".join([root.rstrip("/"), *["*"] * levels, file_name])
     return spark.read.schema(SEED).option("multiLine", True).json(pattern)
 
 
