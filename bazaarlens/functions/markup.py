@@ -1,22 +1,27 @@
 """Column functions over landed HTML.
 
-Flat nodes are read with patterns, which stay in the JVM. Only nodes that nest need ``nodes_by_class``: a small parser in
-an Arrow batch that cuts out the inner HTML of each wanted node, after which everything is column expressions again.
+Flat nodes are read with patterns, which stay in the JVM. Only nodes that nest need ``nodes_by_class``: a small
+tag scanner over Arrow batches that cuts out the inner HTML of each wanted node; the rest is column expressions again.
 """
 
 from __future__ import annotations
 
+import re
+import sys
 from collections.abc import Mapping
-from html.parser import HTMLParser
-from itertools import accumulate
+from operator import itemgetter
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlens.constants import SITE_A_HOST, SIZE_TAB_WITH_VALUE
 
+# Workers get the scanner below along with the query and need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HREF = r'<a\s[^>]*?href="([^"]*)"'
 
 # --- links -----------------------------------------------------------------------------------------------------------
@@ -97,9 +102,13 @@ def leaf_texts(html: Column, css_class: str) -> Column:
 
 def attr_map(entries: Column) -> Column:
     """Array of (name, value) to a map; the last of several equal names counts, as when filling a dictionary."""
-    names = F.transform(entries, lambda e: e["name"])
-    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["name"]))
-    return F.map_from_arrays(F.transform(last, lambda e: e["name"]), F.transform(last, lambda e: e["value"]))
+    return F.aggregate(
+        entries,
+        F.expr("cast(map() as map<string,string>)"),
+        lambda filled, e: F.map_concat(
+            F.map_filter(filled, lambda name, _: name != e["name"]), F.create_map(e["name"], e["value"])
+        ),
+    )
 
 
 def chosen_option(group: Column, name_class: str, selected_class: str) -> Column:
@@ -125,61 +134,59 @@ def chosen_sized_option(group: Column, tab_class: str, size_class: str, value_cl
 # HTML elements that never have an end tag.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
+_TAG = re.compile(
+    r"<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+    r"""|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<rest>(?:"[^"]*"|'[^']*'|[^'">])*)>""",
+    re.IGNORECASE | re.DOTALL,
+)
+_CLASS = re.compile(r"""\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
-class _NodeCutter(HTMLParser):
-    """Notes where each node carrying a wanted set of class names begins and ends."""
 
-    def __init__(self, page: str, wanted: Mapping[str, frozenset[str]]):
-        super().__init__(convert_charrefs=False)
-        self.page, self.wanted = page, wanted
-        self.line_starts = [0, *accumulate(len(line) + 1 for line in page.split("\n"))]
-        self.open: list[tuple[str, int, list[str]]] = []
-        self.found: dict[str, list[tuple[int, str]]] = {name: [] for name in wanted}
-        self.feed(page)
-        self.close()
-        self._end(0, len(page))
+def cut_nodes(page: str, wanted: Mapping[str, frozenset[str]]) -> dict[str, list[str]]:
+    """Inner HTML of every node that carries all class names of an entry, in page order.
 
-    def _offset(self) -> int:
-        line, column = self.getpos()
-        return self.line_starts[line - 1] + column
-
-    def _end(self, depth: int, stop: int) -> None:
-        while len(self.open) > depth:
-            _, start, names = self.open.pop()
-            for name in names:
-                self.found[name].append((start, self.page[start:stop]))
+    An end tag closes whatever was left open inside its node; nodes never closed run to the end of the page.
+    """
+    found: dict[str, list[tuple[int, str]]] = {name: [] for name in wanted}
+    open_nodes: list[tuple[str, int, list[str]]] = []
 
-    def handle_starttag(self, tag, attrs):
-        classes = set((dict(attrs).get("class") or "").split())
-        names = [name for name, needed in self.wanted.items() if needed <= classes]
-        start = self._offset() + len(self.get_starttag_text())
-        if tag in _VOID:
+    def close(depth: int, stop: int) -> None:
+        while len(open_nodes) > depth:
+            _, start, names = open_nodes.pop()
             for name in names:
-                self.found[name].append((start, ""))
+                found[name].append((start, page[start:stop]))
+
+    for tag in _TAG.finditer(page):
+        if tag["name"] is None:
+            continue
+        element = tag["name"].lower()
+        if tag["end"]:
+            depth = next((d for d in range(len(open_nodes) - 1, -1, -1) if open_nodes[d][0] == element), None)
+            if depth is not None:
+                close(depth, tag.start())
+            continue
+        attribute = _CLASS.search(tag["rest"])
+        classes = set("".join(filter(None, attribute.groups())).split()) if attribute else set()
+        names = [name for name, needed in wanted.items() if needed <= classes] if classes else []
+        if element not in _VOID:
+            open_nodes.append((element, tag.end(), names))
         else:
-            self.open.append((tag, start, names))
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
-                self._end(depth, self._offset())
-                return
+            for name in names:
+                found[name].append((tag.end(), ""))
+    close(0, len(page))
+    return {name: [inner for _, inner in sorted(nodes, key=itemgetter(0))] for name, nodes in found.items()}
 
 
 def nodes_by_class(html: Column, classes: Mapping[str, str]) -> Column:
-    """Struct with, for each name, the inner HTML of all nodes that carry the given class names, in page order."""
+    """Struct with, for each name, the inner HTML of all nodes that carry the given class names, in page order.
+
+    Marked as not deterministic so that a filter on its result never makes Spark cut the page a second time.
+    """
     wanted = {name: frozenset(names.split()) for name, names in classes.items()}
     result = T.StructType([T.StructField(name, T.ArrayType(T.StringType())) for name in wanted])
 
     @F.pandas_udf(result)
     def cut(pages: pd.Series) -> pd.DataFrame:
-        rows = []
-        for page in pages:
-            found = _NodeCutter(page or "", wanted).found
-            rows.append([[inner for _, inner in sorted(found[name])] for name in wanted])
-        return pd.DataFrame(rows, columns=list(wanted))
+        return pd.DataFrame([cut_nodes(page or "", wanted) for page in pages], columns=list(wanted))
 
-    return cut(html)
+    return cut.asNondeterministic()(html)

@@ -188,52 +188,67 @@ def required_only(records: DataFrame, site: str) -> DataFrame:
     return records.dropna(subset=list(REQUIRED[site]))
 
 
+def _cut(pages: DataFrame, keys: tuple[str, ...], css: dict[str, str], names: tuple[str, ...], site: str) -> DataFrame:
+    """The wanted nodes of each page that has all nodes its site's records cannot be without."""
+    nodes = markup.nodes_by_class(F.col("html"), {name: css[name] for name in names})
+    cut = pages.select(*keys, nodes.alias("node"))
+    for name in REQUIRED[site]:
+        cut = cut.where(F.size(F.col("node")[name]) > 0)
+    return cut
+
+
+def _first(name: str) -> Column:
+    return F.get(F.col("node")[name], F.lit(0))
+
+
+def _text(name: str) -> Column:
+    return markup.node_text(_first(name))
+
+
+def _named(options: Column) -> Column:
+    return F.filter(options, lambda option: option["name"].isNotNull())
+
+
 def site_a_records(pages: DataFrame) -> DataFrame:
-    """Landed listing pages ``(url, html)`` of site A to raw listings."""
+    """Landed listing pages ``(url, html)`` of site A to raw listings. Pages without a required field give none."""
+    css = SITE_A_CLASSES
     names = ("product_name", "price", "rating_strip", "shipping_block", "option_group", "product_desc", "shop_info")
-    cut = pages.select("url", markup.nodes_by_class(F.col("html"), {n: SITE_A_CLASSES[n] for n in names}).alias("node"))
-    first = {name: F.get(F.col("node")[name], F.lit(0)) for name in names}
-    attrs = F.transform(
+    options = F.transform(
         F.col("node")["option_group"],
-        lambda g: markup.chosen_option(g, SITE_A_CLASSES["option_name"], SITE_A_CLASSES["option_selected"]),
+        lambda group: markup.chosen_option(group, css["option_name"], css["option_selected"]),
+    )
+    return (
+        _cut(pages, ("url",), css, names, "a")
+        .withColumn("strip", _text("rating_strip"))
+        .select(
+            _text("product_name").alias("product_name"),
+            markup.last_line(_text("shipping_block")).alias("shipping"),
+            _text("shop_info").alias("shop_info"),
+            _text("price").alias("price"),
+            _first("product_desc").alias("product_desc"),
+            *[markup.rating_strip(F.col("strip"))[n].alias(n) for n in ("avg_rating", "num_review", "num_sold")],
+            markup.attr_map(_named(options)).alias("attrs"),
+            "url",
+        )
     )
-    records = cut.select(
-        markup.node_text(first["product_name"]).alias("product_name"),
-        markup.last_line(markup.node_text(first["shipping_block"])).alias("shipping"),
-        markup.node_text(first["shop_info"]).alias("shop_info"),
-        markup.node_text(first["price"]).alias("price"),
-        first["product_desc"].alias("product_desc"),
-        markup.rating_strip(markup.node_text(first["rating_strip"])).alias("strip"),
-        markup.attr_map(F.filter(attrs, lambda a: a["name"].isNotNull())).alias("attrs"),
-        "url",
-    ).select("product_name", "shipping", "shop_info", "price", "product_desc", "strip.*", "attrs", "url")
-    return required_only(records, "a")
 
 
 def site_b_records(pages: DataFrame) -> DataFrame:
-    """Landed listing pages ``(category, url, html)`` of site B to raw listings."""
+    """Landed listing pages ``(category, url, html)`` of site B to raw listings, likewise."""
+    css = SITE_B_CLASSES
     names = (
         "product_name", "brand_name", "num_review", "price", "avg_rating", "option_group", "product_desc", "shop_info",
     )
-    cut = pages.select(
-        "category", "url", markup.nodes_by_class(F.col("html"), {n: SITE_B_CLASSES[n] for n in names}).alias("node")
-    )
-    first = {name: F.get(F.col("node")[name], F.lit(0)) for name in names}
-    attrs = F.transform(
+    options = F.transform(
         F.col("node")["option_group"],
-        lambda g: markup.chosen_sized_option(
-            g, SITE_B_CLASSES["size_tab"], SITE_B_CLASSES["size_value"], SITE_B_CLASSES["option_value"]
-        ),
+        lambda group: markup.chosen_sized_option(group, css["size_tab"], css["size_value"], css["option_value"]),
     )
-    texts = ("product_name", "shop_info", "price", "brand_name", "num_review")
-    records = cut.select(
-        *[markup.node_text(first[name]).alias(name) for name in texts],
-        markup.attr_map(F.filter(attrs, lambda a: a["name"].isNotNull())).alias("attrs"),
-        F.concat(
-            F.lit(f'<div class="{SITE_B_CLASSES["product_desc"]}">'), first["product_desc"], F.lit("</div>")
-        ).alias("product_desc"),
-        markup.node_text(first["avg_rating"]).alias("avg_rating"),
+    description = F.concat(F.lit(f'<div class="{css["product_desc"]}">'), _first("product_desc"), F.lit("</div>"))
+    return _cut(pages, ("category", "url"), css, names, "b").select(
+        *[_text(name).alias(name) for name in ("product_name", "shop_info", "price", "brand_name", "num_review")],
+        markup.attr_map(_named(options)).alias("attrs"),
+        description.alias("product_desc"),
+        _text("avg_rating").alias("avg_rating"),
         "category",
         "url",
     )
-    return required_only(records, "b")
