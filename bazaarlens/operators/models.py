@@ -22,6 +22,7 @@ from pyspark.util import inheritable_thread_target
 from bazaarlens.constants import SPLIT_SEED, SPLIT_WEIGHTS
 from bazaarlens.functions.numbers import price_from_log
 from bazaarlens.operators.features import FEATURES, LABEL, FeatureSpec, feature_stages, prepare
+from bazaarlens.session import written
 
 LOG_PREDICTION = "log_prediction"
 PLAIN_FOREST_TREES = 100
@@ -87,14 +88,11 @@ def fit(
     seed: int = SPLIT_SEED,
     **params,
 ) -> PipelineModel:
-    """Fits features and regressor. Prepared rows are kept (spilling to disk), since every fitted stage reads them."""
+    """Fits features and regressor. Prepared rows are written down first, since every fitted stage reads them."""
     if model_name == "random_forest":
         params.setdefault("numTrees", PLAIN_FOREST_TREES)
-    rows = labelled(train, spec).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return Pipeline(stages=[*feature_stages(spec), regressor(model_name, seed, **params)]).fit(rows)
-    finally:
-        rows.unpersist()
+    rows = written(labelled(train, spec), "fit-rows")
+    return Pipeline(stages=[*feature_stages(spec), regressor(model_name, seed, **params)]).fit(rows)
 
 
 def predict(model: PipelineModel, df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataFrame:
@@ -168,6 +166,23 @@ def _score_grid(
     return [scores[i] for i in range(len(maps))]
 
 
+def _fold_scores(
+    rows: DataFrame, fold: int, spec: FeatureSpec, estimator: Estimator, maps: list[dict], parallelism: int
+) -> list[float]:
+    """r2 of every grid point on one fold, with features fitted on the other folds."""
+    fit_part, check_part = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
+    features = Pipeline(stages=feature_stages(spec)).fit(fit_part)
+    fit_rows, check_rows = (
+        features.transform(part).select(FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+        for part in (fit_part, check_part)
+    )
+    try:
+        return _score_grid(estimator, maps, fit_rows, check_rows, parallelism)
+    finally:
+        fit_rows.unpersist()
+        check_rows.unpersist()
+
+
 def tune(
     train: DataFrame,
     model_name: str = "random_forest",
@@ -188,41 +203,23 @@ def tune(
     estimator = regressor(model_name, seed)
     maps = _param_maps(estimator, grid or GRIDS[model_name])
     rows = labelled(train, spec, keys)
-    rows = rows.withColumn("fold", hash_bucket(keys or rows.columns, folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if fit_features_once:
-            features = Pipeline(stages=feature_stages(spec)).fit(rows)
-            folded = features.transform(rows).select(FEATURES, LABEL, "fold")
-            search = CrossValidator(
-                estimator=estimator,
-                estimatorParamMaps=maps,
-                evaluator=_r2(),
-                numFolds=folds,
-                foldCol="fold",
-                parallelism=parallelism,
-            ).fit(folded)
-            scores, best = list(search.avgMetrics), search.bestModel
-        else:
-            totals = [0.0] * len(maps)
-            for fold in range(folds):
-                fit_part, check_part = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
-                features = Pipeline(stages=feature_stages(spec)).fit(fit_part)
-                fit_rows, check_rows = (
-                    features.transform(part).select(FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
-                    for part in (fit_part, check_part)
-                )
-                try:
-                    fold_scores = _score_grid(estimator, maps, fit_rows, check_rows, parallelism)
-                finally:
-                    fit_rows.unpersist()
-                    check_rows.unpersist()
-                totals = [total + score for total, score in zip(totals, fold_scores, strict=True)]
-            scores = [total / folds for total in totals]
-            features = Pipeline(stages=feature_stages(spec)).fit(rows)
-            best_map = maps[max(range(len(scores)), key=scores.__getitem__)]
-            best = estimator.fit(features.transform(rows).select(FEATURES, LABEL), best_map)
-    finally:
-        rows.unpersist()
+    rows = written(rows.withColumn("fold", hash_bucket(keys or rows.columns, folds, seed)), "tune-rows")
+    features = Pipeline(stages=feature_stages(spec)).fit(rows)
+    if fit_features_once:
+        search = CrossValidator(
+            estimator=estimator,
+            estimatorParamMaps=maps,
+            evaluator=_r2(),
+            numFolds=folds,
+            foldCol="fold",
+            parallelism=parallelism,
+        ).fit(features.transform(rows).select(FEATURES, LABEL, "fold"))
+        scores, best = list(search.avgMetrics), search.bestModel
+    else:
+        by_fold = [_fold_scores(rows, fold, spec, estimator, maps, parallelism) for fold in range(folds)]
+        scores = [sum(point) / folds for point in zip(*by_fold, strict=True)]
+        best_map = maps[max(range(len(scores)), key=scores.__getitem__)]
+        best = estimator.fit(features.transform(rows).select(FEATURES, LABEL), best_map)
     points = tuple({param.name: value for param, value in point.items()} for point in maps)
     return TunedModel(_chain(features, best), points, tuple(scores))
 

@@ -67,7 +67,8 @@ def dotted(n: Column) -> Column:
 
 
 def amount() -> Column:
-    return F.round(F.col("p_retailprice") * 100).cast("bigint") * 37
+    """Price before it is written out: larger sizes cost more."""
+    return F.round(F.col("p_retailprice") * 100).cast("bigint") * (F.col("p_size") + 10)
 
 
 def tier_line(key: Column) -> Column:
@@ -116,8 +117,8 @@ def description() -> Column:
         return F.concat(F.lit("<div>"), value, F.lit("</div>"))
 
     even = F.col("p_partkey") % 2 == 0
-    third = F.when(even, link(F.concat(F.lit("Cỡ "), F.col("p_size")))).otherwise("")
-    path = F.concat(link(F.lit("Shopee")), link(F.col("p_type")), link(F.col("p_brand")), third)
+    third = F.when(even, link(F.concat(F.lit("Cỡ "), F.floor(F.col("p_size") / 10)))).otherwise("")
+    path = F.concat(link(F.lit("Shopee")), link(F.col("p_type")), link(F.substring_index("p_name", " ", -1)), third)
     nation_rows = F.concat(
         row("Xuất Xứ", boxed(F.col("n_name"))), row("Gửi từ", boxed(F.concat(F.lit("Kho "), F.col("n_name"))))
     )

@@ -19,7 +19,7 @@ from bazaarlens.plans import bridge
 from bazaarlens.plans import oracle_parts as o
 from bazaarlens.plans.registry import query
 from bazaarlens.schemas import MODEL_CATEGORIES
-from bazaarlens.session import scratch_path
+from bazaarlens.session import scratch_path, written
 from bazaarlens.sources import artefacts
 
 KEY = ("url",)
@@ -28,9 +28,7 @@ DOCUMENT_TEXT = FeatureSpec(text="text")
 
 def _model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model table, written once: fitting reads it many times, and each read would clean the listings again."""
-    path = scratch_path(spark, "model-rows")
-    bridge.model_rows(spark, sf_dir).write.parquet(path)
-    return spark.read.parquet(path)
+    return written(bridge.model_rows(spark, sf_dir), "model-rows")
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ WITH sales AS (
 ),
 listing AS (
   SELECT p.*, 'https://shopee.vn/i.' || p_partkey AS url, sold, sales, s_suppkey, s_name, n_name, text,
-         CAST(round(p_retailprice * 100) AS BIGINT) * 37 AS amount,
+         CAST(round(p_retailprice * 100) AS BIGINT) * (p_size + 10) AS amount,
          CAST(floor(abs(s_acctbal)) AS BIGINT) AS wealth
   FROM part p
   LEFT JOIN sales ON l_partkey = p_partkey
@@ -78,8 +78,8 @@ MONTHS = """CAST(CASE WHEN s_suppkey % 5 = 0 THEN (s_suppkey % 9 + 1) * 12
                       WHEN s_suppkey % 5 = 3 THEN NULL ELSE 0 END AS INTEGER)"""
 REPLY = "CAST(CAST(s_suppkey % 101 AS FLOAT) AS DOUBLE) / 100"
 RATING = "CASE WHEN p_partkey % 11 <> 0 THEN (p_size % 5) || '.' || (p_partkey % 10) END"
-CATEGORY_2 = "lower(p_type) || ' / ' || lower(p_brand)"
-CATEGORY_3 = f"CASE WHEN p_partkey % 2 = 0 THEN {CATEGORY_2} || ' / cỡ ' || p_size ELSE 'no' END"
+CATEGORY_2 = "lower(p_type) || ' / ' || lower(split_part(p_name, ' ', 2))"
+CATEGORY_3 = f"CASE WHEN p_partkey % 2 = 0 THEN {CATEGORY_2} || ' / cỡ ' || (p_size // 10) ELSE 'no' END"
 NAME = "lower(p_name) || ' ' || lower(p_type)"
 
 # The model table.

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "bazaarlens") -> SparkSession:
@@ -49,3 +49,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, in files of even size.
+
+    For rows that are read many times: whoever reads them again, after a lost executor too, reads the table instead of
+    working them out anew, and small inputs end up in few partitions.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.hint("rebalance").write.parquet(path)
+    return df.sparkSession.read.parquet(path)
