@@ -25,7 +25,7 @@ def rows(spark):
         brand, tier, reviews = i % 3, i % 2, (i * 37) % 100
         price = 10 ** (2 + 0.5 * brand + 0.2 * tier + 0.01 * reviews)
         made.append(
-            (f"u{i}", f"áo brand{brand} {'x ' * (i % 4)}", "aug", f"c{brand}", f"s{i % 2}", "no", str(tier), "4.5",
+            (f"u{i}", f"áo brand{brand} {'x ' * (i % 4)}", "aug", f"c{brand}", f"s{i % 2}", "no" if i % 5 else "deep", str(tier), "4.5",
              str(reviews), None, "10", "0.5", "12", "7", f"{price:.6f}")
         )
     names = ["url", *[f.name for f in __import__("bazaarlens.schemas", fromlist=["x"]).MODEL_CSV.fields]]
@@ -46,7 +46,7 @@ def test_vector_is_text_then_categories_then_numbers(rows):
     row = Pipeline(stages=features.feature_stages(spec)).fit(prepared).transform(prepared).first()
     parts = [row.name_description_features, *[row[f"{n}_onehot"] for n in spec.categories], row.numerics_scaled]
     assert list(row.features.toArray()) == [v for p in parts for v in p.toArray()]
-    assert row.features.size == 500 + 2 + 1 + 0 + 1 + 7
+    assert row.features.size == 500 + 2 + 1 + 1 + 1 + 7
 
 
 def test_scaled_numbers_lie_between_0_and_1_and_constants_in_the_middle(rows):
@@ -60,7 +60,7 @@ def test_omitted_features_are_left_out_and_unknown_ones_refused(rows):
     prepared = features.prepare(rows)
     spec = FeatureSpec(text_method="count-vectorizer").without("shop_like_tier", "num_sold", "name_description")
     row = Pipeline(stages=features.feature_stages(spec)).fit(prepared).transform(prepared).first()
-    assert row.features.size == 2 + 1 + 0 + 6
+    assert row.features.size == 2 + 1 + 1 + 6
     with pytest.raises(ValueError, match="shop_review"):
         FeatureSpec().without("shop_review")
     with pytest.raises(ValueError, match="text method"):
