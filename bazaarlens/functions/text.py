@@ -6,6 +6,7 @@ Text is expected in composed Unicode form (NFC).
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -24,9 +25,23 @@ from bazaarlens.constants import (
 )
 
 
+def _char_class(letters: str) -> str:
+    """Body of a character class, with neighbouring code points as ranges: a class of a few ranges is tested much faster
+    than one of over a hundred single letters."""
+    points = sorted({ord(letter) for letter in letters})
+    runs: list[list[int]] = []
+    for point in points:
+        if runs and point == runs[-1][1] + 1:
+            runs[-1][1] = point
+        else:
+            runs.append([point, point])
+    return "".join(re.escape(chr(low)) if low == high else f"{chr(low)}-{chr(high)}" for low, high in runs)
+
+
 def special_pattern(extra_letters: str = "") -> str:
     """Pattern for a run of characters that are no letter, digit, underscore or space."""
-    return f"[^a-zA-Z0-9_ {VIETNAMESE_LETTERS}{VIETNAMESE_LETTERS.upper()}{extra_letters}]+"
+    letters = VIETNAMESE_LETTERS + VIETNAMESE_LETTERS.upper() + extra_letters
+    return f"[^a-zA-Z0-9_ {_char_class(letters)}]+"
 
 
 SPECIAL = special_pattern()

@@ -23,6 +23,7 @@ from bazaarlens.constants import SPLIT_SEED, SPLIT_WEIGHTS
 from bazaarlens.functions.numbers import price_from_log
 from bazaarlens.operators.features import FEATURES, LABEL, FeatureSpec, feature_stages, prepare
 from bazaarlens.session import written
+from bazaarlens.sources.readers import spread
 
 LOG_PREDICTION = "log_prediction"
 PLAIN_FOREST_TREES = 100
@@ -91,7 +92,7 @@ def fit(
     """Fits features and regressor. Prepared rows are written down first, since every fitted stage reads them."""
     if model_name == "random_forest":
         params.setdefault("numTrees", PLAIN_FOREST_TREES)
-    rows = written(labelled(train, spec), "fit-rows")
+    rows = spread(written(labelled(train, spec), "fit-rows"))
     return Pipeline(stages=[*feature_stages(spec), regressor(model_name, seed, **params)]).fit(rows)
 
 

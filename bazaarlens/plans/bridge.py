@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.constants import PRICE_SIGN, SITE_A_CLASSES, SITE_A_HOST, TIER_BASIC, TIER_PLUS
 from bazaarlens.operators.cleaning import clean_listings, model_table
+from bazaarlens.sources.readers import spread
 
 # Above any supplier key.
 SUPPLIER_ROOM = 10_000_000
@@ -29,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of long texts, which take far more time to work through than to move."""
+    return spread(table(spark, sf_dir, name))
+
+
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part: what it sold, a supplier with its nation, and a text. Parts may lack any of these."""
     sales = (
@@ -42,14 +48,14 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("p_partkey"), "text")
+    descriptions = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("p_partkey"), "text")
     suppliers = table(spark, sf_dir, "supplier").join(nations, "s_nationkey", "left")
     # A part row is small but grows a hundredfold into listing text: spread the rows before, not after.
     parts = table(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism, "p_partkey")
     return (
         parts.join(sales, "p_partkey", "left")
         .join(suppliers, "s_suppkey", "left")
-        .join(texts, "p_partkey", "left")
+        .join(descriptions, "p_partkey", "left")
     )
 
 
@@ -233,7 +239,7 @@ def category_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     with an item that lost its link."""
     n = F.col("page_id")
     category = F.regexp_extract("url", "/([a-z][a-z])/", 1)
-    return table(spark, sf_dir, "pages").select(
+    return texts(spark, sf_dir, "pages").select(
         category.alias("category"),
         n.alias("page_no"),
         F.concat(category, F.lit("?page="), F.when(n % 17 == 16, n - 1).otherwise(n)).alias("url"),

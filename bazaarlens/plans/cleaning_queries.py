@@ -35,7 +35,7 @@ def cl_name(spark, sf_dir):
     )}, ' +', ' ', 'g')) AS product_name FROM documents""",
 )
 def cl_name_documents(spark, sf_dir):
-    documents = bridge.table(spark, sf_dir, "documents")
+    documents = bridge.texts(spark, sf_dir, "documents")
     return documents.select("doc_id", text.product_name(F.col("text")).alias("product_name"))
 
 
@@ -46,7 +46,7 @@ def cl_attrs(spark, sf_dir):
 
 @query("cl_desc", f"SELECT page_id, {o.flattened('html')} AS product_desc FROM pages")
 def cl_desc(spark, sf_dir):
-    pages = bridge.table(spark, sf_dir, "pages").withColumnRenamed("html", "product_desc")
+    pages = bridge.texts(spark, sf_dir, "pages").withColumnRenamed("html", "product_desc")
     return cleaning.clean_desc(pages).select("page_id", "product_desc")
 
 

@@ -36,7 +36,7 @@ def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bridge.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return bridge.texts(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def _fit(rows: DataFrame, stages: list) -> DataFrame:

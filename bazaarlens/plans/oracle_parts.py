@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from bazaarlens.functions.text import special_pattern
+from bazaarlens.constants import VIETNAMESE_LETTERS
 
-# Fixed value: what counts as a special character, quoted for SQL.
-SPECIAL = special_pattern()
+# What counts as a special character, letter by letter.
+SPECIAL = f"[^a-z0-9A-Z_ {VIETNAMESE_LETTERS}{VIETNAMESE_LETTERS.upper()}]+"
 
 # One row per part with its sales, supplier, nation and text.
 LISTING = """

@@ -123,7 +123,7 @@ def pg_shiplast(spark, sf_dir):
     + " FROM pages",
 )
 def pg_fields(spark, sf_dir):
-    found = bridge.table(spark, sf_dir, "pages")
+    found = bridge.texts(spark, sf_dir, "pages")
     columns = markup.fields(F.col("html"), bridge.FIELDS)
     return found.select("page_id", *[column.alias(name) for name, column in columns.items()])
 

@@ -11,6 +11,13 @@ from bazaarlens.schemas import LISTINGS, MODEL_CSV, SEED
 _BLANKS = " \t\r\n"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a plain file scan over all cores when its files split into fewer pieces, as one small or compressed file
+    does. A scan that already has a piece per core stays as it is, without a shuffle."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read_model_csv(spark: SparkSession, path: str) -> DataFrame:
     """Headered CSV of the model table, all text; quoted fields may hold line breaks and doubled quotes."""
     return (
