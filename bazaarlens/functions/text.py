@@ -50,14 +50,15 @@ SPECIAL = special_pattern()
 # (kind, what, replacement); "literal" is plain text, "pattern" a regular expression.
 MARKUP_STEPS = (
     ("literal", " &amp;", ","),
-    ("pattern", r'<svg.*?</svg>|<div>|div|class=|"|<label.*?>|<flex.*?>| href=/', ""),
+    # The lookahead turns most positions away by their first character, before the alternatives are tried.
+    ("pattern", r'(?=[<dc" ])(?:<(?:svg.*?</svg>|div>|label.*?>|flex.*?>)|div|class=|"| href=/)', ""),
     ("literal", "</a>", "-"),
     ("literal", "</label>", ": "),
     ("literal", "< ", "<"),
     ("pattern", r"/.*?>", "/>"),
     ("literal", "<a ", "<"),
     ("literal", "<p ", "<"),
-    ("pattern", r" +", " "),
+    ("pattern", r" {2,}", " "),
     ("literal", "</>", "/"),
     ("pattern", r"<.*?>", ""),
 )
@@ -72,7 +73,7 @@ def product_name(text: Column, extra_letters: str = "") -> Column:
     tier = TIER_BASIC.lower()
     untagged = F.regexp_replace(F.lower(text), rf"{tier}\n|{tier}\+\n", " ")
     unbracketed = F.regexp_replace(untagged, r"\[.*?\]", " ")
-    return F.trim(F.regexp_replace(blank_special(unbracketed, extra_letters), " +", " "))
+    return F.trim(F.regexp_replace(blank_special(unbracketed, extra_letters), " {2,}", " "))
 
 
 def option_text(text: Column, extra_letters: str = "") -> Column:

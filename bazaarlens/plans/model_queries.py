@@ -290,13 +290,26 @@ def md_predict(spark, sf_dir):
     return _fit_and_predict(spark, sf_dir, "lr")
 
 
-@query("md_fit")
+_TRAIN = "('0x' || substr(md5('1000|' || url), 1, 12))::BIGINT % 1000 < 700"
+_KNOWN = " AND ".join(f"{n} IN (SELECT {n} FROM model WHERE {_TRAIN})" for n in MODEL_CATEGORIES)
+
+
+@query(
+    "md_fit",
+    f"""{o.MODEL} SELECT CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS part, count(*) AS rows_in,
+        count(*) FILTER (WHERE price <= 0) AS unlabelled, count(*) FILTER (WHERE NOT ({_KNOWN})) AS dropped_by_index,
+        count(*) FILTER (WHERE {_KNOWN}) AS predicted FROM model GROUP BY 1""",
+)
 def md_fit(spark, sf_dir):
-    """Rows in, rows a fit cannot use, and scores on the test rows."""
+    """Rows a fitted model takes in, cannot use, and gives predictions for."""
     train, test = _split_rows(spark, sf_dir)
     model = models.fit(train, "lr")
-    loss = features.row_loss(features.prepare(train), model)
-    return loss.crossJoin(metrics.evaluate(models.predict(model, test)))
+    parts = []
+    for name, rows in (("train", train), ("test", test)):
+        loss = features.row_loss(features.prepare(rows), model)
+        predicted = models.predict(model, rows).count()
+        parts.append(loss.withColumns({"part": F.lit(name), "predicted": F.lit(predicted).cast("bigint")}))
+    return parts[0].unionByName(parts[1])
 
 
 def _scores(spark: SparkSession, sf_dir: str, model_name: str, **options) -> DataFrame:
@@ -356,14 +369,7 @@ def _reloaded(spark: SparkSession, sf_dir: str, overwrite: bool) -> DataFrame:
     return joined.select("url", (F.col("loaded") == F.col("fitted")).alias("same"))
 
 
-_ALL_SAME = f"""{o.MODEL} SELECT url, true AS same FROM model
-  WHERE ('0x' || substr(md5('1000|' || url), 1, 12))::BIGINT % 1000 >= 700
-  AND first_category IN (SELECT first_category FROM model WHERE {{train}})
-  AND second_category IN (SELECT second_category FROM model WHERE {{train}})
-  AND third_category IN (SELECT third_category FROM model WHERE {{train}})
-  AND shop_like_tier IN (SELECT shop_like_tier FROM model WHERE {{train}})""".replace(
-    "{train}", "('0x' || substr(md5('1000|' || url), 1, 12))::BIGINT % 1000 < 700"
-)
+_ALL_SAME = f"{o.MODEL} SELECT url, true AS same FROM model WHERE NOT ({_TRAIN}) AND {_KNOWN}"
 
 
 @query("snk_model", _ALL_SAME)

@@ -301,8 +301,8 @@ def src_seed(spark, sf_dir):
 def src_urls(spark, sf_dir):
     path = scratch_path(spark, "url-lists")
     urls = bridge.url_list(spark, sf_dir)
-    # One list file per category is the format itself.
-    in_order = urls.repartition("category").sortWithinPartitions("category", "pos").select("category", "url")
+    # By range, so that the lists keep their order over the files and a large one is spread over several.
+    in_order = urls.repartitionByRange("category", "pos").sortWithinPartitions("category", "pos").select("category", "url")
     in_order.write.partitionBy("category").text(path)
     return readers.read_urls(spark, f"{path}/*/*.txt")
 

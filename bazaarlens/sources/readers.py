@@ -68,10 +68,10 @@ def _folder_name(path: Column) -> Column:
 
 
 def read_urls(spark: SparkSession, pattern: str) -> DataFrame:
-    """URL lists, one per category folder, as ``(category, pos, url)`` with the line number as ``pos``.
+    """URL lists, one folder per category, as ``(category, pos, url)`` with the line number as ``pos``.
 
-    A list may be large, so lines are numbered within the blocks its file is read in and each block starts from the
-    line count of those before it.
+    A folder may hold its list in several files, taken in name order. A list may be large, so lines are numbered within
+    the blocks the files are read in, and each block starts from the line count of those before it.
     """
     lines = spark.read.text(pattern).select(
         F.col("_metadata.file_path").alias("__file"),
@@ -80,7 +80,8 @@ def read_urls(spark: SparkSession, pattern: str) -> DataFrame:
         F.btrim("value", F.lit(_BLANKS)).alias("url"),
     )
     sizes = lines.groupBy("__file", "__block").agg(F.count("*").alias("__lines"))
-    ahead = Window.partitionBy("__file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    folder = F.regexp_extract("__file", "^(.*)/", 1)
+    ahead = Window.partitionBy(folder).orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__file", "__block", F.coalesce(F.sum("__lines").over(ahead), F.lit(0)).alias("__start"))
     within = Window.partitionBy("__file", "__block").orderBy("__order")
     return (

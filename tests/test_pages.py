@@ -77,6 +77,13 @@ def test_repeats_are_found_across_blocks(spark, block):
     assert kept == _walk(rows, 10**6)
 
 
+def test_stop_points_are_combined_before_the_shuffle(spark):
+    rows = table(spark, [("c", i, f"u{i}", page("/a")) for i in range(3)]).hint("merge")
+    plan = pages.before_empty(rows, ITEM)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("functions=[min(page_no") < plan.index("functions=[partial_min(page_no")
+    assert "Window" not in plan and "NestedLoop" not in plan
+
+
 def test_first_pages_cut_before_the_shuffle(spark):
     rows = table(spark, [("c", i, f"u{i}", "") for i in range(30)])
     capped = pages.first_pages(rows)

@@ -84,6 +84,22 @@ def test_url_lists_are_numbered_across_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_url_list_in_several_files_is_numbered_in_name_order(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "part-1.txt").write_text("c\nd\n")
+    (tmp_path / "c" / "part-0.txt").write_text("a\nb\n")
+    found = readers.read_urls(spark, f"{tmp_path}/*/*.txt").orderBy("pos").collect()
+    assert [(r.pos, r.url) for r in found] == [(0, "a"), (1, "b"), (2, "c"), (3, "d")]
+
+
+def test_scans_of_one_split_are_spread_and_others_left(spark, sf):
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.read.parquet(f"{sf}/pages.parquet")
+    assert readers.spread(one).rdd.getNumPartitions() == cores
+    many = spark.range(100).repartition(cores + 1)
+    assert readers.spread(many) is many
+
+
 def test_model_csv_is_text_with_quotes_and_line_breaks(spark, tmp_path):
     header = ",".join(MODEL_CSV.names)
     values = ['"áo ""đẹp""\nhai dòng"'] + ["1"] * (len(MODEL_CSV.names) - 1)
