@@ -100,6 +100,21 @@ def leaf_texts(html: Column, css_class: str) -> Column:
     return F.regexp_extract_all(html, F.lit(leaf_pattern(css_class)), F.lit(1))
 
 
+def texts_of_class_only(html: Column, css_class: str) -> Column:
+    """Texts of the leaf nodes that carry this class name and no other."""
+    return F.regexp_extract_all(html, F.lit(rf'<[a-z0-9]+[^>]*\sclass="{css_class}"[^>]*>([^<]*)<'), F.lit(1))
+
+
+def all_leaf_texts(html: Column) -> Column:
+    """Texts of all nodes that hold text and no other node."""
+    return F.regexp_extract_all(html, F.lit(r"<[a-z0-9]+(?:\s[^>]*)?>\s*([^<>]*[^<>\s])\s*</"), F.lit(1))
+
+
+def heading(html: Column) -> Column:
+    """Text of the first small heading, null without one."""
+    return F.nullif(F.regexp_extract(html, r"<h6[^>]*>([^<]*)<", 1), F.lit(""))
+
+
 def attr_map(entries: Column) -> Column:
     """Array of (name, value) to a map; the last of several equal names counts, as when filling a dictionary."""
     return F.aggregate(
@@ -125,8 +140,7 @@ def chosen_sized_option(group: Column, tab_class: str, size_class: str, value_cl
     value = F.when(tab.isNull(), F.get(leaf_texts(group, value_class), F.lit(0))).when(
         F.btrim(tab, F.lit(" \n\t")) == SIZE_TAB_WITH_VALUE, F.get(leaf_texts(group, size_class), F.lit(0))
     )
-    heading = F.nullif(F.regexp_extract(group, r"<h6[^>]*>([^<]*)<", 1), F.lit(""))
-    return F.struct(heading.alias("name"), value.alias("value"))
+    return F.struct(heading(group).alias("name"), value.alias("value"))
 
 
 # --- nested nodes ----------------------------------------------------------------------------------------------------

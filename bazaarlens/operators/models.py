@@ -15,7 +15,7 @@ from pyspark.ml.base import Estimator
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -131,8 +131,6 @@ class TunedModel:
             (i, describe(point), float(score), i == self.best_index)
             for i, (point, score) in enumerate(zip(self.grid, self.scores, strict=True))
         ]
-        from pyspark.sql import SparkSession
-
         return SparkSession.active().createDataFrame(rows, "point int, params string, cv_r2 double, best boolean")
 
 
@@ -163,7 +161,7 @@ def _score_grid(
         return index, evaluator.evaluate(model.transform(check_rows))
 
     with ThreadPool(min(parallelism, len(maps))) as pool:
-        scores = dict(pool.imap_unordered(inheritable_thread_target(score), range(len(maps))))
+        scores = dict(pool.imap_unordered(inheritable_thread_target(fit_rows.sparkSession)(score), range(len(maps))))
     return [scores[i] for i in range(len(maps))]
 
 

@@ -183,6 +183,39 @@ def variants(
     return numbered.withColumn(output, markup.attr_map(chosen)).drop("__groups", "__total")
 
 
+def site_a_options(pages: DataFrame) -> DataFrame:
+    """Landed listing pages of site A to ``(url, groups)``, the input of ``variants``.
+
+    Options to choose are those whose button has no state of its own: the chosen one and sold-out ones do not count.
+    """
+    css = SITE_A_CLASSES
+    nodes = markup.nodes_by_class(F.col("html"), {"option_group": css["option_group"]})
+    groups = F.transform(
+        F.col("node")["option_group"],
+        lambda group: F.struct(
+            F.get(markup.leaf_texts(group, css["option_name"]), F.lit(0)).alias("name"),
+            markup.texts_of_class_only(group, css["option_value"]).alias("options"),
+        ),
+    )
+    return pages.select("url", nodes.alias("node")).select("url", _named(groups).alias("groups"))
+
+
+def site_b_options(pages: DataFrame) -> DataFrame:
+    """Landed listing pages of site B to ``(url, groups)``: every node in the list of an option group is an option."""
+    css = SITE_B_CLASSES
+    names = {"option_group": css["option_group"], "option_values": css["option_values"]}
+    nodes = markup.nodes_by_class(F.col("html"), names)
+    groups = F.zip_with(
+        F.col("node")["option_group"],
+        F.col("node")["option_values"],
+        lambda group, values: F.struct(
+            markup.heading(group).alias("name"), markup.all_leaf_texts(values).alias("options")
+        ),
+    )
+    listed = F.filter(_named(groups), lambda group: group["options"].isNotNull())
+    return pages.select("url", nodes.alias("node")).select("url", listed.alias("groups"))
+
+
 def required_only(records: DataFrame, site: str) -> DataFrame:
     """Drops records that lack a field their site's records cannot be without."""
     return records.dropna(subset=list(REQUIRED[site]))

@@ -204,13 +204,16 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     def lines(text: Column) -> Column:
         return F.concat(F.lit("<div>"), F.replace(_escape(text), F.lit("\n"), F.lit("</div><div>")), F.lit("</div>"))
 
-    def option_group(name: str, value: Column, chosen: Column) -> Column:
-        button = F.concat(
+    def button(value: Column, chosen: Column) -> Column:
+        return F.concat(
             F.lit(f'<button class="{css["option_value"]}'),
             F.when(chosen, " " + css["option_selected"]).otherwise(""),
             F.lit('">'), value, F.lit("</button>"),
         )
-        return node("option_group", F.concat(F.lit(f'<label class="{css["option_name"]}">{name}</label><div>'), button, F.lit("</div>")))
+
+    def option_group(name: str, *buttons: Column) -> Column:
+        label = F.lit(f'<label class="{css["option_name"]}">{name}</label><div>')
+        return node("option_group", F.concat(label, *buttons, F.lit("</div>")))
 
     listing = raw_listings(spark, sf_dir, "p_partkey", "p_name", "p_size")
     key = F.col("p_partkey")
@@ -219,8 +222,12 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("\n", "avg_rating", "num_review", F.lit("Đánh Giá"), "num_sold", F.lit("Đã Bán"), F.lit("?")),
     ).otherwise(F.concat_ws("\n", F.lit("Chưa Có"), F.lit("Đánh Giá"), F.lit("0"), F.coalesce("num_sold", F.lit("0"))))
     options = F.concat(
-        option_group("Màu Sắc", F.substring_index("p_name", " ", 1), key % 3 > 0),
-        option_group("Size", F.col("p_size").cast("string"), F.lit(True)),
+        option_group(
+            "Màu Sắc",
+            button(F.substring_index("p_name", " ", 1), key % 3 > 0),
+            button(F.substring_index("p_name", " ", -1), F.lit(False)),
+        ),
+        option_group("Size", button(F.col("p_size").cast("string"), F.lit(True))),
     )
     body = F.concat(
         node("product_name", lines(F.col("product_name"))),

@@ -179,6 +179,20 @@ def pg_variants(spark, sf_dir):
     return expanded.select("p_partkey", "variant_no", attrs["màu"].alias("color"), attrs["size"].alias("size"))
 
 
+@query(
+    "pg_page_variants",
+    """SELECT 'https://shopee.vn/i.' || p_partkey AS url, CAST(i - 1 AS BIGINT) AS variant_no, colors[i] AS color
+       FROM (SELECT p_partkey, CASE WHEN p_partkey % 3 > 0 THEN string_split(p_name, ' ')[2:2]
+                                    ELSE string_split(p_name, ' ') END AS colors FROM part)
+       CROSS JOIN UNNEST(range(1, len(colors) + 1)) AS a(i)""",
+)
+def pg_page_variants(spark, sf_dir):
+    """Variants of whole listing pages. The only size is chosen already, so its group offers nothing and is left out."""
+    options = pages.site_a_options(bridge.listing_pages(spark, sf_dir))
+    expanded = pages.variants(options, skip_empty_groups=True)
+    return expanded.select("url", "variant_no", F.col("attrs")["Màu Sắc"].alias("color"))
+
+
 @query(
     "pg_required",
     f"""{o.LISTING} SELECT url, p_brand AS brand_name, {o.RATING} AS num_review FROM listing

@@ -146,6 +146,23 @@ def test_saved_models_predict_the_same(spark, rows):
     assert pick(artefacts.load_model(path)) == pick(model)
 
 
+def test_price_model_saves_itself_and_predicts_from_what_it_loads(spark, rows):
+    from bazaarlens.operators.price_model import PriceModel
+
+    path = scratch_path(spark, "t")
+    model = PriceModel("lr", path=path, keys=("url",)).tune(rows, grid=SMALL)
+    assert model.tuned.best_score > 0.9 and model.evaluate(rows).first().r2 > 0.9
+    other = PriceModel("lr", path=path)
+    with pytest.raises(ValueError, match="first"):
+        other.predict(rows)
+    with pytest.raises(ValueError, match="path"):
+        PriceModel("lr").predict(rows, load=True)
+    pick = lambda df: sorted(r.prediction for r in df.collect())
+    assert pick(other.predict(rows, load=True)) == pick(model.predict(rows))
+    model.save(scratch_path(spark, "t"))
+    assert PriceModel("lr", path=path).fit(rows).predict(rows).count() == 300
+
+
 def test_experiments_give_one_row_each_on_their_own_predictions(spark, rows):
     chosen = [e for e in experiments.EXPERIMENTS if e.model == "lr"]
     folder = scratch_path(spark, "t")

@@ -221,6 +221,19 @@ def test_site_b_records(spark):
     assert record.avg_rating is None and record.shop_info is None
 
 
+def test_options_of_both_sites(spark):
+    found = pages.site_a_options(spark.createDataFrame([("u", _site_a_page())], "url string, html string")).first()
+    assert [(g.name, g.options) for g in found.groups] == [("Màu", ["Đỏ"]), ("Size", ["S"])]
+    css = SITE_B_CLASSES
+    html = (
+        f'<div class="{css["option_group"]}"><h6>Màu</h6><div class="{css["option_values"]}">'
+        '<span class="a"><i> Đen </i></span><span>Trắng</span><span></span></div></div>'
+        f'<div class="{css["option_group"]}"><h6>Cỡ</h6><div class="{css["option_values"]}"></div></div>'
+    )
+    found = pages.site_b_options(spark.createDataFrame([("u", html)], "url string, html string")).first()
+    assert [(g.name, g.options) for g in found.groups] == [("Màu", ["Đen", "Trắng"]), ("Cỡ", [])]
+
+
 def test_pages_are_cut_once_even_when_filtered(spark):
     records = pages.site_a_records(spark.createDataFrame([("u", "")], "url string, html string"))
     plan = records.where(F.col("price").isNotNull())._jdf.queryExecution().optimizedPlan().toString()
