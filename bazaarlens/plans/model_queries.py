@@ -5,6 +5,7 @@ Vectors are opened up to plain columns, so that they can be compared.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, StringIndexer, Tokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -80,7 +81,8 @@ def ft_hashtf(spark, sf_dir):
 
 def _vocabulary(spark: SparkSession, model) -> DataFrame:
     """Terms by index. Its length is bounded by the vectorizer's vocabulary size."""
-    return spark.createDataFrame(list(enumerate(model.vocabulary)), "pos int, term string")
+    terms = pd.DataFrame({"pos": range(len(model.vocabulary)), "term": model.vocabulary})
+    return spark.createDataFrame(terms, "pos int, term string")
 
 
 _TERMS = f"{_WORDS}, terms AS (SELECT doc_id, unnest(words) AS term FROM words)"
@@ -109,10 +111,9 @@ def ft_idf(spark, sf_dir):
     words = Tokenizer(inputCol="text", outputCol="words").transform(_documents(spark, sf_dir))
     vectorizer = CountVectorizer(inputCol="words", outputCol="counts").fit(words)
     model = IDF(inputCol="counts", outputCol="weighted", minDocFreq=2).fit(vectorizer.transform(words))
-    weights = [(i, int(n), float(w)) for i, (n, w) in enumerate(zip(model.docFreq, model.idf.toArray(), strict=True))]
-    by_index = spark.createDataFrame(weights, "pos int, doc_freq long, idf double")
-    joined = by_index.join(_vocabulary(spark, vectorizer), "pos")
-    return joined.select("term", "doc_freq", F.round("idf", 9).alias("idf"))
+    weights = pd.DataFrame({"term": vectorizer.vocabulary, "doc_freq": model.docFreq, "idf": model.idf.toArray()})
+    terms = spark.createDataFrame(weights, "term string, doc_freq long, idf double")
+    return terms.withColumn("idf", F.round("idf", 9))
 
 
 @query("ft_tfidf")
