@@ -218,12 +218,12 @@ _URLS = "(SELECT regexp_extract(url, '://([^/]+)', 1) AS category, page_id AS po
 @query(
     "pg_resume",
     f"""SELECT category, pos, url FROM {_URLS} LEFT JOIN
-        (SELECT category, max(pos) AS cursor FROM {_URLS} WHERE pos % 3 = 0 AND url LIKE '%#top' GROUP BY 1)
+        (SELECT category, max(pos) AS cursor FROM {_URLS} WHERE url LIKE '%#top' GROUP BY 1)
         USING (category) WHERE pos >= coalesce(cursor, 0)""",
 )
 def pg_resume(spark, sf_dir):
     urls = bridge.url_list(spark, sf_dir)
-    return progress.resume(urls, urls.where((F.col("pos") % 3 == 0) & F.endswith("url", F.lit("#top"))))
+    return progress.resume(urls, urls.where(F.endswith("url", F.lit("#top"))))
 
 
 @query("pg_done", f"SELECT category, pos, url FROM {_URLS} WHERE category NOT LIKE 'm.%'")
@@ -238,9 +238,9 @@ def pg_stream(spark, sf_dir):
     """Lands the listings in two loads with a run of the stream after each; the second run takes only new files."""
     folder = scratch_path(spark, "stream")
     landing, output, checkpoint = (f"{folder}/{name}" for name in ("landing", "cleaned", "checkpoint"))
-    listings = bridge.raw_listings(spark, sf_dir, "p_partkey")
-    for even in (True, False):
-        load = listings.where((F.col("p_partkey") % 2 == 0) == even).drop("p_partkey")
+    listings = bridge.raw_listings(spark, sf_dir, "p_size")
+    for first in (True, False):
+        load = listings.where((F.col("p_size") <= 25) == first).drop("p_size")
         writers.append_listings(load, landing)
         ingest(spark, landing, output, checkpoint).awaitTermination()
     return spark.read.parquet(output).select(*CLEANED_COLUMNS)
@@ -325,6 +325,7 @@ def src_urls(spark, sf_dir):
 def snk_urls(spark, sf_dir):
     path = scratch_path(spark, "urls")
     urls = bridge.url_list(spark, sf_dir)
-    writers.append_urls(urls.where(F.col("pos") % 2 == 0), path)
-    writers.append_urls(urls.where(F.col("pos") % 2 == 1), path)
+    secure = F.startswith("url", F.lit("https:"))
+    writers.append_urls(urls.where(secure), path)
+    writers.append_urls(urls.where(~secure), path)
     return readers.read_url_table(spark, path)

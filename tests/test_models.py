@@ -56,6 +56,28 @@ def test_scaled_numbers_lie_between_0_and_1_and_constants_in_the_middle(rows):
     assert all(0 <= x <= 1 for v in values for x in v) and all(v[0] == 0.5 for v in values)
 
 
+def test_hashed_weights_follow_the_formula(spark):
+    from pyspark.ml.feature import HashingTF
+
+    texts = ["a b b", "a c", "A d  e", ""]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    weighted = Pipeline(stages=features.text_stages(FeatureSpec(text="text"))).fit(rows).transform(rows)
+    found = {r.i: r.v for r in weighted.select("i", vector_to_array("text_features").alias("v")).collect()}
+    place = HashingTF(numFeatures=500).indexOf
+    counts = []
+    for text in texts:
+        words = text.lower().rstrip().split(" ")
+        mine = {}
+        for word in words:
+            mine[place(word)] = mine.get(place(word), 0) + 1
+        counts.append(mine)
+    for i, mine in enumerate(counts):
+        for index in range(500):
+            seen = sum(index in other for other in counts)
+            weight = math.log((len(texts) + 1) / (seen + 1)) if seen >= 2 else 0.0
+            assert found[i][index] == pytest.approx(mine.get(index, 0) * weight, abs=1e-12)
+
+
 def test_omitted_features_are_left_out_and_unknown_ones_refused(rows):
     prepared = features.prepare(rows)
     spec = FeatureSpec(text_method="count-vectorizer").without("shop_like_tier", "num_sold", "name_description")
