@@ -13,8 +13,8 @@ from bazaarlens.constants import PAGES_PER_CATEGORY, SITE_A_CLASSES, SITE_B_CLAS
 from bazaarlens.functions import markup
 from bazaarlens.schemas import REQUIRED
 
-# Page numbers that share a task when looking for the page before.
-BLOCK = 1000
+# Page numbers that may share a task: some megabytes of keys and URLs, and a short table of blocks even for a huge category.
+BLOCK = 100_000
 
 # --- which pages count -----------------------------------------------------------------------------------------------
 
@@ -87,24 +87,25 @@ def before_repeat(pages: DataFrame, block: int = BLOCK) -> DataFrame:
     return kept.where(F.col("__stop").isNull() | (F.col("page_no") < F.col("__stop"))).drop("__category", "__stop")
 
 
-def first_pages(pages: DataFrame, count: int = PAGES_PER_CATEGORY) -> DataFrame:
+def first_pages(pages: DataFrame, count: int = PAGES_PER_CATEGORY, block: int = BLOCK) -> DataFrame:
     """The first ``count`` pages of each category.
 
     Spark cuts the ranking to ``count`` rows per category before the shuffle as long as ``count`` is at most
-    ``spark.sql.optimizer.windowGroupLimitThreshold``; above it, blocks of page numbers are cut first.
+    ``spark.sql.optimizer.windowGroupLimitThreshold``; above it, ranks are taken within blocks of page numbers and moved
+    up by the pages ahead of the block.
     """
     limit = int(pages.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     order = F.col("page_no")
     if count > limit:
-        per_block = Window.partitionBy("category", F.floor(order / BLOCK)).orderBy(order)
-        sizes = pages.groupBy("category", F.floor(order / BLOCK).alias("__block")).agg(F.count("*").alias("__rows"))
+        per_block = Window.partitionBy("category", F.floor(order / block)).orderBy(order)
+        sizes = pages.groupBy("category", F.floor(order / block).alias("__block")).agg(F.count("*").alias("__rows"))
         ahead = Window.partitionBy("category").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
         offsets = sizes.select(
             F.col("category").alias("__category"),
             F.col("__block").alias("__this"),
             F.coalesce(F.sum("__rows").over(ahead), F.lit(0)).alias("__ahead"),
         )
-        same = F.col("category").eqNullSafe(F.col("__category")) & (F.floor(order / BLOCK) == F.col("__this"))
+        same = F.col("category").eqNullSafe(F.col("__category")) & (F.floor(order / block) == F.col("__this"))
         return (
             pages.withColumn("__rank", F.row_number().over(per_block))
             .join(offsets, same)

@@ -95,7 +95,7 @@ def test_large_caps_agree_with_small_ones(spark):
     rng = random.Random(5)
     rows = table(spark, [(c, n, "u", "") for c in "ab" for n in rng.sample(range(9000), 3000)])
     for count in (1500, 2999, 5000):
-        found = pages.first_pages(rows, count)
+        found = pages.first_pages(rows, count, block=700)
         expected = {
             (c, n)
             for c in "ab"
