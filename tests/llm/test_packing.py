@@ -1,0 +1,94 @@
+"""Packing against whole-text encoding and against best-fit decreasing done piece by piece."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import pytest
+
+from bazaarlens.llm import packing
+
+TEXTS = [
+    None, "", " ", "\n\n", "a  b", "word word, word\nThe\tthing  end ", "  lead", "trail  ", "x" * 300, "nœud été à b",
+    "don't they'll \r\n we\x1cre\x85x", "<|endoftext|> is text", "中文 字符 a1b2 3.14 $$$ ###", "  two   three    four ", "q " * 2000,
+]
+
+
+def plain_ids(text):
+    return packing.encoder(packing.tokenizer_path()).tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+
+
+def naive_best_fit(lengths, most):
+    rooms = []
+    for length in sorted(lengths, reverse=True):
+        fit = [(r, i) for i, r in enumerate(rooms) if r >= length]
+        if fit:
+            rooms[min(fit)[1]] -= length
+        else:
+            rooms.append(most - length)
+    return sorted(rooms)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_runs_equal_piecewise_best_fit(seed):
+    rng = random.Random(seed)
+    most = rng.choice([7, 20, 64, 1024])
+    lengths = [min(most, 1 + int(rng.expovariate(3 / most))) for _ in range(rng.randrange(0, 300))]
+    plan = packing.best_fit({n: lengths.count(n) for n in lengths}, most)
+    filled, ranks = {}, {}
+    for length, rank, pieces, sequence, each, offset in plan:
+        assert rank == ranks.get(length, 0)
+        ranks[length] = rank + pieces
+        for i in range(pieces):
+            key = sequence + i // each
+            assert filled.get(key, 0) == offset + i % each * length
+            filled[key] = filled.get(key, 0) + length
+    assert ranks == {n: lengths.count(n) for n in lengths}
+    assert sorted(most - n for n in filled.values()) == naive_best_fit(lengths, most)
+
+
+def check_packing(docs, packed, most):
+    ids = {}
+    for key, text in docs:
+        ids.setdefault(key, []).append(plain_ids(text))
+    by_sequence = {}
+    for r in packed:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        parts = [x[r["start"] : r["start"] + r["length"]] for x in ids[r["doc_id"]]]
+        assert r["ids_crc32"] in [zlib.crc32(b"".join(i.to_bytes(4, "little") for i in p)) for p in parts]
+        assert r["length"] == most or r["piece"] == 0
+    for places in by_sequence.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= most
+    assert sum(r["length"] for r in packed) == sum(len(x) for xs in ids.values() for x in xs)
+
+
+def test_packed_documents(spark):
+    docs = [*enumerate(TEXTS), (3, TEXTS[3]), (None, "no id"), (4, "another text")]
+    frame = spark.createDataFrame([(k, t, 1.5) for k, t in docs], "doc_id bigint, text string, length double")
+    check_packing(docs, packing.packed_documents(frame, most=64).collect(), 64)
+
+
+def test_whole_sequences(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
+    packed = packing.packed_documents(docs, most=64, with_ids=True)
+    for row in packing.sequence_ids(packed).collect():
+        assert len(row["ids"]) == 4 * row["n_tokens"] <= 4 * 64
+
+
+def test_query(spark, sf):
+    from bazaarlens.llm.queries import op3_best_fit_packing
+
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    packed = op3_best_fit_packing(spark, sf).collect()
+    check_packing(docs, packed, 1024)
+    lengths = [r["length"] for r in packed]
+    assert len({r["sequence_id"] for r in packed}) == len(naive_best_fit(lengths, 1024))
+
+
+def test_no_documents(spark):
+    assert packing.packed_documents(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
