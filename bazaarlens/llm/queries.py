@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bazaarlens.llm import exact_dedup, mixing, near_dup, packing
+from bazaarlens.llm import classifier, exact_dedup, language, line_dedup, mixing, near_dup, packing, pii, quality_rules, warc
 from bazaarlens.llm.base import table
 
 
@@ -23,6 +24,55 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        quality_rules.fails(quality_rules.BASE).alias("base_failed"),
+        (~quality_rules.fails(quality_rules.POLICIES[quality_rules.CURRENT])).alias("kept"),
+    )
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = classifier.train(docs, table(spark, sf_dir, "labels"))
+    return classifier.score(docs, model).select(
+        "doc_id",
+        classifier.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs)
+    found = language.identify(docs, model)
+    return found.select("doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.replace_pii(table(spark, sf_dir, "documents"), key="change me in production")
+    return rows.select("doc_id", "text", "n_entities")
+
+
+def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages carry no time of capture; they get one second each, in the order of their ids."""
+    time = F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce(F.pmod("page_id", F.lit(10**9)), F.lit(0)))
+    captures = warc.capture_histories(table(spark, sf_dir, "pages"), time)
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixing.words_taken(mixed.pieces).select("doc_id", "size", "source_size", "target", "taken")
@@ -32,6 +82,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_language_id": op7_language_id,
+    "op8_pii_surrogates": op8_pii_surrogates,
+    "op9_warc_index": op9_warc_index,
     "op10_mixing": op10_mixing,
 }
 
@@ -43,6 +99,48 @@ ORACLES = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op4_quality_rules": r"""
+        WITH split AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents),
+        windows AS (
+            SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
+            FROM split, unnest(range(1, len(words) - 1)) AS t(i)),
+        again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1),
+        covered AS (
+            SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM again, unnest([0, 1, 2]) AS t(k) GROUP BY doc_id),
+        counted AS (
+            SELECT doc_id, len(words) AS n_words,
+                   CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+                   length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                   len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words,
+                   coalesce(list_max(list_transform(words, lambda x: length(x))), 0) AS longest
+            FROM split LEFT JOIN covered USING (doc_id)),
+        judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+                    OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR longest > 1000) AS kept
+        FROM judged
+    """,
+    "op5_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, coalesce(source, '') AS site, i, string_split(text, chr(10))[i] AS line
+            FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(i)),
+        keyed AS (
+            SELECT *, regexp_matches(line, '[\p{L}\p{N}]') AS counts, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+            FROM lines),
+        shared AS (SELECT key FROM keyed WHERE counts GROUP BY key HAVING count(DISTINCT site) >= 5),
+        judged AS (SELECT *, counts AND key IN (SELECT key FROM shared) AS gone FROM keyed),
+        rest AS (
+            SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS rest,
+                   CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed, count(*) AS n_lines
+            FROM judged GROUP BY doc_id)
+        SELECT doc_id, rest AS text, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
+        FROM documents LEFT JOIN rest USING (doc_id)
+    """,
     # The first source by room for weight that the water level leaves open gives the level.
     "op10_mixing": f"""
         WITH sized AS (SELECT doc_id, source, CAST({_WORDS} AS BIGINT) AS size FROM documents),
