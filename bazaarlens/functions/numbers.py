@@ -29,7 +29,7 @@ def k_number(text: Column, strict: bool = False) -> Column:
     if strict:
         scale = F.when(F.contains(text, F.lit("k")), 1000).otherwise(1)
         amount = F.replace(F.replace(text, F.lit("k"), F.lit("")), F.lit(","), F.lit("."))
-        return (amount.try_cast("decimal(28,6)") * scale).cast("bigint").cast("string")
+        return F.try_multiply(amount.try_cast("decimal(28,6)"), scale).try_cast("bigint").cast("string")
     zeros = F.when(F.contains(text, F.lit(",")), F.lit("00")).otherwise(F.lit("000"))
     return F.replace(F.replace(text, F.lit("k"), zeros), F.lit(","), F.lit(""))
 

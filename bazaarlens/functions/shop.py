@@ -57,7 +57,7 @@ def age_months(panel: Column) -> Column:
     joined = _line_after(panel, PANEL_JOINED)
     amount = F.regexp_extract(joined, r"\d+", 0).try_cast("int")
     return (
-        F.when(F.contains(joined, F.lit(UNIT_YEAR)), amount * 12)
+        F.when(F.contains(joined, F.lit(UNIT_YEAR)), F.try_multiply(amount, F.lit(12)))
         .when(F.contains(joined, F.lit(UNIT_MONTH)), amount)
         .otherwise(0)
     )

@@ -25,6 +25,9 @@ from bazaarlens.schemas import MODEL_CATEGORIES, MODEL_NUMERICS
 LABEL = "log_price"
 FEATURES = "features"
 TEXT_METHODS = ("tf-idf", "count-vectorizer")
+# The largest index a vector has: no word is left out. The vectorizer keeps its words on the driver; for a vocabulary that
+# outgrows it, hash the words instead.
+ALL_WORDS = (1 << 31) - 1
 
 Stage = Estimator | Transformer
 
@@ -71,7 +74,7 @@ def text_stages(spec: FeatureSpec) -> list[Stage]:
     words, counts, output = (f"{spec.text}_{part}" for part in ("words", "counts", "features"))
     tokenizer = Tokenizer(inputCol=spec.text, outputCol=words)
     if spec.text_method == "count-vectorizer":
-        return [tokenizer, CountVectorizer(inputCol=words, outputCol=output)]
+        return [tokenizer, CountVectorizer(inputCol=words, outputCol=output, vocabSize=ALL_WORDS)]
     return [
         tokenizer,
         HashingTF(inputCol=words, outputCol=counts, numFeatures=spec.hash_width),
@@ -120,12 +123,16 @@ def feature_stages(spec: FeatureSpec = FeatureSpec()) -> list[Stage]:
 
 
 def row_loss(prepared: DataFrame, model: PipelineModel) -> DataFrame:
-    """How many rows go in, lack a label, and are dropped by the category index, counted in one pass."""
-    indexer = model.stages[0]
+    """How many rows go in, lack a label, and are dropped by the category index, counted in one pass.
+
+    A copy of the index that keeps all rows gives unknown labels the number behind the last known one.
+    """
+    indexer = model.stages[0].copy()
+    indexer.setHandleInvalid("keep")
     known = F.lit(True)
-    for name, labels in zip(indexer.getInputCols(), indexer.labelsArray, strict=True):
-        known = known & F.coalesce(F.col(name).cast("string").isin(list(labels)), F.lit(False))
-    return prepared.agg(
+    for output, labels in zip(indexer.getOutputCols(), indexer.labelsArray, strict=True):
+        known = known & (F.col(output) < len(labels))
+    return indexer.transform(prepared).agg(
         F.count("*").alias("rows_in"),
         F.count_if(F.col(LABEL).isNull()).alias("unlabelled"),
         F.count_if(~known).alias("dropped_by_index"),

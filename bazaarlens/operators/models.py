@@ -23,10 +23,12 @@ from bazaarlens.constants import SPLIT_SEED, SPLIT_WEIGHTS
 from bazaarlens.functions.numbers import price_from_log
 from bazaarlens.operators.features import FEATURES, LABEL, FeatureSpec, feature_stages, prepare
 from bazaarlens.session import written
-from bazaarlens.sources.readers import spread
 
 LOG_PREDICTION = "log_prediction"
 PLAIN_FOREST_TREES = 100
+# Partitions of the rows a model is fitted on. Trees draw their rows by partition, so the number is part of the model, not of
+# the cluster; raise it for more rows than so many tasks can hold.
+FIT_PARTITIONS = 16
 
 # The grids that are searched.
 GRIDS: dict[str, dict[str, Sequence[float]]] = {
@@ -82,24 +84,33 @@ def labelled(df: DataFrame, spec: FeatureSpec, keys: Sequence[str] = ()) -> Data
     return prepare(df, spec).where(F.col(LABEL).isNotNull()).select(*columns)
 
 
+def laid_out(rows: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """The rows in a layout that follows from their values alone: the same on any cluster."""
+    columns = sorted(rows.columns)
+    return rows.repartition(partitions, F.xxhash64(*columns)).sortWithinPartitions(*columns)
+
+
 def fit(
     train: DataFrame,
     model_name: str = "random_forest",
     spec: FeatureSpec = FeatureSpec(),
     seed: int = SPLIT_SEED,
+    partitions: int = FIT_PARTITIONS,
     **params,
 ) -> PipelineModel:
     """Fits features and regressor. Prepared rows are written down first, since every fitted stage reads them."""
     if model_name == "random_forest":
         params.setdefault("numTrees", PLAIN_FOREST_TREES)
-    rows = spread(written(labelled(train, spec), "fit-rows"))
+    rows = laid_out(written(labelled(train, spec), "fit-rows"), partitions)
     return Pipeline(stages=[*feature_stages(spec), regressor(model_name, seed, **params)]).fit(rows)
 
 
-def predict(model: PipelineModel, df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataFrame:
-    """``(price, log_prediction, prediction)`` for the rows whose categories the model knows."""
+def predict(
+    model: PipelineModel, df: DataFrame, spec: FeatureSpec = FeatureSpec(), keys: Sequence[str] = ()
+) -> DataFrame:
+    """``(price, log_prediction, prediction)``, behind the ``keys``, for the rows whose categories the model knows."""
     scored = model.transform(prepare(df, spec))
-    return scored.select("price", LOG_PREDICTION, price_from_log(F.col(LOG_PREDICTION)).alias("prediction"))
+    return scored.select(*keys, "price", LOG_PREDICTION, price_from_log(F.col(LOG_PREDICTION)).alias("prediction"))
 
 
 # --- tuning ----------------------------------------------------------------------------------------------------------

@@ -12,9 +12,14 @@ from pyspark.sql import functions as F
 from bazaarlens.constants import PAGES_PER_CATEGORY, SITE_A_CLASSES, SITE_B_CLASSES
 from bazaarlens.functions import markup
 from bazaarlens.schemas import REQUIRED
+from bazaarlens.session import written
 
 # Page numbers that may share a task: some megabytes of keys and URLs, and a short table of blocks even for a huge category.
 BLOCK = 100_000
+# Categories whose stop points go to every task: some megabytes.
+MOST_CATEGORIES = 100_000
+# Variant numbers made at once.
+STRETCH = 10_000
 
 # --- which pages count -----------------------------------------------------------------------------------------------
 
@@ -26,20 +31,28 @@ def complete_pages(pages: DataFrame, item_pattern: str, link_pattern: str) -> Da
     )
 
 
+def _small(per_category: DataFrame, name: str) -> DataFrame:
+    """A table of one narrow row per category, written down and marked for broadcast if it is small enough; pages then meet
+    it where they are read. With more categories it is a plain join side."""
+    rows = written(per_category, name)
+    return F.broadcast(rows) if rows.count() <= MOST_CATEGORIES else rows
+
+
+def _before(pages: DataFrame, stops: DataFrame) -> DataFrame:
+    """Pages ahead of their category's stop. A page without a number comes first of all, and is never a stop."""
+    stops = _small(stops.groupBy(F.col("category").alias("__category")).agg(F.min("page_no").alias("__stop")), "stops")
+    kept = pages.join(stops, F.col("category").eqNullSafe(F.col("__category")), "left")
+    ahead = F.col("__stop").isNull() | F.col("page_no").isNull() | (F.col("page_no") < F.col("__stop"))
+    return kept.where(ahead).drop("__category", "__stop")
+
+
 def before_stop(pages: DataFrame, stop: Column) -> DataFrame:
     """Pages of each category before its first page for which ``stop`` holds.
 
-    The stop page is one ``min`` per category, combined before the shuffle, so a large category costs no more than others.
-    The join back is left to the optimiser: it broadcasts the stop points when their measured size allows, and otherwise
-    splits a skewed category.
+    The stop page is one ``min`` per category, combined before the shuffle, so a large category costs no more than others,
+    and page content is never shuffled.
     """
-    stops = (
-        pages.where(stop)
-        .groupBy(F.col("category").alias("__category"))
-        .agg(F.min("page_no").alias("__stop"))
-    )
-    kept = pages.join(stops, F.col("category").eqNullSafe(F.col("__category")), "left")
-    return kept.where(F.col("__stop").isNull() | (F.col("page_no") < F.col("__stop"))).drop("__category", "__stop")
+    return _before(pages, pages.where(stop).select("category", "page_no"))
 
 
 def before_empty(pages: DataFrame, item_pattern: str) -> DataFrame:
@@ -81,39 +94,30 @@ def before_repeat(pages: DataFrame, block: int = BLOCK) -> DataFrame:
     The repeats are found on the keys alone; page content only meets the stop points.
     """
     keys = with_previous_url(pages.select("category", "page_no", "url"), block)
-    repeats = keys.where(F.col("url") == F.col("previous_url"))
-    stops = repeats.groupBy(F.col("category").alias("__category")).agg(F.min("page_no").alias("__stop"))
-    kept = pages.join(stops, F.col("category").eqNullSafe(F.col("__category")), "left")
-    return kept.where(F.col("__stop").isNull() | (F.col("page_no") < F.col("__stop"))).drop("__category", "__stop")
+    return _before(pages, keys.where(F.col("url") == F.col("previous_url")).select("category", "page_no"))
 
 
 def first_pages(pages: DataFrame, count: int = PAGES_PER_CATEGORY, block: int = BLOCK) -> DataFrame:
-    """The first ``count`` pages of each category.
+    """The first ``count`` pages of each category; pages landed more than once under one number count once, and all stay.
 
-    Spark cuts the ranking to ``count`` rows per category before the shuffle as long as ``count`` is at most
-    ``spark.sql.optimizer.windowGroupLimitThreshold``; above it, ranks are taken within blocks of page numbers and moved
-    up by the pages ahead of the block.
+    Numbers are ranked apart from the pages: within blocks, moved up by the numbers ahead of the block. Pages meet the
+    last number kept. A page without a number comes first.
     """
-    limit = int(pages.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    order = F.col("page_no")
-    if count > limit:
-        per_block = Window.partitionBy("category", F.floor(order / block)).orderBy(order)
-        sizes = pages.groupBy("category", F.floor(order / block).alias("__block")).agg(F.count("*").alias("__rows"))
-        ahead = Window.partitionBy("category").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sizes.select(
-            F.col("category").alias("__category"),
-            F.col("__block").alias("__this"),
-            F.coalesce(F.sum("__rows").over(ahead), F.lit(0)).alias("__ahead"),
-        )
-        same = F.col("category").eqNullSafe(F.col("__category")) & (F.floor(order / block) == F.col("__this"))
-        return (
-            pages.withColumn("__rank", F.row_number().over(per_block))
-            .join(offsets, same)
-            .where(F.col("__rank") + F.col("__ahead") <= count)
-            .drop("__rank", "__category", "__this", "__ahead")
-        )
-    ranked = pages.withColumn("__rank", F.row_number().over(Window.partitionBy("category").orderBy(order)))
-    return ranked.where(F.col("__rank") <= count).drop("__rank")
+    numbers = pages.select("category", "page_no").distinct().withColumn("__block", F.floor(F.col("page_no") / block))
+    sizes = numbers.groupBy("category", "__block").agg(F.count("*").alias("__rows"))
+    ahead = Window.partitionBy("category").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        F.col("category").alias("__category"),
+        F.col("__block").alias("__this"),
+        F.coalesce(F.sum("__rows").over(ahead), F.lit(0)).alias("__ahead"),
+    ).where(F.col("__ahead") < count)
+    same = F.col("category").eqNullSafe(F.col("__category")) & F.col("__block").eqNullSafe(F.col("__this"))
+    ranked = numbers.join(offsets, same).withColumn(
+        "__rank", F.row_number().over(Window.partitionBy("__category", "__this").orderBy("page_no")) + F.col("__ahead")
+    )
+    last = ranked.where(F.col("__rank") <= count).groupBy("__category").agg(F.max("page_no").alias("__last"))
+    kept = pages.join(_small(last, "last-pages"), F.col("category").eqNullSafe(F.col("__category")))
+    return kept.where(F.col("page_no").isNull() | (F.col("page_no") <= F.col("__last"))).drop("__category", "__last")
 
 
 # --- URLs ------------------------------------------------------------------------------------------------------------
@@ -133,18 +137,23 @@ def listing_urls(
     site: str,
     item_pattern: str,
     link_pattern: str = markup.HREF,
-    page_count: int = PAGES_PER_CATEGORY,
+    page_count: int | None = None,
 ) -> DataFrame:
     """Category pages to ``(category, page_no, pos, url)`` under the rules of a site.
 
-    Site A stops at a repeated page and skips incomplete pages; site B stops at an empty page.
+    Site A stops at a repeated page and skips incomplete pages; site B stops at an empty page. ``page_count`` keeps only so
+    many pages of each category.
     """
+
+    def capped(visited: DataFrame) -> DataFrame:
+        return visited if page_count is None else first_pages(visited, page_count)
+
     if site == "a":
-        visited = first_pages(before_repeat(pages), page_count)
+        visited = capped(before_repeat(pages))
         found = links(complete_pages(visited, item_pattern, link_pattern), item_pattern)
         url = markup.absolute_from_root(F.col("href"))
     elif site == "b":
-        found = links(first_pages(before_empty(pages, item_pattern), page_count), item_pattern)
+        found = links(capped(before_empty(pages, item_pattern)), item_pattern)
         url = markup.absolute_from_scheme(F.col("href"))
     else:
         raise ValueError(f"unknown site {site!r}")
@@ -160,7 +169,8 @@ def variants(
     """One row per combination of options, the last group changing fastest, numbered by ``variant_no``.
 
     A listing without groups gives one row. A group without options gives none, or is left out with
-    ``skip_empty_groups``. Each row works its options out from its number, so no list of combinations is ever built.
+    ``skip_empty_groups``. Each row works its options out from its number, so no list
+    of combinations is ever built.
     """
     used = F.col(groups)
     if skip_empty_groups:
@@ -169,9 +179,12 @@ def variants(
     sized = listings.withColumn("__groups", used).withColumn(
         "__total", F.aggregate("__groups", F.lit(1).cast("bigint"), lambda n, g: n * F.size(g["options"]))
     )
-    numbered = sized.where(F.col("__total") > 0).withColumn(
-        "variant_no", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__total") - 1))
+    # Numbers come in stretches, so that no row holds all of them.
+    stretched = sized.where(F.col("__total") > 0).withColumn(
+        "__from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__total") - 1, F.lit(STRETCH).cast("bigint")))
     )
+    until = F.least(F.col("__from") + STRETCH, F.col("__total")) - 1
+    numbered = stretched.withColumn("variant_no", F.explode(F.sequence("__from", until))).drop("__from")
 
     def option(group: Column, index: Column) -> Column:
         behind = F.slice(F.col("__groups"), index + 2, F.size("__groups"))

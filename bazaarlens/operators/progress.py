@@ -38,5 +38,6 @@ def unfinished(urls: DataFrame, finished: DataFrame) -> DataFrame:
 
 def distinct_records(records: DataFrame) -> DataFrame:
     """One record per URL and option choice: undoes what a redone URL wrote twice."""
-    keyed = records.withColumn("__attrs", F.to_json("attrs", {"ignoreNullFields": "false"}))
+    choices = F.array_sort(F.map_entries("attrs"))  # whatever the order of the map
+    keyed = records.withColumn("__attrs", F.to_json(choices, {"ignoreNullFields": "false"}))
     return keyed.dropDuplicates(["url", "__attrs"]).drop("__attrs")

@@ -13,9 +13,6 @@ from bazaarlens.constants import PRICE_SIGN, SITE_A_CLASSES, SITE_A_HOST, TIER_B
 from bazaarlens.operators.cleaning import clean_listings, model_table
 from bazaarlens.sources.readers import spread
 
-# Above any supplier key.
-SUPPLIER_ROOM = 10_000_000
-
 # Items and links on the test pages.
 ITEM = r"(?s)<li[^>]*>.*?</li>"
 ITEM_LINK = r'<li[^>]*><a href="'
@@ -44,7 +41,7 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("l_quantity").cast("bigint").alias("sold"),
             F.count("*").alias("sales"),
             # Supplier of the part's first order.
-            (F.min(F.col("l_orderkey") * SUPPLIER_ROOM + F.col("l_suppkey")) % SUPPLIER_ROOM).alias("s_suppkey"),
+            F.min_by("l_suppkey", F.struct("l_orderkey", "l_suppkey")).alias("s_suppkey"),
         )
     )
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
@@ -128,9 +125,9 @@ def description() -> Column:
     nation_rows = F.concat(
         row("Xuất Xứ", boxed(F.col("n_name"))), row("Gửi từ", boxed(F.concat(F.lit("Kho "), F.col("n_name"))))
     )
-    text = F.concat(
-        F.lit('<div class="t">Mô Tả Sản Phẩm</div><div><p class="d">'), _escape(F.col("text")), F.lit("</p></div>")
-    )
+    # A description is read up to its first line end, so a text's lines stand in one.
+    one_line = _escape(F.replace("text", F.lit("\n"), F.lit(" ")))
+    text = F.concat(F.lit('<div class="t">Mô Tả Sản Phẩm</div><div><p class="d">'), one_line, F.lit("</p></div>"))
     return F.concat(
         F.lit("<div>"),
         row("Danh Mục", boxed(path)),

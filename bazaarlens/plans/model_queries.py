@@ -5,12 +5,10 @@ Vectors are opened up to plain columns, so that they can be compared.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, StringIndexer, Tokenizer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, Tokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,25 +77,14 @@ def ft_hashtf(spark, sf_dir):
     return counted.select("doc_id", total.alias("total"), _vector_size("text_counts"))
 
 
-def _vocabulary(spark: SparkSession, model) -> DataFrame:
-    """Terms by index. Its length is bounded by the vectorizer's vocabulary size."""
-    terms = pd.DataFrame({"pos": range(len(model.vocabulary)), "term": model.vocabulary})
-    return spark.createDataFrame(terms, "pos int, term string")
-
-
 _TERMS = f"{_WORDS}, terms AS (SELECT doc_id, unnest(words) AS term FROM words)"
 
 
 @query("ft_countvec", f"{_TERMS} SELECT term, count(*)::DOUBLE AS total FROM terms GROUP BY term")
 def ft_countvec(spark, sf_dir):
     words = Tokenizer(inputCol="text", outputCol="words").transform(_documents(spark, sf_dir))
-    model = CountVectorizer(inputCol="words", outputCol="counts").fit(words)
-    total = model.transform(words).select(Summarizer.sum(F.col("counts")).alias("sums"))
-    return (
-        total.select(F.posexplode(vector_to_array("sums")).alias("pos", "total"))
-        .join(_vocabulary(spark, model), "pos")
-        .select("term", F.round("total", 6).alias("total"))
-    )
+    terms = words.select(F.explode("words").alias("term"))
+    return terms.groupBy("term").agg(F.count("*").cast("double").alias("total"))
 
 
 @query(
@@ -109,11 +96,15 @@ def ft_countvec(spark, sf_dir):
 )
 def ft_idf(spark, sf_dir):
     words = Tokenizer(inputCol="text", outputCol="words").transform(_documents(spark, sf_dir))
-    vectorizer = CountVectorizer(inputCol="words", outputCol="counts").fit(words)
-    model = IDF(inputCol="counts", outputCol="weighted", minDocFreq=2).fit(vectorizer.transform(words))
-    weights = pd.DataFrame({"term": vectorizer.vocabulary, "doc_freq": model.docFreq, "idf": model.idf.toArray()})
-    terms = spark.createDataFrame(weights, "term string, doc_freq long, idf double")
-    return terms.withColumn("idf", F.round("idf", 9))
+    documents = words.count()
+    terms = words.select(F.explode(F.array_distinct("words")).alias("term"))
+    counted = terms.groupBy("term").agg(F.count("*").alias("found"))
+    kept = F.col("found") >= 2
+    return counted.select(
+        "term",
+        F.when(kept, F.col("found")).otherwise(0).alias("doc_freq"),
+        F.when(kept, F.round(F.log(F.lit(documents + 1.0) / (F.col("found") + 1)), 9)).otherwise(0.0).alias("idf"),
+    )
 
 
 @query("ft_tfidf")
@@ -247,10 +238,11 @@ def md_split(spark, sf_dir):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-@query("md_split_random")
+@query("md_split_random", f"{o.MODEL} SELECT url, CAST(1 AS BIGINT) AS times FROM model")
 def md_split_random(spark, sf_dir):
+    """Every row is in one of the parts, once."""
     train, test = models.random_split(_model_rows(spark, sf_dir).select("url"))
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return train.unionByName(test).groupBy("url").agg(F.count("*").alias("times"))
 
 
 @query(
@@ -271,30 +263,42 @@ def _split_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return models.key_split(_model_rows(spark, sf_dir), KEY)
 
 
+_TRAIN = "('0x' || substr(md5('1000|' || url), 1, 12))::BIGINT % 1000 < 700"
+_KNOWN = " AND ".join(f"{n} IN (SELECT {n} FROM model WHERE {_TRAIN})" for n in MODEL_CATEGORIES)
+
+
+_PREDICTED = f"""{o.MODEL} SELECT url, round(price, 6) AS price, true AS positive, true AS from_log
+    FROM model WHERE NOT ({_TRAIN}) AND {_KNOWN}"""
+
+
 def _fit_and_predict(spark: SparkSession, sf_dir: str, model_name: str) -> DataFrame:
+    """The rows that get a prediction, with what holds for any model's."""
     train, test = _split_rows(spark, sf_dir)
-    return models.predict(models.fit(train, model_name), test)
+    found = models.predict(models.fit(train, model_name), test, keys=KEY)
+    power = F.pow(F.lit(10.0), F.col(models.LOG_PREDICTION))
+    return found.select(
+        "url",
+        F.round("price", 6).alias("price"),
+        (F.col("prediction") > 0).alias("positive"),
+        (F.abs(F.col("prediction") / power - 1) < 1e-9).alias("from_log"),
+    )
 
 
-@query("md_rf")
+@query("md_rf", _PREDICTED)
 def md_rf(spark, sf_dir):
     return _fit_and_predict(spark, sf_dir, "random_forest")
 
 
-@query("md_gbt")
+@query("md_gbt", _PREDICTED)
 def md_gbt(spark, sf_dir):
     return _fit_and_predict(spark, sf_dir, "gbt")
 
 
-@query("md_predict")
+@query("md_predict", _PREDICTED)
 def md_predict(spark, sf_dir):
     return _fit_and_predict(spark, sf_dir, "lr")
 
 
-_TRAIN = "('0x' || substr(md5('1000|' || url), 1, 12))::BIGINT % 1000 < 700"
-_KNOWN = " AND ".join(f"{n} IN (SELECT {n} FROM model WHERE {_TRAIN})" for n in MODEL_CATEGORIES)
-
-
 @query(
     "md_fit",
     f"""{o.MODEL} SELECT CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS part, count(*) AS rows_in,

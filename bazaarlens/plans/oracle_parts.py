@@ -11,7 +11,7 @@ SPECIAL = f"[^a-z0-9A-Z_ {VIETNAMESE_LETTERS}{VIETNAMESE_LETTERS.upper()}]+"
 LISTING = """
 WITH sales AS (
   SELECT l_partkey, CAST(sum(l_quantity) AS BIGINT) AS sold, count(*) AS sales,
-         min(l_orderkey * 10000000 + l_suppkey) % 10000000 AS suppkey
+         first(l_suppkey ORDER BY l_orderkey, l_suppkey) AS suppkey
   FROM lineitem GROUP BY l_partkey
 ),
 listing AS (
@@ -45,6 +45,7 @@ def blanked(text: str) -> str:
 
 def flattened(html: str) -> str:
     """Description markup to label/value text, step by step."""
+    # The steps of the cleaning, in order.
     steps = (
         (" &amp;", ","),
         ('<svg.*?</svg>|<div>|div|class=|"|<label.*?>|<flex.*?>| href=/', ""),
@@ -64,10 +65,10 @@ def flattened(html: str) -> str:
     return out
 
 
-# First line of a part's text as it reads inside the flattened description: escaped, flattened, up to the first line end.
+# A part's text as it reads inside the flattened description: in one line, escaped, flattened.
 DESCRIPTION = blanked(
     "CASE WHEN text IS NULL THEN '' ELSE '/' || regexp_extract("
-    + flattened("replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p></div></div>'")
+    + flattened("replace(replace(replace(replace(text, chr(10), ' '), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p></div></div>'")
     + ", '^(.*)', 1) END"
 )
 

@@ -66,7 +66,7 @@ def pg_repeat(spark, sf_dir):
 
 @query(
     "pg_urls_a",
-    f"""{o.PAGES}{o.STOPS}, visited AS (SELECT * FROM {o.first_pages('before_repeat')} WHERE items = links)
+    f"""{o.PAGES}{o.STOPS}, visited AS (SELECT * FROM before_repeat WHERE items = links)
         SELECT category, page_no, pos, 'https://shopee.vn' || href AS url FROM ({o.links('visited')})""",
 )
 def pg_urls_a(spark, sf_dir):
@@ -75,7 +75,7 @@ def pg_urls_a(spark, sf_dir):
 
 @query(
     "pg_urls_b",
-    f"""{o.PAGES}{o.STOPS}, visited AS (SELECT * FROM {o.first_pages('before_empty')})
+    f"""{o.PAGES}{o.STOPS}, visited AS (SELECT * FROM before_empty)
         SELECT category, page_no, pos, 'https://' || substr(href, 3) AS url FROM ({o.links('visited')})""",
 )
 def pg_urls_b(spark, sf_dir):

@@ -77,18 +77,32 @@ def test_repeats_are_found_across_blocks(spark, block):
     assert kept == _walk(rows, 10**6)
 
 
-def test_stop_points_are_combined_before_the_shuffle(spark):
+def test_stop_points_need_no_window(spark):
     rows = table(spark, [("c", i, f"u{i}", page("/a")) for i in range(3)]).hint("merge")
     plan = pages.before_empty(rows, ITEM)._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("functions=[min(page_no") < plan.index("functions=[partial_min(page_no")
     assert "Window" not in plan and "NestedLoop" not in plan
 
 
-def test_first_pages_cut_before_the_shuffle(spark):
-    rows = table(spark, [("c", i, f"u{i}", "") for i in range(30)])
-    capped = pages.first_pages(rows)
-    assert sorted(r.page_no for r in capped.collect()) == list(range(10))
-    assert "WindowGroupLimit" in capped._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("rule", [pages.first_pages, pages.before_repeat, lambda rows: pages.before_empty(rows, ITEM)])
+def test_page_content_is_never_shuffled(spark, rule):
+    """Not even where estimates are too large for a broadcast, as they are on large tables."""
+    rows = [("big", i, f"u{i}", page("/a")) for i in range(300)] + [("small", 1, "u", page("/a"))]
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rule(table(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "BroadcastHashJoin" in plan and "Sort" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_pages_without_a_number_come_first(spark):
+    rows = table(spark, [("c", None, "u0", page("/0")), ("c", 1, "u1", page("/1")), ("c", 2, "u1", ""), ("c", 3, "u3", page("/3")), (None, None, "n", page("/n"))])
+    numbers = lambda df: sorted(((r.category, r.page_no) for r in df.collect()), key=str)
+    expected = [("c", 1), ("c", None), (None, None)]
+    assert numbers(pages.before_repeat(rows)) == numbers(pages.before_empty(rows, ITEM)) == expected
+    for block in (1, 2, 1000):
+        assert numbers(pages.first_pages(rows, 2, block)) == expected
 
 
 def test_large_caps_agree_with_small_ones(spark):
@@ -139,6 +153,12 @@ def test_variant_count_is_the_product_of_group_sizes(spark):
         assert [attrs for _, attrs in mine] == expected
 
 
+def test_variants_beyond_one_stretch(spark):
+    groups = [(f"g{g}", [f"o{o}" for o in range(30)]) for g in range(3)]
+    found = pages.variants(spark.createDataFrame([("u", groups)], GROUPS))
+    assert found.select("variant_no").distinct().count() == found.select("attrs.g0", "attrs.g1", "attrs.g2").distinct().count() == 27_000
+
+
 def test_last_of_equal_option_names_counts(spark):
     entries = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(v).alias("value")) for n, v in (("a", "1"), ("b", "2"), ("a", "3"))])
     assert spark.range(1).select(markup.attr_map(entries).alias("m")).first().m == {"a": "3", "b": "2"}
