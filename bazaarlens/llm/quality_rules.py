@@ -41,6 +41,25 @@ CURRENT = "v2"
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "longest_word")
 
+# Each step takes an array of the one array before: words, window hashes, hashes with places, repeated places, their cover.
+_WINDOWS = (
+    "transform(array(__words), w -> if(size(w) < 4, cast(array() AS array<bigint>),"
+    " transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2]))))"
+)
+# Most texts repeat no window: only the others are sorted.
+_SORTED = (
+    f"transform({_WINDOWS}, h -> if(size(array_distinct(h)) = size(h), cast(array() AS array<struct<h:bigint,i:int>>),"
+    " array_sort(transform(h, (x, i) -> struct(x AS h, i AS i)))))"
+)
+_PLACES = (
+    f"transform({_SORTED}, s -> array_sort(transform(filter(s, (e, i) ->"
+    " (i > 0 AND get(s, i - 1).h = e.h) OR coalesce(get(s, i + 1).h = e.h, false)), e -> e.i)))"
+)
+REPEAT_WORDS = (
+    f"transform({_PLACES}, p -> aggregate(transform(p, (x, i) ->"
+    " least(3, coalesce(get(p, i + 1) - x, 3))), 0L, (a, b) -> a + b))[0]"
+)
+
 
 def _without(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
@@ -51,45 +70,25 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
     For repeated words, the hashes of all three-word windows are sorted with their places; a place counts if the hash
     before or after is the same, and covers its three words or as many as lie before the next such place.
+
+    Steps of that are bound by lambdas rather than columns. A filter on a measurement or on bits is moved below the
+    projections and takes their expressions along; a step that is a column would then be worked out again for every element
+    of the next one.
     """
     value = text_of(text)
     added = docs.drop(*MEASURES).withColumn("__words", F.regexp_extract_all(value, F.lit(WORD), F.lit(0)))
-    added = added.withColumn("n_words", F.size("__words").cast("bigint"))
-    added = added.withColumn(
-        "__windows",
-        F.expr(
-            "if(n_words < 4, array(), transform(sequence(0, size(__words) - 3),"
-            " i -> xxhash64(__words[i], __words[i + 1], __words[i + 2])))"
-        ).cast("array<bigint>"),
-    )
-    # Most texts repeat no window: only the others are sorted.
-    added = added.withColumn(
-        "__sorted",
-        F.expr(
-            "if(size(array_distinct(__windows)) = size(__windows), array(),"
-            " array_sort(transform(__windows, (h, i) -> struct(h as h, i as i))))"
-        ).cast("array<struct<h:bigint,i:int>>"),
-    )
-    added = added.withColumn(
-        "__places",
-        F.expr(
-            "array_sort(transform(filter(__sorted, (e, i) ->"
-            " (i > 0 AND get(__sorted, i - 1).h = e.h) OR coalesce(get(__sorted, i + 1).h = e.h, false)), e -> e.i))"
-        ),
-    )
     added = added.withColumn("__lines", F.filter(F.split(value, "\n"), lambda line: _without(line, SPACES) != ""))
     return added.withColumns(
         {
+            "n_words": F.size("__words").cast("bigint"),
             "word_chars": F.length(_without(value, SPACES)).cast("bigint"),
             "n_symbols": (F.length(value) - F.length(_without(value, SYMBOLS))).cast("bigint"),
             "n_lines": F.size("__lines").cast("bigint"),
             "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint"),
-            "n_repeat_words": F.expr(
-                "aggregate(transform(__places, (p, i) -> least(3, coalesce(get(__places, i + 1) - p, 3))), 0L, (a, b) -> a + b)"
-            ),
+            "n_repeat_words": F.expr(REPEAT_WORDS),
             "longest_word": F.coalesce(F.array_max(F.transform("__words", F.length)), F.lit(0)).cast("bigint"),
         }
-    ).drop("__words", "__windows", "__sorted", "__places", "__lines")
+    ).drop("__words", "__lines")
 
 
 def ledger(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
