@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -152,9 +153,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     """The rows with ``name``, the likelihood of label 1; a column of that name is replaced. Other columns pass through."""
     weights = docs.sparkSession.sparkContext.broadcast(model.weights)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
         held = Model(weights.value)
-        return pd.Series([held.score(t) for t in texts], dtype=float)
+        return pa.array([held.score(t.as_py()) for t in texts], pa.float64())
 
     return docs.withColumn(name, scored(F.col(text)))

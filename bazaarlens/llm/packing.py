@@ -46,10 +46,11 @@ class Encoder(dict):
     character, so the ids of a text are those of its chunks in a row, and frequent chunks are encoded once.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         # The string of a special token in a text is ordinary text.
         self.tokenizer.encode_special_tokens = True
@@ -57,7 +58,7 @@ class Encoder(dict):
     def __missing__(self, chunk: str) -> bytes:
         ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
         found = b"".join([i.to_bytes(4, "little") for i in ids])
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.remembered:
             self.clear()
         if len(chunk) < 64:
             self[chunk] = found
@@ -73,8 +74,8 @@ class Encoder(dict):
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    return Encoder(path, remembered)
 
 
 def cut(total: int, most: int) -> list[tuple[int, int]]:
@@ -92,14 +93,15 @@ def token_pieces(
     end_id: int = END_ID,
     path: str | None = None,
     with_ids: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Documents as pieces of at most ``most`` tokens, the end id included. A null text counts as empty: its piece is the
-    end id alone."""
+    end id alone. A worker remembers the ids of so many chunks of text: some 200 bytes each, and no effect on results."""
     path = path or tokenizer_path()
     end = end_id.to_bytes(4, "little")
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path)
+        encode = encoder(path, remembered)
         for batch in batches:
             rows = []
             for key, value in zip(batch["doc_id"].tolist(), batch["text"].tolist(), strict=True):

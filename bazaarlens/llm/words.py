@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 # Words a worker remembers; beyond that it forgets all and starts anew.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 16
 
 
 class WordHashes(dict):

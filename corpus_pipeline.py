@@ -13,6 +13,8 @@ from bazaarlens.llm.base import saved, small_or_shuffled, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 MOST_BROADCAST = 200_000
+# Workers serve all stages in turn, so packing leaves less behind in them than on its own.
+REMEMBERED = 1 << 16
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences."""
-    return packing.packed_documents(docs)
+    return packing.packed_documents(docs, remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Stage]] = [
