@@ -240,7 +240,8 @@ def pg_stream(spark, sf_dir):
     landing, output, checkpoint = (f"{folder}/{name}" for name in ("landing", "cleaned", "checkpoint"))
     listings = bridge.raw_listings(spark, sf_dir, "p_size")
     for first in (True, False):
-        load = listings.where((F.col("p_size") <= 25) == first).drop("p_size")
+        # A part without a size is in the second load.
+        load = listings.where(F.coalesce(F.col("p_size") <= 25, F.lit(False)) == first).drop("p_size")
         writers.append_listings(load, landing)
         ingest(spark, landing, output, checkpoint).awaitTermination()
     return spark.read.parquet(output).select(*CLEANED_COLUMNS)
