@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import Counter
 from collections.abc import Mapping
 from operator import itemgetter
 
@@ -148,46 +149,64 @@ def chosen_sized_option(group: Column, tab_class: str, size_class: str, value_cl
 # HTML elements that never have an end tag.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
+# Possessive throughout: an attempt that fails ends at the next "<" outside quotes and is never tried in another way.
 _TAG = re.compile(
-    r"<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-    r"""|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<rest>(?:"[^"]*"|'[^']*'|[^'">])*)>""",
-    re.IGNORECASE | re.DOTALL,
+    r"""<!--|<(?P<end>/?)(?P<name>[a-z][^\s/<>]*+)(?P<rest>(?:"[^"]*+"|'[^']*+'|[^'"<>])*+)>""", re.IGNORECASE
 )
+# Ends of what holds no markup.
+_OPAQUE = {
+    "!--": re.compile("-->"),
+    "script": re.compile(r"</script\s*+>", re.IGNORECASE),
+    "style": re.compile(r"</style\s*+>", re.IGNORECASE),
+}
 _CLASS = re.compile(r"""\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
 
 def cut_nodes(page: str, wanted: Mapping[str, frozenset[str]]) -> dict[str, list[str]]:
     """Inner HTML of every node that carries all class names of an entry, in page order.
 
-    An end tag closes whatever was left open inside its node; nodes never closed run to the end of the page.
+    An end tag closes whatever was left open inside its node; nodes never closed run to the end of the page. One forward
+    pass, so that the work grows with the page and with what is returned, whatever the markup.
     """
     found: dict[str, list[tuple[int, str]]] = {name: [] for name in wanted}
     open_nodes: list[tuple[str, int, list[str]]] = []
-
-    def close(depth: int, stop: int) -> None:
-        while len(open_nodes) > depth:
-            _, start, names = open_nodes.pop()
-            for name in names:
-                found[name].append((start, page[start:stop]))
-
-    for tag in _TAG.finditer(page):
-        if tag["name"] is None:
+    open_count: Counter[str] = Counter()
+    endless: set[str] = set()
+    at = 0
+
+    def close(stop: int) -> str:
+        element, start, names = open_nodes.pop()
+        open_count[element] -= 1
+        for name in names:
+            found[name].append((start, page[start:stop]))
+        return element
+
+    while tag := _TAG.search(page, at):
+        at = tag.end()
+        element = "!--" if tag["name"] is None else tag["name"].lower()
+        if element in _OPAQUE and not tag["end"] and element not in endless:
+            if end := _OPAQUE[element].search(page, at):
+                at = end.end()
+                continue
+            endless.add(element)
+        if element == "!--":
             continue
-        element = tag["name"].lower()
         if tag["end"]:
-            depth = next((d for d in range(len(open_nodes) - 1, -1, -1) if open_nodes[d][0] == element), None)
-            if depth is not None:
-                close(depth, tag.start())
+            if open_count[element]:
+                while close(tag.start()) != element:
+                    pass
             continue
         attribute = _CLASS.search(tag["rest"])
         classes = set("".join(filter(None, attribute.groups())).split()) if attribute else set()
         names = [name for name, needed in wanted.items() if needed <= classes] if classes else []
         if element not in _VOID:
-            open_nodes.append((element, tag.end(), names))
+            open_nodes.append((element, at, names))
+            open_count[element] += 1
         else:
             for name in names:
-                found[name].append((tag.end(), ""))
-    close(0, len(page))
+                found[name].append((at, ""))
+    while open_nodes:
+        close(len(page))
     return {name: [inner for _, inner in sorted(nodes, key=itemgetter(0))] for name, nodes in found.items()}
 
 

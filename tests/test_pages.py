@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from itertools import product
 
 import pytest
@@ -182,6 +183,28 @@ def test_nodes_nest_and_survive_bad_markup():
     assert cut("", wanted) == {"x": [], "xy": []}
 
 
+@pytest.mark.parametrize(
+    "hostile",
+    [
+        "<!-- " * 200_000,
+        "<script>" * 100_000,
+        "<b>" * 100_000 + "</i>" * 100_000,
+        "<a" * 300_000,
+        "<a " * 300_000,
+        "<a '\"" * 200_000,
+        "<a" + "b" * 500_000,
+        "</script" + " " * 500_000,
+    ],
+    ids=["comments", "scripts", "stray-ends", "names", "tags", "quotes", "long-name", "spaces"],
+)
+def test_scanner_takes_a_hostile_page_in_one_pass(hostile):
+    """Work that grew with the square of these pages would take minutes."""
+    start = time.process_time()
+    found = markup.cut_nodes('<p class="x">ok</p>' + hostile, {"x": frozenset({"x"})})
+    assert found["x"] == ["ok"]
+    assert time.process_time() - start < 20
+
+
 def test_visible_text(spark):
     html = "<div> a\n b <b>c</b></div><div>d &amp;lt; e</div><br>f"
     assert spark.createDataFrame([(html,)], "h string").select(markup.node_text(F.col("h"))).first()[0] == "a b c\nd &lt; e\nf"
