@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,24 +17,74 @@ NAMES_MALE = ("Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Hugo"
 NAMES_FEMALE = ("Anna", "Berta", "Clara", "Diana", "Elena", "Frida", "Greta", "Hanna", "Irene", "Julia", "Klara", "Laura", "Maria", "Nora", "Olga", "Paula")
 NAMES_ANY = ("Alex", "Billie", "Charlie", "Dominique", "Eden", "Francis", "Gabriel", "Harper", "Jules", "Kim", "Lou", "Marlo", "Noa", "Robin", "Sascha", "Toni")
 SYLLABLES = ("ba", "be", "bo", "da", "de", "do", "fa", "fe", "ga", "go", "ha", "ho", "ka", "ke", "ko", "la", "le", "lo", "ma", "me", "mo", "na", "ne", "no", "pa", "pe", "ra", "ro", "sa", "so", "ta", "to")
-# Letters that stand in for letters of the same script and case.
-ALPHABETS = (
-    "abcdefghijklmnopqrstuvwxyz",
-    "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-    "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿßœ",
-    "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝ",
-    "αβγδεζηθικλμνξοπρστυφχψωάέήίόύώ",
-    "абвгдежзийклмнопрстуфхцчшщъыьэюяё",
-    "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
-    "一二三四五六七八九十山水火木土金天日月人",
-)
-
-_LOCAL = r"\p{L}\p{N}._%+\-"
+# The same of other scripts, by the name of the script.
+NAMES_BY_SCRIPT = {
+    "Cyrillic": (
+        ("Адам", "Борис", "Вадим", "Глеб", "Денис", "Егор", "Захар", "Иван", "Кирилл", "Лев", "Марк", "Никита", "Олег", "Павел", "Роман", "Степан"),
+        ("Анна", "Вера", "Галина", "Дарья", "Елена", "Жанна", "Зоя", "Ирина", "Клара", "Лидия", "Мария", "Нина", "Ольга", "Полина", "Раиса", "София"),
+        ("Валя", "Женя", "Женька", "Вася", "Лера", "Мика", "Мишель", "Никки", "Паша", "Саша", "Сашка", "Слава", "Тоня", "Шура", "Юля", "Яна"),
+    ),
+    "Greek": (
+        ("Αδάμ", "Βασίλης", "Γιάννης", "Δημήτρης", "Ηλίας", "Θωμάς", "Ιάσονας", "Κώστας", "Λουκάς", "Μάρκος", "Νίκος", "Ορέστης", "Παύλος", "Σπύρος", "Τάσος", "Φίλιππος"),
+        ("Άννα", "Βέρα", "Γεωργία", "Δανάη", "Ελένη", "Ζωή", "Ηρώ", "Θάλεια", "Ιωάννα", "Κλειώ", "Λίνα", "Μαρία", "Νεφέλη", "Όλγα", "Ρένα", "Σοφία"),
+        ("Άλεξ", "Αγάπη", "Βιλ", "Γκάμπι", "Ελπίδα", "Κιμ", "Κρις", "Λου", "Μισέλ", "Νίκι", "Νοέλ", "Πατ", "Ρομπέν", "Σάμι", "Τζο", "Τόνι"),
+    ),
+}
+SYLLABLES_BY_SCRIPT = {
+    "Cyrillic": ("ба", "бе", "бо", "да", "де", "до", "фа", "фе", "га", "го", "ха", "хо", "ка", "ке", "ко", "ла", "ле", "ло", "ма", "ме", "мо", "на", "не", "но", "па", "пе", "ра", "ро", "са", "со", "та", "то"),
+    "Greek": ("βα", "βε", "βο", "δα", "δε", "δο", "φα", "φε", "γα", "γο", "χα", "χο", "κα", "κε", "κο", "λα", "λε", "λο", "μα", "με", "μο", "να", "νε", "νο", "πα", "πε", "ρα", "ρο", "σα", "σο", "τα", "το"),
+}
+DIGITS, SMALL, CAPITAL = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Letters that stand in for accented Latin letters of Western languages; both cases in one order.
+ACCENTED = ("àáâãäåçèéêëìíîïñòóôõöøùúûüýÿßœ", "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝŸẞŒ")
+# Scripts by their names in patterns, with the code points that stand in for their small letters, or for all letters
+# and marks of scripts without case.
+CASED = {"Latin": (0x101, 0x17F), "Greek": (0x3AC, 0x3CE), "Cyrillic": (0x430, 0x451), "Armenian": (0x561, 0x586), "Georgian": (0x10D0, 0x10F0)}
+UNCASED = {
+    "Han": (0x4E00, 0x4EFF), "Hangul": (0xAC00, 0xACFF), "Hiragana": (0x3041, 0x3096), "Katakana": (0x30A1, 0x30FA),
+    "Bopomofo": (0x3105, 0x3129), "Arabic": (0x620, 0x65F), "Hebrew": (0x591, 0x5EA), "Syriac": (0x710, 0x74A),
+    "Thaana": (0x780, 0x7B0), "Devanagari": (0x900, 0x963), "Bengali": (0x981, 0x9E3), "Gurmukhi": (0xA01, 0xA74),
+    "Gujarati": (0xA81, 0xAE3), "Oriya": (0xB01, 0xB63), "Tamil": (0xB82, 0xBD7), "Telugu": (0xC01, 0xC63),
+    "Kannada": (0xC82, 0xCE3), "Malayalam": (0xD02, 0xD63), "Sinhala": (0xD82, 0xDF3), "Thai": (0xE01, 0xE4E),
+    "Lao": (0xE81, 0xECD), "Tibetan": (0xF40, 0xFBC), "Myanmar": (0x1000, 0x103E), "Ethiopic": (0x1200, 0x12FF),
+    "Khmer": (0x1780, 0x17D3), "Mongolian": (0x1820, 0x1877),
+}
+
+
+def _characters(first: int, last: int, kinds: str) -> str:
+    return "".join(c for c in map(chr, range(first, last + 1)) if unicodedata.category(c)[0] in kinds)
+
+
+def _pairs(first: int, last: int) -> str:
+    """Small letters that are one letter in capitals too, so that both cases of an entity stay forms of one surrogate."""
+    return "".join(c for c in map(chr, range(first, last + 1)) if c.islower() and len(c.upper()) == 1 and c.upper().lower() == c)
+
+
+def _alphabets() -> list[tuple[str, str]]:
+    """Patterns of characters beyond ASCII with the characters that stand in for them. The last five leave none out that
+    ``PATTERN`` takes into an email: they are for scripts not listed above, and no character stands for itself there."""
+    found = []
+    for script, ends in CASED.items():
+        small = _pairs(*ends)
+        found += [(rf"[\p{{Is{script}}}&&\p{{Lu}}\p{{Lt}}]", small.upper()), (rf"[\p{{Is{script}}}&&\p{{L}}]", small)]
+    for script, ends in UNCASED.items():
+        found.append((rf"[\p{{Is{script}}}&&\p{{L}}]", _characters(*ends, "L")))
+        if marks := _characters(*ends, "M"):
+            found.append((rf"[\p{{Is{script}}}&&\p{{M}}]", marks))
+    zeros = [n for n in range(0x80, 0x20000) if unicodedata.decimal(chr(n), -1) == 0]
+    found += [(f"[{chr(n)}-{chr(n + 9)}]", "".join(map(chr, range(n, n + 10)))) for n in zeros]
+    rest = [(r"[\p{Lu}\p{Lt}]", CAPITAL), (r"[\x{300}-\x{307}]", _characters(0x308, 0x30C, "M")), (r"\p{M}", _characters(0x300, 0x307, "M"))]
+    return [*found, *rest, (r"\p{N}", DIGITS), (r"\p{L}", SMALL)]
+
+
+# Vowel signs and joiners are part of words in many scripts.
+_WORD = r"\p{L}\p{M}\p{N}\x{200C}\x{200D}"
+_LOCAL = _WORD + r"._%+\-"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE = "(?:" + "|".join(TITLES_MALE + TITLES_FEMALE + TITLES_ANY) + ")"
 PATTERN = "|".join(
     [
-        rf"(?<![{_LOCAL}])[{_LOCAL}]++@[\p{{L}}\p{{N}}\-]++(?:\.[\p{{L}}\p{{N}}\-]++)+",
+        rf"(?<![{_LOCAL}])[{_LOCAL}]++@[{_WORD}\-]++(?:\.[{_WORD}\-]++)+",
         rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
         r"(?<![\d+])(?:\+\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)",
         r"(?<![\d+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,4}(?!\d)",
@@ -64,7 +116,7 @@ def canonical(value: Column) -> Column:
     )
 
 
-def _number(digest: Column, at: Column | int, below: int) -> Column:
+def _number(digest: Column, at: Column | int, below: Column | int) -> Column:
     """A number below ``below`` from the two hex digits at a place of the digest, of 64 places."""
     at = F.lit(at) if isinstance(at, int) else at
     return F.conv(F.substring(digest, F.pmod(at, F.lit(64)) * 2 + 1, F.lit(2)), 16, 10).cast("int") % below
@@ -74,16 +126,25 @@ def _of(values: tuple[str, ...], digest: Column, at: int) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), _number(digest, at, len(values)) + 1)
 
 
+def _stand_ins(c: Column) -> Column:
+    """The characters of which one takes the place of ``c``: of its script and case; null for signs, which stay."""
+    out = F.when(c.between("a", "z"), F.lit(SMALL)).when(c.between("0", "9"), F.lit(DIGITS)).when(c.between("A", "Z"), F.lit(CAPITAL))
+    out = out.when(c < "\x80", F.lit(None).cast("string"))
+    for letters in ACCENTED:
+        out = out.when(F.contains(F.lit(letters), c), F.lit(letters))
+    for pattern, letters in _alphabets():
+        out = out.when(c.rlike(pattern), F.lit(letters))
+    return out
+
+
 def _letters(text: Column, digest: Column) -> Column:
-    """Each letter and digit becomes another of its script and case; all else stays."""
+    """Each letter, mark and digit is exchanged for one of its script and case; all else stays."""
+    characters = F.transform(F.split(text, ""), lambda c: F.struct(c.alias("c"), _stand_ins(c).alias("of")))
 
-    def other(c: Column, i: Column) -> Column:
-        out = F.when(c.between("0", "9"), _number(digest, i, 10).cast("string"))
-        for letters in ALPHABETS:
-            out = out.when(F.contains(F.lit(letters), c), F.substring(F.lit(letters), _number(digest, i, len(letters)) + 1, F.lit(1)))
-        return out.otherwise(c)
+    def other(e: Column, i: Column) -> Column:
+        return F.coalesce(F.substring(e["of"], _number(digest, i, F.length(e["of"])) + 1, F.lit(1)), e["c"])
 
-    return F.concat_ws("", F.transform(F.split(text, ""), other))
+    return F.concat_ws("", F.transform(characters, other))
 
 
 def _digits(value: Column, digest: Column) -> Column:
@@ -116,7 +177,8 @@ def _surrogate(e: Column) -> Column:
     """The replacement of a keyed entity; forms of one entity get forms of one surrogate.
 
     Emails keep the shape of their names under ``example``; persons keep their title and get a given name of its gender
-    and a surname of syllables, each from the name it replaces alone, so ``Mr. Paul Klee`` and ``Mr. Klee`` stay one family.
+    and a surname of syllables, each of the script of the name it replaces and from it alone, so ``Mr. Paul Klee`` and
+    ``Mr. Klee`` stay one family. Names beyond Latin, Cyrillic and Greek script are exchanged letter by letter.
     """
     value, of, d1, d2 = e["value"], e["kind"], e["d1"], e["d2"]
     domain = F.substring_index(value, "@", -1)
@@ -128,9 +190,22 @@ def _surrogate(e: Column) -> Column:
     hexadecimal = F.substring(d1, F.lit(1), F.length(value))
     words = F.split(value, " ")
     title = F.regexp_replace(F.get(words, 0), r"\.$", "")
-    given = F.when(title.isin(*TITLES_MALE), _of(NAMES_MALE, d2, 0)).when(title.isin(*TITLES_FEMALE), _of(NAMES_FEMALE, d2, 0))
-    given = F.when(F.size(words) > 2, given.otherwise(_of(NAMES_ANY, d2, 0)))
-    surname = F.initcap(F.concat(*[_of(SYLLABLES, d1, i) for i in range(4)]))
+
+    def given_of(male: tuple[str, ...], female: tuple[str, ...], either: tuple[str, ...]) -> Column:
+        names = F.when(title.isin(*TITLES_MALE), _of(male, d2, 0)).when(title.isin(*TITLES_FEMALE), _of(female, d2, 0))
+        return names.otherwise(_of(either, d2, 0))
+
+    def surname_of(syllables: tuple[str, ...]) -> Column:
+        return F.initcap(F.concat(*[_of(syllables, d1, i) for i in range(4)]))
+
+    old_given, old_surname = F.get(words, 1), F.element_at(words, -1)
+    given = F.when(old_given.rlike(r"^\p{IsLatin}"), given_of(NAMES_MALE, NAMES_FEMALE, NAMES_ANY))
+    surname = F.when(old_surname.rlike(r"^\p{IsLatin}"), surname_of(SYLLABLES))
+    for script, names in NAMES_BY_SCRIPT.items():
+        given = given.when(old_given.rlike(rf"^\p{{Is{script}}}"), given_of(*names))
+        surname = surname.when(old_surname.rlike(rf"^\p{{Is{script}}}"), surname_of(SYLLABLES_BY_SCRIPT[script]))
+    given = F.when(F.size(words) > 2, given.otherwise(_letters(old_given, d2)))
+    surname = surname.otherwise(_letters(old_surname, d1))
     return (
         F.when(of == "email", email)
         .when(of == "address", F.concat_ws(".", *octets))
