@@ -116,6 +116,17 @@ def ft_tfidf(spark, sf_dir):
 # --- category and number features ------------------------------------------------------------------------------------
 
 
+def _onehot_entries(spark: SparkSession, sf_dir: str, shown: tuple[str, ...]) -> DataFrame:
+    """The entries above zero of the encoded categories."""
+    spec = FeatureSpec()
+    encoded = _fit(_prepared(spark, sf_dir), [features.index_stage(spec), features.onehot_stage(spec)])
+    vectors = F.explode(
+        F.array(*[F.struct(F.lit(n).alias("feature"), vector_to_array(f"{n}_onehot").alias("v")) for n in shown])
+    )
+    opened = encoded.select("url", vectors.alias("e")).select("url", "e.feature", F.posexplode("e.v").alias("pos", "value"))
+    return opened.where(F.col("value") > 0)
+
+
 def _ranked(name: str) -> str:
     return f"""rank_{name} AS (SELECT {name}, row_number() OVER (ORDER BY count(*) DESC, {name}) - 1 AS idx,
         count(*) OVER () AS labels FROM model GROUP BY {name})"""
@@ -145,14 +156,17 @@ def ft_index(spark, sf_dir):
         FROM model {_RANK_JOINS} WHERE rank_shop_like_tier.idx < rank_shop_like_tier.labels - 1""",
 )
 def ft_onehot(spark, sf_dir):
-    spec = FeatureSpec()
-    encoded = _fit(_prepared(spark, sf_dir), [features.index_stage(spec), features.onehot_stage(spec)])
-    shown = ("first_category", "second_category", "shop_like_tier")
-    vectors = F.explode(
-        F.array(*[F.struct(F.lit(n).alias("feature"), vector_to_array(f"{n}_onehot").alias("v")) for n in shown])
-    )
-    opened = encoded.select("url", vectors.alias("e")).select("url", "e.feature", F.posexplode("e.v").alias("pos", "value"))
-    return opened.where(F.col("value") > 0)
+    return _onehot_entries(spark, sf_dir, ("first_category", "second_category", "shop_like_tier"))
+
+
+@query(
+    "ft_onehot_third",
+    f"""{_RANKS} SELECT url, 'third_category' AS feature, rank_third_category.idx::INTEGER AS pos, 1.0::DOUBLE AS value
+        FROM model {_RANK_JOINS} WHERE rank_third_category.idx < rank_third_category.labels - 1""",
+)
+def ft_onehot_third(spark, sf_dir):
+    """What the SQL of ft_onehot leaves out; the two together are all categories."""
+    return _onehot_entries(spark, sf_dir, ("third_category",))
 
 
 @query(

@@ -44,3 +44,10 @@ def test_inventory_is_covered():
     ev_rmse ev_r2 ev_rmsle ex_suite
     """.split()
     assert set(inventory) <= set(QUERIES)
+
+
+def test_onehot_queries_show_every_category(spark, sf):
+    from bazaarlens.schemas import MODEL_CATEGORIES
+
+    shown = {r.feature for name in ("ft_onehot", "ft_onehot_third") for r in QUERIES[name](spark, sf).select("feature").distinct().collect()}
+    assert shown == set(MODEL_CATEGORIES)
