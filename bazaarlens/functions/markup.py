@@ -223,3 +223,18 @@ def nodes_by_class(html: Column, classes: Mapping[str, str]) -> Column:
         return pd.DataFrame([cut_nodes(page or "", wanted) for page in pages], columns=list(wanted))
 
     return cut.asNondeterministic()(html)
+
+
+def nested_nodes(html: Column, outer: str, inner: str) -> Column:
+    """For all nodes that carry the class names of ``outer``, in page order: ``node``, the inner HTML, and ``inner``, that
+    of the nodes inside it which carry the class names of ``inner``. Not deterministic, as ``nodes_by_class``."""
+    around, within = {"node": frozenset(outer.split())}, {"inner": frozenset(inner.split())}
+
+    @F.pandas_udf("array<struct<node:string, inner:array<string>>>")
+    def cut(pages: pd.Series) -> pd.Series:
+        def nested(page: str | None) -> list[dict]:
+            return [{"node": node, **cut_nodes(node, within)} for node in cut_nodes(page or "", around)["node"]]
+
+        return pages.map(nested)
+
+    return cut.asNondeterministic()(html)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.constants import PAGES_PER_CATEGORY, SITE_A_CLASSES, SITE_B_CLASSES
+from bazaarlens.constants import PAGES_PER_CATEGORY, SITE_A_CLASSES, SITE_B_CLASSES, SIZE_TAB_WITH_VALUE
 from bazaarlens.functions import markup
 from bazaarlens.schemas import REQUIRED
 from bazaarlens.session import written
@@ -164,13 +164,18 @@ def listing_urls(
 
 
 def variants(
-    listings: DataFrame, groups: str = "groups", skip_empty_groups: bool = False, output: str = "attrs"
+    listings: DataFrame,
+    groups: str = "groups",
+    skip_empty_groups: bool = False,
+    output: str = "attrs",
+    chosen: str | None = None,
 ) -> DataFrame:
     """One row per combination of options, the last group changing fastest, numbered by ``variant_no``.
 
     A listing without groups gives one row. A group without options gives none, or is left out with
     ``skip_empty_groups``. Each row works its options out from its number, so no list
-    of combinations is ever built.
+    of combinations is ever built. ``chosen`` names a map of what the page shows as chosen: each variant starts from it,
+    so groups that offer nothing keep their value.
     """
     used = F.col(groups)
     if skip_empty_groups:
@@ -193,41 +198,59 @@ def variants(
         place = (F.floor(F.col("variant_no") / stride) % count).cast("int")
         return F.struct(group["name"].alias("name"), F.get(group["options"], place).alias("value"))
 
-    chosen = F.transform("__groups", option)
-    return numbered.withColumn(output, markup.attr_map(chosen)).drop("__groups", "__total")
+    taken = F.transform("__groups", option)
+    if chosen is not None:
+        shown = F.coalesce(F.map_entries(chosen), F.expr("cast(array() as array<struct<key:string, value:string>>)"))
+        named = F.transform(shown, lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value")))
+        taken = F.concat(named, taken)
+    return numbered.withColumn(output, markup.attr_map(taken)).drop("__groups", "__total")
 
 
 def site_a_options(pages: DataFrame) -> DataFrame:
-    """Landed listing pages of site A to ``(url, groups)``, the input of ``variants``.
+    """Landed listing pages of site A to ``(url, groups, chosen)``, the input of ``variants``.
 
     Options to choose are those whose button has no state of its own: the chosen one and sold-out ones do not count.
+    ``chosen`` is the map of all groups as the page shows them.
     """
     css = SITE_A_CLASSES
     nodes = markup.nodes_by_class(F.col("html"), {"option_group": css["option_group"]})
+    found = F.col("node")["option_group"]
     groups = F.transform(
-        F.col("node")["option_group"],
+        found,
         lambda group: F.struct(
             F.get(markup.leaf_texts(group, css["option_name"]), F.lit(0)).alias("name"),
             markup.texts_of_class_only(group, css["option_value"]).alias("options"),
         ),
     )
-    return pages.select("url", nodes.alias("node")).select("url", _named(groups).alias("groups"))
+    return pages.select("url", nodes.alias("node")).select(
+        "url", _named(groups).alias("groups"), _chosen_a(found).alias("chosen")
+    )
 
 
 def site_b_options(pages: DataFrame) -> DataFrame:
-    """Landed listing pages of site B to ``(url, groups)``: every node in the list of an option group is an option."""
+    """Landed listing pages of site B to ``(url, groups, chosen)``: every node in the list of an option group is an option.
+
+    Lists are cut inside their own group; a group without one offers no choice and is only in ``chosen``. Sizes on
+    another tab than the international one have no value, as in records, but still count as options.
+    """
     css = SITE_B_CLASSES
-    names = {"option_group": css["option_group"], "option_values": css["option_values"]}
-    nodes = markup.nodes_by_class(F.col("html"), names)
-    groups = F.zip_with(
-        F.col("node")["option_group"],
-        F.col("node")["option_values"],
-        lambda group, values: F.struct(
-            markup.heading(group).alias("name"), markup.all_leaf_texts(values).alias("options")
-        ),
+    nested = markup.nested_nodes(F.col("html"), css["option_group"], css["option_values"])
+
+    def listed(group: Column) -> Column:
+        tab = F.get(markup.leaf_texts(group["node"], css["size_tab"]), F.lit(0))
+        hidden = tab.isNotNull() & (F.btrim(tab, F.lit(" \n\t")) != SIZE_TAB_WITH_VALUE)
+
+        def offered(values: Column) -> Column:
+            return F.transform(markup.all_leaf_texts(values), lambda option: F.when(~hidden, option))
+
+        name = markup.heading(group["node"])
+        return F.transform(group["inner"], lambda values: F.struct(name.alias("name"), offered(values).alias("options")))
+
+    return pages.select("url", nested.alias("node")).select(
+        "url",
+        _named(F.flatten(F.transform("node", listed))).alias("groups"),
+        _chosen_b(F.transform("node", lambda group: group["node"])).alias("chosen"),
     )
-    listed = F.filter(_named(groups), lambda group: group["options"].isNotNull())
-    return pages.select("url", nodes.alias("node")).select("url", listed.alias("groups"))
 
 
 def required_only(records: DataFrame, site: str) -> DataFrame:
@@ -256,14 +279,24 @@ def _named(options: Column) -> Column:
     return F.filter(options, lambda option: option["name"].isNotNull())
 
 
+def _chosen_a(groups: Column) -> Column:
+    css = SITE_A_CLASSES
+    options = F.transform(groups, lambda group: markup.chosen_option(group, css["option_name"], css["option_selected"]))
+    return markup.attr_map(_named(options))
+
+
+def _chosen_b(groups: Column) -> Column:
+    css = SITE_B_CLASSES
+    options = F.transform(
+        groups, lambda group: markup.chosen_sized_option(group, css["size_tab"], css["size_value"], css["option_value"])
+    )
+    return markup.attr_map(_named(options))
+
+
 def site_a_records(pages: DataFrame) -> DataFrame:
     """Landed listing pages ``(url, html)`` of site A to raw listings. Pages without a required field give none."""
     css = SITE_A_CLASSES
     names = ("product_name", "price", "rating_strip", "shipping_block", "option_group", "product_desc", "shop_info")
-    options = F.transform(
-        F.col("node")["option_group"],
-        lambda group: markup.chosen_option(group, css["option_name"], css["option_selected"]),
-    )
     return (
         _cut(pages, ("url",), css, names, "a")
         .withColumn("strip", _text("rating_strip"))
@@ -274,7 +307,7 @@ def site_a_records(pages: DataFrame) -> DataFrame:
             _text("price").alias("price"),
             _first("product_desc").alias("product_desc"),
             *[markup.rating_strip(F.col("strip"))[n].alias(n) for n in ("avg_rating", "num_review", "num_sold")],
-            markup.attr_map(_named(options)).alias("attrs"),
+            _chosen_a(F.col("node")["option_group"]).alias("attrs"),
             "url",
         )
     )
@@ -286,14 +319,10 @@ def site_b_records(pages: DataFrame) -> DataFrame:
     names = (
         "product_name", "brand_name", "num_review", "price", "avg_rating", "option_group", "product_desc", "shop_info",
     )
-    options = F.transform(
-        F.col("node")["option_group"],
-        lambda group: markup.chosen_sized_option(group, css["size_tab"], css["size_value"], css["option_value"]),
-    )
     description = F.concat(F.lit(f'<div class="{css["product_desc"]}">'), _first("product_desc"), F.lit("</div>"))
     return _cut(pages, ("category", "url"), css, names, "b").select(
         *[_text(name).alias(name) for name in ("product_name", "shop_info", "price", "brand_name", "num_review")],
-        markup.attr_map(_named(options)).alias("attrs"),
+        _chosen_b(F.col("node")["option_group"]).alias("attrs"),
         description.alias("product_desc"),
         _text("avg_rating").alias("avg_rating"),
         "category",

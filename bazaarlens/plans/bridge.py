@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.constants import PRICE_SIGN, SITE_A_CLASSES, SITE_A_HOST, TIER_BASIC, TIER_PLUS
+from bazaarlens.constants import PRICE_SIGN, SITE_A_CLASSES, SITE_A_HOST, SITE_B_CLASSES, TIER_BASIC, TIER_PLUS
 from bazaarlens.operators.cleaning import clean_listings, model_table
 from bazaarlens.sources.readers import spread
 
@@ -259,3 +259,30 @@ def url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(
         F.regexp_extract("url", "://([^/]+)", 1).alias("category"), F.col("page_id").alias("pos"), "url"
     )
+
+
+def listing_pages_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site B listing pages as HTML, one per part: a group without a list, colours of the name's words, and sizes, of which
+    some parts have none and some show them on a local tab."""
+    css = SITE_B_CLASSES
+
+    def group(name: str, shown: Column, options: Column | None) -> Column:
+        values = F.lit("")
+        if options is not None:
+            spans = F.array_join(F.transform(options, lambda o: F.concat(F.lit("<span>"), _escape(o), F.lit("</span>"))), "")
+            values = F.concat(F.lit(f'<div class="{css["option_values"]}">'), spans, F.lit("</div>"))
+        return F.concat(F.lit(f'<div class="{css["option_group"]}"><h6>{name}</h6>'), shown, values, F.lit("</div>"))
+
+    def span(name: str, text: Column) -> Column:
+        return F.concat(F.lit(f'<span class="{css[name]}">'), _escape(text), F.lit("</span>"))
+
+    parts = table(spark, sf_dir, "part")
+    words, count = F.split("p_name", " "), (F.col("p_size") % 4).cast("int")
+    tab = F.when(F.col("p_partkey") % 5 == 0, "EU").otherwise("Int")
+    sizes = F.transform(F.filter(F.array(*map(F.lit, (1, 2, 3))), lambda n: n <= count), lambda n: F.concat(F.lit("S"), n.cast("string")))
+    html = F.concat(
+        group("Hãng", span("option_value", F.col("p_brand")), None),
+        group("Màu", span("option_value", words[0]), words),
+        group("Cỡ", F.concat(span("size_tab", tab), span("size_value", F.col("p_size").cast("string"))), sizes),
+    )
+    return parts.select(F.concat(F.lit("https://lazada.vn/i."), "p_partkey").alias("url"), html.alias("html"))

@@ -187,10 +187,44 @@ def pg_variants(spark, sf_dir):
        CROSS JOIN UNNEST(range(1, len(colors) + 1)) AS a(i)""",
 )
 def pg_page_variants(spark, sf_dir):
-    """Variants of whole listing pages. The only size is chosen already, so its group offers nothing and is left out."""
+    """Variants of whole listing pages. The only size is chosen already, so its group offers nothing and keeps its value."""
+    return pg_page_variants_attrs(spark, sf_dir).select("url", "variant_no", "color")
+
+
+@query(
+    "pg_page_variants_attrs",
+    """SELECT 'https://shopee.vn/i.' || p_partkey AS url, CAST(i - 1 AS BIGINT) AS variant_no, colors[i] AS color,
+              CAST(p_size AS VARCHAR) AS size, 2 AS options
+       FROM (SELECT p_partkey, p_size, CASE WHEN p_partkey % 3 > 0 THEN [split_part(p_name, ' ', -1)]
+                    ELSE [split_part(p_name, ' ', 1), split_part(p_name, ' ', -1)] END AS colors FROM part)
+       CROSS JOIN UNNEST(range(1, len(colors) + 1)) AS a(i)""",
+)
+def pg_page_variants_attrs(spark, sf_dir):
+    """All attributes of the same variants."""
     options = pages.site_a_options(bridge.listing_pages(spark, sf_dir))
-    expanded = pages.variants(options, skip_empty_groups=True)
-    return expanded.select("url", "variant_no", F.col("attrs")["Màu Sắc"].alias("color"))
+    expanded = pages.variants(options, skip_empty_groups=True, chosen="chosen")
+    attrs = F.col("attrs")
+    return expanded.select(
+        "url", "variant_no", attrs["Màu Sắc"].alias("color"), attrs["Size"].alias("size"), F.size(attrs).alias("options")
+    )
+
+
+@query(
+    "pg_page_variants_b",
+    """SELECT 'https://lazada.vn/i.' || p_partkey AS url, CAST((i - 1) * (p_size % 4) + j - 1 AS BIGINT) AS variant_no,
+              p_brand AS maker, words[i] AS color, CASE WHEN p_partkey % 5 > 0 THEN 'S' || j END AS size, 3 AS options
+       FROM (SELECT *, string_split(p_name, ' ') AS words FROM part)
+       CROSS JOIN UNNEST(range(1, len(words) + 1)) AS a(i)
+       CROSS JOIN UNNEST(range(1, p_size % 4 + 1)) AS b(j)""",
+)
+def pg_page_variants_b(spark, sf_dir):
+    """Variants of site B. The maker's group has no list to choose from; a list without a size gives no variant."""
+    expanded = pages.variants(pages.site_b_options(bridge.listing_pages_b(spark, sf_dir)), chosen="chosen")
+    attrs = F.col("attrs")
+    return expanded.select(
+        "url", "variant_no", attrs["Hãng"].alias("maker"), attrs["Màu"].alias("color"), attrs["Cỡ"].alias("size"),
+        F.size(attrs).alias("options"),
+    )
 
 
 @query(

@@ -310,3 +310,33 @@ def test_redone_records_are_told_by_url_and_options(spark):
     # Copies meet within their own task first, so a record copied very often does not gather in one.
     plan = distinct.select("url")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate(keys=[url") == 2
+
+
+def test_variants_keep_chosen_groups_of_site_a(spark):
+    html = _site_a_page()
+    options = pages.site_a_options(spark.createDataFrame([("u", html)], "url string, html string"))
+    assert options.first().chosen == {"Màu": "Đen", "Size": None}
+    only = f'class="{SITE_A_CLASSES["option_value"]}">Đỏ'
+    assert only in html
+    options = pages.site_a_options(spark.createDataFrame([("u", html.replace(only, 'class="gone">Đỏ'))], "url string, html string"))
+    (row,) = pages.variants(options, skip_empty_groups=True, chosen="chosen").collect()
+    assert row.attrs == {"Màu": "Đen", "Size": "S"}
+
+
+def test_site_b_values_stay_in_their_group(spark):
+    css = SITE_B_CLASSES
+
+    def group(heading, shown, values):
+        listed = "" if values is None else f'<div class="{css["option_values"]}">{values}</div>'
+        return f'<div class="{css["option_group"]}"><h6>{heading}</h6>{shown}{listed}</div>'
+
+    name = f'<span class="{css["option_value"]}">'
+    html = (
+        group("Hãng", f"{name}Biti</span>", None)
+        + group("Màu", f"{name}Đen</span>", "<i>Đen</i><i>Trắng</i>")
+        + group("Cỡ", f'<b class="{css["size_tab"]}">EU</b>', "<i>42</i><i>43</i>")
+    )
+    options = pages.site_b_options(spark.createDataFrame([("u", html)], "url string, html string"))
+    assert [(g.name, g.options) for g in options.first().groups] == [("Màu", ["Đen", "Trắng"]), ("Cỡ", [None, None])]
+    found = pages.variants(options, chosen="chosen").orderBy("variant_no").collect()
+    assert [r.attrs for r in found] == [{"Hãng": "Biti", "Màu": m, "Cỡ": None} for m in ("Đen", "Đen", "Trắng", "Trắng")]
