@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from bazaarlens.llm.classifier import held_out
 
 VOCABULARY = "piece_bpe_32k.model"
-# Documents that training takes at most, about.
+# Documents that training takes at most, about: in equal parts of all languages, each of so many at least.
 TRAIN_ROWS = 5_000
+LANGUAGE_ROWS = 500
 ROUNDS = 2
 SMOOTHING = 0.1
 # Words longer than this are cut into stretches of it.
@@ -178,6 +179,17 @@ def kept_scores(model: Model) -> WordScores:
     return _KEPT[model.name]
 
 
+def level(counts: list[int], rows: int) -> int:
+    """The number such that so many of each count, or all of a smaller one, are ``rows`` in all, about."""
+    found = rows
+    for i, n in enumerate(sorted(counts)):
+        found = -(-rows // (len(counts) - i))
+        if n >= found:
+            break
+        rows -= n
+    return found
+
+
 def train(
     docs: DataFrame,
     text: str = "text",
@@ -186,18 +198,28 @@ def train(
     train_rows: int = TRAIN_ROWS,
     rounds: int = ROUNDS,
     path: str | None = None,
+    language_rows: int = LANGUAGE_ROWS,
 ) -> Model:
     """Piece probabilities for each value of ``lang``, by expectation maximisation over a fixed public vocabulary.
 
-    From a sample of at most about ``train_rows`` documents by a hash of the id; held-out ids and null languages play no
-    part. Words are counted by language once; each round spreads a word's count over the pieces of all its segmentations.
-    What reaches the driver is a number for each piece and language. A rerun gives the same model.
+    From a sample by a hash of the id: about ``train_rows`` documents in equal parts of all languages, or ``language_rows``
+    of each where that is more, and all documents of a language that has fewer, whose room goes to the others. So each
+    language is learned, however thin it is. Priors come from the count of all documents. Held-out ids and null languages
+    play no part. Words are counted by language once; each round spreads a word's count over the pieces of all its
+    segmentations. What reaches the driver is a number for each piece and language. A rerun gives the same model.
     """
     path = path or vocabulary_path()
     usable = docs.filter(F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id)))
     usable = usable.select(F.col(doc_id).cast("bigint").alias("__id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    share = min(1.0, train_rows / max(1, usable.count()))
-    sample = usable.filter(F.pmod(F.xxhash64("__id", F.lit("train")), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    totals = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    languages = sorted(totals)
+    each = max(language_rows, level(list(totals.values()), train_rows))
+    below = [(x, (min(n, each) << 30) // n) for x, n in totals.items()]
+    shares = docs.sparkSession.createDataFrame(below, "lang string, __below bigint")
+    # A row for each language, as in the model.
+    sample = usable.join(F.broadcast(shares), "lang").filter(
+        F.pmod(F.xxhash64("__id", F.lit("train")), F.lit(1 << 30)) < F.col("__below")
+    )
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -207,8 +229,6 @@ def train(
 
     counted = sample.select("lang", "text").mapInPandas(words, "lang string, word string, n bigint")
     counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).persist()
-    totals = {r["lang"]: r["n"] for r in sample.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    languages = sorted(totals)
     known = pieces(path)
     found = np.full((len(known) + 1, len(languages)), 1.0 / max(1, len(known)))
     found[-1] = UNKNOWN

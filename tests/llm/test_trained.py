@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bazaarlens.llm import classifier, language
 from bazaarlens.llm.queries import op6_quality_classifier, op7_language_id
@@ -83,6 +84,24 @@ def test_odd_texts_have_a_language(spark):
     assert language.identify(frame.filter("false"), model).count() == 0
 
 
+def test_thin_languages_are_learned_beside_a_large_one(spark):
+    texts = {"en": "one two the and of", "es": "uno dos tres el la", "de": "eins zwei drei der das"}
+    lang = F.when(F.col("id") % 1000 == 7, "es").when(F.col("id") % 1000 == 8, "de").otherwise("en")
+    text = F.create_map(*[F.lit(x) for pair in texts.items() for x in pair])
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), lang.alias("lang")).withColumn("text", text[F.col("lang")])
+    assert [language.level(x, 100) for x in ([5, 10, 1000], [50, 50], [1, 2], [40] * 4, [])] == [85, 50, 99, 25, 100]
+    # A uniform draw would leave 0.01 documents of each thin language.
+    model = language.train(docs, train_rows=9, language_rows=3)
+    assert model.languages == ["de", "en", "es"]
+    usable = docs.filter(~classifier.held_out(F.col("doc_id")))
+    n = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    assert np.allclose(np.exp(model.prior), [n[x] / sum(n.values()) for x in model.languages])
+    # Whole samples of thin languages: learned from their own words.
+    model = language.train(docs, train_rows=60, language_rows=20)
+    frame = spark.createDataFrame([(x, t) for x, t in texts.items()], "lang string, text string")
+    assert all(r["lang"] == r["lang_pred"] for r in language.identify(frame, model).collect())
+
+
 def test_updates_equal_the_closed_form_of_one_row():
     row = (np.array([5]), np.array([0.5]), 1)
     weights = classifier.follow_the_leader([row], 1)
