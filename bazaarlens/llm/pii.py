@@ -82,12 +82,16 @@ _WORD = r"\p{L}\p{M}\p{N}\x{200C}\x{200D}"
 _LOCAL = _WORD + r"._%+\-"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE = "(?:" + "|".join(TITLES_MALE + TITLES_FEMALE + TITLES_ANY) + ")"
+# Numbers in groups without a country: 555-123-4567, 1-555-123-4567, 555.123.4567, 0171 2345678 or 0171/2345678.
+_NATIONAL = r"(?:(?:1-)?\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}|0\d{2,4}[ /\-]\d{5,8})"
 PATTERN = "|".join(
     [
         rf"(?<![{_LOCAL}])[{_LOCAL}]++@[{_WORD}\-]++(?:\.[{_WORD}\-]++)+",
         rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
         r"(?<![\d+])(?:\+\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)",
         r"(?<![\d+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,4}(?!\d)",
+        # Also social security numbers, 123-45-6789.
+        rf"(?<![\p{{L}}\p{{N}}.+/\-])(?:{_NATIONAL}|\d{{3}}-\d{{2}}-\d{{4}})(?![\p{{L}}\p{{N}}]|[./\-]\d)",
         r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3})(?!\d)",
         r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])",
         rf"(?<!\p{{L}}){_TITLE}\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?(?!\p{{L}})",
@@ -98,8 +102,8 @@ PATTERN = "|".join(
 def kind(value: Column) -> Column:
     return (
         F.when(value.contains("@"), "email")
+        .when(value.rlike(rf"^(?:[+(]|{_NATIONAL}$)"), "phone")
         .when(value.rlike(r"^[\d.]+$") & value.contains("."), "address")
-        .when(value.rlike(r"^[+(]"), "phone")
         .when(value.rlike(r"^[\d \-]+$") & (F.length(value) < 24), "card")
         .when(value.rlike(r"^[0-9a-fA-F]+$"), "secret")
         .otherwise("person")

@@ -121,3 +121,13 @@ def test_names_keep_their_script(spark):
     assert match[1] in male and match[3] in female and match[4] in pii.NAMES_BY_SCRIPT["Greek"][2] and match[5] in pii.NAMES_MALE
     for real in ("Петров", "Παππά", "Սարգսյան", "Иванов"):
         assert real not in new
+
+
+def test_numbers_in_groups_go(spark):
+    text = "555-123-4567, 1-555-123-4567; 555.123.4567. 0171 2345678 and 0171/2345678, 123-45-6789."
+    kept = "2024-05-06, 1.2.3, 10-20-30, 555-1234, 12-555-123-4567-8, 192-168, x555-123-4567, 100 200 3000"
+    new, n = replaced(spark, [(1, text, ""), (2, kept, "")])[1]
+    match = re.fullmatch(r"(5\d\d)-(\d{3})-(\d{4}), 1-\d{3}-\d{3}-\d{4}; \1\.\2\.\3\. (0\d{3}) (\d{7}) and \4/\5, 1\d\d-\d\d-\d{4}\.", new)
+    assert n == 6 and match, new
+    assert not any(real in new for real in ("123-4567", "123.4567", "2345678", "45-6789"))
+    assert replaced(spark, [(2, kept, "")])[2] == (kept, 0)
