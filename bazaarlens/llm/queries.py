@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import classifier, exact_dedup, language, line_dedup, mixing, near_dup, packing, pii, quality_rules, warc
+from bazaarlens.llm import (
+    classifier,
+    exact_dedup,
+    filter_audit,
+    language,
+    line_dedup,
+    mixing,
+    near_dup,
+    packing,
+    pii,
+    prefix_trie,
+    quality_rules,
+    token_files,
+    warc,
+)
 from bazaarlens.llm.base import table
 
 
@@ -78,6 +92,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.words_taken(mixed.pieces).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_files.written_and_read(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
@@ -89,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_warc_index": op9_warc_index,
     "op10_mixing": op10_mixing,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_token_files": op12_token_files,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -173,4 +203,81 @@ ORACLES = {
                greatest(0, least(size, take - start)) + greatest(0, least(size, take - source_size - start)) AS taken
         FROM placed
     """,
+    "op11_filter_audit": r"""
+        WITH split AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        judged AS (
+            SELECT doc_id, part,
+                   CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+                   + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text) THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+                   + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS failed
+            FROM split),
+        known AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        counted AS (
+            SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+            FROM judged LEFT JOIN known USING (doc_id) GROUP BY part, failed),
+        letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS t(letter, bit)),
+        orders AS (
+            SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+        steps AS (
+            SELECT filter_order, step, letter, bit,
+                   (SELECT coalesce(sum(l.bit), 0) FROM letters l WHERE contains(substr(filter_order, 1, step - 1), l.letter)) AS ahead
+            FROM orders, unnest(range(1, 6)) AS t(step) JOIN letters ON letter = substr(filter_order, step, 1)),
+        summed AS (
+            SELECT part, filter_order, step, letter,
+                   coalesce(sum(n) FILTER (failed & (ahead | bit)::BIGINT = 0), 0) AS kept,
+                   coalesce(sum(n) FILTER (failed & ahead::BIGINT = 0 AND failed & bit > 0), 0) AS removed,
+                   coalesce(sum(n) FILTER (failed & ahead::BIGINT > 0 AND failed & bit > 0), 0) AS redundant,
+                   coalesce(sum(n) FILTER (failed = bit), 0) AS unique_fails,
+                   coalesce(sum(good) FILTER (failed & ahead::BIGINT = 0 AND failed & bit > 0), 0) AS good_lost,
+                   coalesce(sum(toxic) FILTER (failed & ahead::BIGINT = 0 AND failed & bit > 0), 0) AS toxic_lost
+            FROM counted, steps GROUP BY part, filter_order, step, letter)
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+        FROM summed
+    """,
+    # A CRC-32 bit by bit over the digits of an id; then every prefix of every rebuilt conversation as a list.
+    "op13_prefix_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                       substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32)) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        ids AS (
+            SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base,
+                   xor(list_reduce(list_prepend(4294967295::BIGINT,
+                       list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ord(substr(conv_id::VARCHAR, i, 1))::BIGINT)),
+                       lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                           lambda x, y: xor(x >> 1, (x & 1) * 3988292384 + y))), 4294967295) % 4 AS h
+            FROM turns),
+        built AS (
+            SELECT ids.conv_id, pos AS nth, role, text FROM ids JOIN turns ON turns.conv_id = base WHERE pos <= h
+            UNION ALL SELECT conv_id, pos AS nth, role, text FROM ids JOIN turns USING (conv_id) WHERE pos > h),
+        whole AS (
+            SELECT conv_id, list({'role': role, 'text': text} ORDER BY nth) FILTER (nth IS NOT NULL) AS turns
+            FROM ids LEFT JOIN built USING (conv_id) GROUP BY conv_id),
+        sized AS (SELECT conv_id, coalesce(turns, []) AS turns, coalesce(len(turns), 0) AS n FROM whole),
+        members AS (SELECT conv_id, n, d AS depth, turns[1:d] AS prefix FROM sized, unnest(range(0, n + 1)) AS t(d)),
+        nodes AS (
+            SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(n) AS longest,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256,
+                   CASE depth WHEN 0 THEN 0 ELSE len(regexp_extract_all(prefix[depth].text, '[^\x20\x09-\x0D]+')) END AS words
+            FROM members GROUP BY prefix, depth),
+        below AS (
+            SELECT top.prefix, count(*) FILTER (low.depth = top.depth + 1) AS n_children,
+                   count(*) FILTER (low.depth = low.longest) AS n_leaves, sum((low.n_convs - 1) * low.words) AS saved_tokens
+            FROM nodes low, unnest(range(0, low.depth + 1)) AS t(d) JOIN nodes top ON top.prefix = low.prefix[1:d]
+            GROUP BY top.prefix)
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves,
+               CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+        FROM nodes n JOIN below USING (prefix) LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]
+    """,
 }
