@@ -1,0 +1,124 @@
+"""The filter audit against counts made document by document, on odd rows."""
+
+from __future__ import annotations
+
+import random
+from itertools import permutations
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as contract
+from bazaarlens.llm import filter_audit
+from check import compare, connect
+
+COLUMNS = ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
+def odd_documents():
+    long = " ".join(f"word{i}" for i in range(250))
+    rows = [(1, long, "en"), (2, long, "de"), (2, long, "en"), (None, long, "en"), (None, long, None), (3, None, None), (4, "", "")]
+    rows += [(5, "SHOUT " * 300, "en"), (6, "a b " * 200, "de"), (7, long + " # $", "en"), (8, long.upper(), "de"), (9, "é" * 5000, "xx")]
+    rows += [(10, f"{long} |\n\t\x0b{long} x\x1cy", "en"), (11, "w " * 400_000, "en")]
+    rows += [(100 + i, "hot copy " * 20, "en" if i % 3 else None) for i in range(400)]
+    rows += [(600 + i, " ".join(f"t{i}w{k % (60 + i)}" for k in range(190 + i)) + "%" * (i % 2), "fr") for i in range(40)]
+    labels = [(1, 1, 0), (2, 1, 1), (3, None, 1), (5, 0, 1), (5, 1, None), (100, 1, 0), (101, 1, 1), (None, 1, 1), (99_999, 1, 1), (610, 1, 0)]
+    return rows, labels
+
+
+def by_document(rows, labels):
+    good = {k for k, q, _ in labels if k is not None and q == 1}
+    toxic = {k for k, _, t in labels if k is not None and t == 1}
+    firsts = {}
+    for key, text, _ in rows:
+        if key is not None:
+            firsts[text or ""] = min(key, firsts.get(text or "", key))
+    failed = {}
+    for key, text, lang in rows:
+        text = text or ""
+        words = [w for w in text.encode().split()]
+        fails = {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * sum("A" <= c <= "Z" for c in text) > 3 * len(text),
+            "D": any(c in "#$%&*|" for c in text),
+            "E": key is not None and key > firsts[text],
+        }
+        failed.setdefault(lang or "", []).append((key, {f for f in fails if fails[f]}))
+    expected = {}
+    for part, docs in failed.items():
+        share = dict.fromkeys("ABCDE", 0)
+        for order in map("".join, permutations("ABCDE")):
+            alive = docs
+            for step, name in enumerate(order, 1):
+                gone = [d for d in alive if name in d[1]]
+                alive = [d for d in alive if name not in d[1]]
+                share[name] += len(gone)
+                fails = sum(name in d[1] for d in docs)
+                lost = [sum(d[0] in labelled for d in gone) for labelled in (good, toxic)]
+                only = sum(d[1] == {name} for d in docs)
+                expected[part, order, step] = [len(alive), len(gone), fails - len(gone), only, *lost, name]
+        for (p, _, _), row in expected.items():
+            if p == part:
+                row[-1] = share[row[-1]]
+    return {k: tuple(v) for k, v in expected.items()}
+
+
+def test_every_order_equals_filtering_document_by_document(spark):
+    rows, labels = odd_documents()
+    docs = spark.createDataFrame([(*r, "old", True, 1) for r in rows], "doc_id bigint, text string, lang string, part string, good boolean, failed int")
+    known = spark.createDataFrame([(*r, "x") for r in labels], "doc_id bigint, quality int, toxic int, part string")
+    found = filter_audit.audit(docs, known).collect()
+    assert len(found) == 600 * len({r[2] or "" for r in rows})
+    assert {(r.part, r.filter_order, r.step): tuple(r[c] for c in COLUMNS) for r in found} == by_document(rows, labels)
+
+
+def test_rows_dealt_to_many_tasks_count_the_same(spark):
+    rows, labels = odd_documents()
+    random.Random(5).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(13)
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    found = filter_audit.audit(docs, known).collect()
+    assert {(r.part, r.filter_order, r.step): tuple(r[c] for c in COLUMNS) for r in found} == by_document(rows, labels)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 31, 1000, 4097])
+def test_carry_save_counts_equal_bit_by_bit(n):
+    words = np.random.default_rng(n).integers(0, 1 << 32, n, dtype=np.uint32)
+    expected = [int(((words >> np.uint32(i)) & np.uint32(1)).sum()) for i in range(32)]
+    assert filter_audit.positional_popcount(words).tolist() == expected
+
+
+def test_a_word_holds_the_subsets_that_a_document_survives():
+    words = filter_audit.survival_words(5)
+    for failed in range(32):
+        assert int(words[failed]) == sum(1 << s for s in range(32) if not s & failed)
+
+
+def test_fewer_filters(spark):
+    rows = spark.createDataFrame([("p", 0, True, False), ("p", 1, False, True), ("p", 3, True, False)], "part string, failed int, good boolean, toxic boolean")
+    counts = filter_audit.survivors(rows, 2)
+    assert [list(r) for r in counts.collect()] == [["p", [3, 1, 2, 1], [2, 1, 1, 1], [1, 0, 1, 0]]]
+    assert {(r.filter_order, r.step): r.removed for r in filter_audit.in_every_order(counts, "XY").collect()} == {
+        ("XY", 1): 2, ("XY", 2): 0, ("YX", 1): 1, ("YX", 2): 1
+    }
+    with pytest.raises(ValueError, match="five"):
+        filter_audit.survivors(rows, 6)
+
+
+def test_more_parts_than_a_task_counts_at_once(spark, monkeypatch):
+    monkeypatch.setattr(filter_audit, "MOST_KEYS", 4)
+    rows = spark.createDataFrame([(f"p{i % 50}", i % 4, False, False) for i in range(400)], "part string, failed int, good boolean, toxic boolean")
+    found = filter_audit.survivors(rows).collect()
+    assert len(found) == 50 and sum(r.everyone[0] for r in found) == 400
+
+
+def test_no_documents(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert filter_audit.audit(docs, labels).count() == 0
+
+
+def test_query_equals_sql(spark, sf):
+    name = "op11_filter_audit"
+    assert compare(contract.queries()[name](spark, sf), connect(sf), contract.oracle_sql()[name]) == []
