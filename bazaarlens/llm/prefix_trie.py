@@ -19,8 +19,6 @@ FAMILY, FORKS = 20, 4
 STRETCH, IDS_PER_PIECE = 4_096, 256
 SALTS = 64
 
-TURNS = "conv_id bigint, pos bigint, turn_id binary, words bigint"
-
 
 def turn_id(role: Column, text: Column) -> Column:
     """The first half of a SHA-256 over role and text; the length of the role sets the two apart."""
@@ -29,7 +27,7 @@ def turn_id(role: Column, text: Column) -> Column:
 
 
 def ordered_turns(conversations: DataFrame, conv_id: str, turn: str, role: str, text: str) -> DataFrame:
-    """Narrow rows of turns with their place, from 1, in their conversation.
+    """Narrow rows of turns with their place, from 1, in their conversation, and ``n_own``, its number of turns.
 
     Turns are ranked within stretches of turn numbers, and only the sizes of the stretches meet in one row of places, so a
     conversation with a third of all turns is not sorted by one task.
@@ -44,123 +42,152 @@ def ordered_turns(conversations: DataFrame, conv_id: str, turn: str, role: str,
     # Turns without a number come first.
     narrow = narrow.withColumn("__stretch", F.coalesce(F.floor(F.col("turn") / STRETCH), F.lit(-(1 << 62))))
     keys = ["conv_id", "__stretch"]
-    ahead = Window.partitionBy("conv_id").orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
     before = narrow.groupBy(*keys).agg(F.count("*").alias("__n"))
-    before = before.select(*keys, F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__before"))
+    before = before.select(*keys, ahead(F.sum("__n")).alias("__before"), whole(F.sum("__n")).alias("n_own"))
     within = Window.partitionBy(*keys).orderBy(F.col("turn").asc_nulls_first(), "turn_id")
     placed = narrow.withColumn("__nth", F.row_number().over(within)).join(before, keys)
-    return placed.select("conv_id", (F.col("__before") + F.col("__nth")).alias("pos"), "turn_id", "words")
+    return placed.select("conv_id", (F.col("__before") + F.col("__nth")).alias("pos"), "turn_id", "words", "n_own")
+
+
+def ahead(value: Column) -> Column:
+    """An aggregate over the stretches of a conversation before this one."""
+    order = Window.partitionBy("conv_id").orderBy("__stretch")
+    return F.coalesce(value.over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
 
+def whole(value: Column) -> Column:
+    """An aggregate over all stretches of a conversation."""
+    return value.over(Window.partitionBy("conv_id"))
 
-def rebuilt(conversations: DataFrame, family: int = FAMILY, forks: int = FORKS, **columns) -> tuple[DataFrame, DataFrame]:
+
+def rebuilt(
+    conversations: DataFrame,
+    family: int = FAMILY,
+    forks: int = FORKS,
+    conv_id: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+) -> tuple[DataFrame, DataFrame]:
     """Conversations that begin like the first of their family: the first h turns of conversation ``c - c % family``, then
-    their own from the one after h, where h is the CRC-32 of the decimal id by ``forks``. Returns the turns, and the ids of
-    all conversations, some of which may have no turns left.
+    their own from the one after h, where h is the CRC-32 of the decimal id by ``forks``. Returns the turns ``(conv_id, pos,
+    turn_id, words)``, and the ids of conversations that have no turns left.
 
     A family has at most ``family`` members, each of which takes at most ``forks - 1`` turns of its first.
     """
-    names = {"conv_id": "conv_id", "turn": "turn", "role": "role", "text": "text"} | columns
-    turns = saved(ordered_turns(conversations, **names), "turns")
+    turns = saved(ordered_turns(conversations, conv_id, turn, role, text), "turns")
     h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % forks
-    ids = turns.select("conv_id").distinct().withColumn("h", h)
-    ids = saved(ids.withColumn("base", F.expr(f"conv_id - conv_id % {family}")), "conversations")
-    heads = turns.filter(F.col("pos") < forks).select(F.col("conv_id").alias("base"), "pos", "turn_id", "words")
-    taken = ids.join(heads, "base").filter("pos <= h").select("conv_id", "pos", "turn_id", "words")
+    ids = turns.filter("pos = 1").select("conv_id", "n_own", h.alias("h"), F.expr(f"conv_id - conv_id % {family}").alias("base"))
+    head = F.struct("pos", "turn_id", "words")
+    firsts = turns.filter(F.col("pos") < forks).groupBy(F.col("conv_id").alias("base")).agg(F.collect_list(head).alias("heads"))
+    members = ids.join(firsts, "base", "left").withColumn("taken", F.expr("filter(heads, t -> t.pos <= h)"))
     # A first conversation shorter than h makes the rest move up.
-    short = heads.groupBy("base").agg(F.max("pos").alias("__most"))
-    gap = ids.join(short, "base", "left").select(
-        F.col("conv_id").alias("__id"), "h", F.greatest(F.lit(0), F.col("h") - F.coalesce("__most", F.lit(0))).alias("__gap")
-    )
-    own = turns.join(gap, F.col("conv_id") == F.col("__id")).filter("pos > h")
-    own = own.select("conv_id", (F.col("pos") - F.col("__gap")).alias("pos"), "turn_id", "words")
-    return taken.unionByName(own), ids.select("conv_id")
+    gap = F.col("h") - F.coalesce(F.size("taken"), F.lit(0))
+    members = saved(members.select("conv_id", "n_own", "h", gap.alias("gap"), "taken"), "conversations")
+    taken = members.select("conv_id", F.inline("taken"))
+    own = turns.join(members.select("conv_id", "h", "gap"), "conv_id").filter("pos > h")
+    own = own.select("conv_id", (F.col("pos") - F.col("gap")).alias("pos"), "turn_id", "words")
+    return taken.unionByName(own), members.filter("gap = h AND n_own <= h").select("conv_id")
 
 
-def with_prefixes(turns: DataFrame, conv_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Turns with the key of the prefix that ends with them and the words up to them, and conversations with their length,
-    words and last key.
+def halves(pos: Column, turn: Column) -> list[Column]:
+    """Two hashes of a turn at its place. The key of a prefix is the exclusive or of those of its turns, so that, like sums,
+    keys of long conversations are made over stretches of turns first."""
+    return [F.xxhash64(F.lit(i), pos.cast("bigint"), turn) for i in (1, 2)]
 
-    The key of a prefix is two numbers, each the exclusive or of hashes of place and turn, so that, like sums, keys and
-    words of long conversations are added up over stretches of turns first.
-    """
-    half = [F.xxhash64(F.lit(i), "pos", "turn_id") for i in (1, 2)]
-    marked = turns.withColumns({"__a": half[0], "__b": half[1], "__stretch": F.expr(f"pos div {STRETCH}")})
+
+def with_prefixes(turns: DataFrame) -> DataFrame:
+    """Turns with the keys and words of the prefix ahead of them, and the length and words of their whole conversation."""
+    a, b = halves(F.col("pos"), F.col("turn_id"))
+    marked = turns.withColumns({"__a": a, "__b": b, "__stretch": F.expr(f"pos div {STRETCH}")})
     keys = ["conv_id", "__stretch"]
-    ahead = Window.partitionBy("conv_id").orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
-    whole = marked.groupBy(*keys).agg(
-        F.bit_xor("__a").alias("__xa"), F.bit_xor("__b").alias("__xb"), F.sum("words").alias("__w")
+    stretches = marked.groupBy(*keys).agg(
+        F.bit_xor("__a").alias("__sa"), F.bit_xor("__b").alias("__sb"), F.sum("words").alias("__sw"), F.count("*").alias("__sn")
     )
-    before = whole.select(
+    before = stretches.select(
         *keys,
-        F.coalesce(F.bit_xor("__xa").over(ahead), F.lit(0)).alias("__xa"),
-        F.coalesce(F.bit_xor("__xb").over(ahead), F.lit(0)).alias("__xb"),
-        F.coalesce(F.sum("__w").over(ahead), F.lit(0)).alias("__w"),
-    )
-    upto = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    added = marked.withColumns(
-        {"__ra": F.bit_xor("__a").over(upto), "__rb": F.bit_xor("__b").over(upto), "__rw": F.sum("words").over(upto)}
-    ).join(before, keys)
-    prefixes = saved(
-        added.select(
-            "conv_id",
-            "pos",
-            "turn_id",
-            "words",
-            F.col("__xa").bitwiseXOR(F.col("__ra")).alias("key_a"),
-            F.col("__xb").bitwiseXOR(F.col("__rb")).alias("key_b"),
-            (F.col("__w") + F.col("__rw")).alias("words_upto"),
-        ),
-        "prefixes",
+        ahead(F.bit_xor("__sa")).alias("__xa"),
+        ahead(F.bit_xor("__sb")).alias("__xb"),
+        ahead(F.sum("__sw")).alias("__xw"),
+        whole(F.sum("__sn")).alias("n_turns"),
+        whole(F.sum("__sw")).alias("total"),
     )
-    last = prefixes.groupBy("conv_id").agg(
-        F.max("pos").alias("n_turns"),
-        F.sum("words").alias("total"),
-        F.max(F.struct("pos", "key_a", "key_b")).alias("__last"),
-    )
-    ends = conv_ids.join(last, "conv_id", "left").select(
+    until = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    within = {f"__r{c}": F.coalesce(f(f"__{c}").over(until), F.lit(0)) for c, f in (("a", F.bit_xor), ("b", F.bit_xor))}
+    within["__rw"] = F.coalesce(F.sum("words").over(until), F.lit(0))
+    return marked.withColumns(within).join(before, keys).select(
         "conv_id",
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_turns", "total")],
-        *[F.coalesce(F.col("__last")[c], F.lit(0)).alias(c) for c in ("key_a", "key_b")],
+        "pos",
+        "turn_id",
+        "words",
+        F.col("__xa").bitwiseXOR(F.col("__ra")).alias("prior_a"),
+        F.col("__xb").bitwiseXOR(F.col("__rb")).alias("prior_b"),
+        (F.col("__xw") + F.col("__rw")).alias("prior_words"),
+        "n_turns",
+        "total",
     )
-    return prefixes, saved(ends, "conversation-ends")
 
 
-def blocks_of(prefixes: DataFrame, ends: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Conversations cut into rows of ``width`` turns: columns ``t1`` and on hold turn ids, null after the end. A row is
-    keyed by its block's number and the prefix before it, the root's for the first. Every conversation has a first row."""
-    place = F.expr(f"cast((pos - 1) % {width} as int)")
-    cut = prefixes.withColumns({"block": F.expr(f"(pos - 1) div {width}"), "__place": place})
+def blocks_of(prefixes: DataFrame, turnless: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Conversations cut into rows of ``width`` turns: columns ``t1`` and on hold turn ids, null after the end, and ``w1``
+    and on the words of all but the last. A row is keyed by its block's number and the prefix before it. A conversation without turns has one
+    empty row."""
+    cut = prefixes.withColumns({"block": F.expr(f"(pos - 1) div {width}"), "__place": F.expr(f"(pos - 1) % {width} + 1")})
+
+    def at(place: int, column: str) -> Column:
+        return F.max(F.when(F.col("__place") == place, F.col(column)))
+
     rows = cut.groupBy("conv_id", "block").agg(
-        *[F.max(F.when(F.col("__place") == i, F.col("turn_id"))).alias(f"t{i + 1}") for i in range(width)]
-    )
-    follows = prefixes.filter(F.col("pos") % width == 0).select(
-        "conv_id", F.expr(f"pos div {width}").alias("block"), F.col("key_a").alias("prior_a"), F.col("key_b").alias("prior_b")
-    )
-    rows = rows.filter("block > 0").join(follows, ["conv_id", "block"]).unionByName(
-        ends.select("conv_id").join(rows.filter("block = 0").drop("block"), "conv_id", "left").select(
-            "*", *[F.lit(0).cast("bigint").alias(c) for c in ("block", "prior_a", "prior_b")]
-        )
+        *[at(i + 1, "turn_id").alias(f"t{i + 1}") for i in range(width)],
+        *[at(i, "words").alias(f"w{i}") for i in range(1, width)],
+        *[at(1, name).alias(name) for name in ("prior_a", "prior_b", "prior_words")],
+        *[F.max(name).alias(name) for name in ("n_turns", "total")],
     )
-    return rows.join(ends.select("conv_id", "n_turns", "total"), "conv_id")
+    numbers = ["block", "prior_a", "prior_b", "prior_words", "n_turns", "total"]
+    empty = turnless.withColumns({name: F.lit(0).cast("bigint") for name in numbers})
+    return rows.unionByName(empty, allowMissingColumns=True)
 
 
 def rolled_up(blocks: DataFrame, values: str, width: int = WIDTH) -> DataFrame:
-    """``values``, aggregates in SQL, for every prefix at once, with its ``depth``: one ROLLUP over the columns of turns in
-    each block. A set that ends in a column after the end of its conversations is no prefix, and a later block's own root
-    is the last prefix of the block before."""
-    columns = [f"t{i + 1}" for i in range(width)]
+    """``values``, aggregates in SQL, for every prefix at once: one ROLLUP over the columns of turns in each block. Adds the
+    prefix's ``depth`` and key, the words ahead of its last turn, and its parent's key.
+
+    A set that ends in a column after the end of its conversations is no prefix, and a later block's own root is the last
+    prefix of the block before.
+    """
+    turns = [f"t{i + 1}" for i in range(width)]
+    words = ", ".join(["max(prior_words) AS __w0", *[f"max(w{i}) AS __w{i}" for i in range(1, width)]])
     found = blocks.sparkSession.sql(
         f"""
-        SELECT block, {', '.join(columns)}, {width} - bit_count(grouping_id()) AS __depth, {values}
-        FROM {{blocks}} GROUP BY block, prior_a, prior_b, ROLLUP ({', '.join(columns)})
+        SELECT block, prior_a, prior_b, {', '.join(turns)}, {words},
+               {width} - bit_count(grouping_id()) AS __depth, {values}
+        FROM {{blocks}} GROUP BY block, prior_a, prior_b, ROLLUP ({', '.join(turns)})
         """,
         blocks=blocks,
     )
-    last = F.element_at(F.array(*columns), F.greatest(F.col("__depth"), F.lit(1)).cast("int"))
-    kept = found.filter((F.col("__depth") > 0) & last.isNotNull() | (F.col("__depth") == 0) & (F.col("block") == 0))
-    return kept.withColumn("depth", (F.col("block") * width + F.col("__depth")).cast("bigint")).drop(
-        "block", "__depth", *columns
+    depth = F.col("__depth")
+    last = F.element_at(F.array(*turns), F.greatest(depth, F.lit(1)).cast("int"))
+    kept = found.filter((depth > 0) & last.isNotNull() | (depth == 0) & (F.col("block") == 0))
+
+    def key(half: int, upto: Column) -> Column:
+        out = F.col(("prior_a", "prior_b")[half])
+        for i, turn in enumerate(turns):
+            mark = halves(F.col("block") * width + i + 1, F.col(turn))[half]
+            out = out.bitwiseXOR(F.when(upto > i, mark).otherwise(F.lit(0)))
+        return out
+
+    before = sum((F.when(depth > i, F.col(f"__w{i}")).otherwise(0) for i in range(1, width)), F.col("__w0"))
+    marked = kept.withColumns(
+        {
+            "depth": F.col("block") * width + depth,
+            "key_a": key(0, depth),
+            "key_b": key(1, depth),
+            "up_a": key(0, depth - 1),
+            "up_b": key(1, depth - 1),
+            "words_ahead": before,
+        }
     )
+    return marked.drop("block", "prior_a", "prior_b", "__depth", *turns, *[f"__w{i}" for i in range(width)])
 
 
 def lists_of_ids(ends: DataFrame) -> DataFrame:
@@ -170,10 +197,10 @@ def lists_of_ids(ends: DataFrame) -> DataFrame:
     Ids are joined to short pieces by ranges first, at most ``IDS_PER_PIECE`` ids each; then every prefix's pieces pass
     through one hash in order. A task holds a batch of pieces, never a list.
     """
-    pieces = ends.groupBy("n_turns", "key_a", "key_b", F.floor(F.col("conv_id") / IDS_PER_PIECE).alias("__range")).agg(
+    pieces = ends.groupBy("depth", "key_a", "key_b", F.floor(F.col("conv_id") / IDS_PER_PIECE).alias("__range")).agg(
         F.array_join(F.array_sort(F.collect_list("conv_id")).cast("array<string>"), ",").alias("ids")
     )
-    names = ["n_turns", "key_a", "key_b"]
+    names = ["depth", "key_a", "key_b"]
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(rows: list) -> pa.RecordBatch:
@@ -197,7 +224,7 @@ def lists_of_ids(ends: DataFrame) -> DataFrame:
             yield done([(*key, digest.hexdigest())])
 
     order = [*names, "__range"]
-    schema = "n_turns bigint, key_a bigint, key_b bigint, ends_sha256 string"
+    schema = "depth bigint, key_a bigint, key_b bigint, ends_sha256 string"
     return pieces.repartition(*names).sortWithinPartitions(*order).select(*names, "ids").mapInArrow(digests, schema)
 
 
@@ -215,19 +242,16 @@ def prefix_trie(conversations: DataFrame, width: int = WIDTH, **options) -> Data
     rows; else the root is there, even if no conversation has turns. Options: ``family``, ``forks`` and the names of the
     four columns; see ``rebuilt``. Other columns are left out.
     """
-    turns, conv_ids = rebuilt(conversations, **options)
-    prefixes, ends = with_prefixes(turns, conv_ids)
-    blocks = saved(blocks_of(prefixes, ends, width), "turn-blocks")
+    turns, turnless = rebuilt(conversations, **options)
+    prefixes = saved(with_prefixes(turns), "prefixes")
+    blocks = saved(blocks_of(prefixes, turnless, width), "turn-blocks")
 
     owned = rolled_up(blocks, "min(conv_id) AS conv_id, max(n_turns) AS longest", width)
     owners = owned.groupBy("conv_id").agg(
-        F.min("depth").alias("first_depth"), F.max(F.col("longest") == F.col("depth")).cast("bigint").alias("owns_leaf")
-    )
-    # The words ahead of the first prefix that a conversation owns.
-    at = prefixes.select("conv_id", F.col("pos").alias("first_depth"), (F.col("words_upto") - F.col("words")).alias("__ahead"))
-    owners = saved(
-        owners.join(at, ["conv_id", "first_depth"], "left").withColumn("ahead", F.coalesce("__ahead", F.lit(0))).drop("__ahead"),
-        "owners",
+        F.min("depth").alias("first_depth"),
+        # The words ahead of the first prefix that a conversation owns.
+        F.min_by("words_ahead", "depth").alias("ahead"),
+        F.max(F.col("longest") == F.col("depth")).cast("bigint").alias("owns_leaf"),
     )
     shared = blocks.join(owners, "conv_id", "left").withColumns(
         {
@@ -235,47 +259,50 @@ def prefix_trie(conversations: DataFrame, width: int = WIDTH, **options) -> Data
             "owns_leaf": F.coalesce("owns_leaf", F.lit(0)),
         }
     )
-    values = (
-        "min(conv_id) AS conv_id, count(*) AS n_convs, sum(owns_leaf) AS n_leaves, sum(total) AS __total, sum(own) AS __own"
-    )
+    values = """
+        min(conv_id) AS conv_id, count(*) AS n_convs, sum(owns_leaf) AS n_leaves, sum(total) AS __total, sum(own) AS __own,
+        min_by(ahead, conv_id) AS __ahead, min_by(first_depth, conv_id) AS __first, min_by(n_turns, conv_id) AS __turns
+    """
     nodes = rolled_up(shared, values, width)
-    places = prefixes.select("conv_id", F.col("pos").alias("depth"), "words", "words_upto", "key_a", "key_b")
-    nodes = nodes.join(places, ["conv_id", "depth"], "left").fillna(0, ["words", "words_upto", "key_a", "key_b"])
-    mine = ends.select("conv_id", "n_turns", F.col("total").alias("__mine"))
-    nodes = nodes.join(mine, "conv_id").join(owners.select("conv_id", "first_depth", "ahead"), "conv_id")
-    before = F.col("words_upto") - F.col("words")
-    # The owner is a member too, and counts from this depth on, however little further down it owns.
-    distinct = F.col("__own") - (F.col("__mine") - F.col("ahead")) + (F.col("__mine") - before)
-    nodes = saved(
-        nodes.withColumn("saved_tokens", F.col("__total") - F.col("n_convs") * before - distinct).drop("__total", "__own"),
-        "trie-nodes",
-    )
+    # Words of all members from this depth on, less those of each distinct prefix below; the owner counts from here on,
+    # however little further down it owns.
+    distinct = F.col("__own") + F.col("__ahead") - F.col("words_ahead")
+    nodes = nodes.withColumns(
+        {
+            "saved_tokens": F.col("__total") - F.col("n_convs") * F.col("words_ahead") - distinct,
+            "__looks_up": (F.col("depth") > 0) & (F.col("depth") == F.col("__first")),
+            "__salt": F.pmod(F.xxhash64("conv_id"), F.lit(SALTS)),
+            "__follows": (F.col("__turns") > F.col("depth")).cast("bigint"),
+        }
+    ).drop("__total", "__own", "__ahead", "__first", "__turns", "words_ahead")
+    nodes = saved(nodes, "trie-nodes")
 
-    up = prefixes.select("conv_id", (F.col("pos") + 1).alias("depth"), F.col("key_a").alias("__up_a"), F.col("key_b").alias("__up_b"))
-    firsts = nodes.filter("depth > 0 AND depth = first_depth").select("conv_id", "depth")
-    firsts = firsts.join(up, ["conv_id", "depth"], "left").fillna(0, ["__up_a", "__up_b"])
-    firsts = firsts.withColumn("__salt", F.pmod(F.xxhash64("conv_id"), F.lit(SALTS)))
-    above = [F.col("depth") - 1, F.col("__up_a"), F.col("__up_b")]
-    wanted = firsts.groupBy(*[c.alias(n) for c, n in zip(above, ("depth", "key_a", "key_b"), strict=True)], "__salt").agg(
-        F.count("*").alias("__n")
-    )
     keys = ["depth", "key_a", "key_b"]
-    found = saved(wanted.join(nodes.select(*keys, F.col("conv_id").alias("parent_conv_id")), keys), "parents")
-    children = found.groupBy(*keys).agg(F.sum("__n").alias("__others"))
-    parents = firsts.join(
-        found.select(
-            (F.col("depth") + 1).alias("depth"), F.col("key_a").alias("__up_a"), F.col("key_b").alias("__up_b"), "__salt", "parent_conv_id"
-        ),
-        ["depth", "__up_a", "__up_b", "__salt"],
-    ).select("conv_id", "depth", "parent_conv_id")
-    digests = lists_of_ids(ends).withColumnRenamed("n_turns", "depth")
-    whole = nodes.join(children, keys, "left").join(digests, keys, "left").join(parents, ["conv_id", "depth"], "left")
-    return whole.select(
+    parent = [(F.col("depth") - 1).alias("depth"), F.col("up_a").alias("key_a"), F.col("up_b").alias("key_b")]
+    children = nodes.filter("__looks_up").select(*parent, "__salt").groupBy(*keys, "__salt").agg(F.count("*").alias("__n"))
+    children = children.groupBy(*keys).agg(F.sum("__n").alias("__others"), F.collect_list("__salt").alias("__salts"))
+    a, b = halves(F.col("pos"), F.col("turn_id"))
+    ends = prefixes.filter("pos = n_turns").select(
+        "conv_id", F.col("pos").alias("depth"), F.col("prior_a").bitwiseXOR(a).alias("key_a"), F.col("prior_b").bitwiseXOR(b).alias("key_b")
+    )
+    ends = ends.unionByName(turnless.select("conv_id", *[F.lit(0).cast("bigint").alias(name) for name in keys]))
+    known = saved(nodes.join(children, keys, "left").join(lists_of_ids(ends), keys, "left"), "trie-children")
+
+    above = known.filter("__salts IS NOT NULL").select(
+        (F.col("depth") + 1).alias("depth"),
+        F.col("key_a").alias("up_a"),
+        F.col("key_b").alias("up_b"),
+        F.explode("__salts").alias("__salt"),
+        F.col("conv_id").alias("parent_conv_id"),
+    )
+    found = known.filter("__looks_up").join(above, ["depth", "up_a", "up_b", "__salt"])
+    same = known.filter("NOT __looks_up").withColumn("parent_conv_id", F.when(F.col("depth") > 0, F.col("conv_id")))
+    return same.unionByName(found).select(
         "conv_id",
         "depth",
-        F.when(F.col("depth") > 0, F.coalesce("parent_conv_id", "conv_id")).alias("parent_conv_id"),
+        "parent_conv_id",
         "n_convs",
-        (F.coalesce("__others", F.lit(0)) + (F.col("n_turns") > F.col("depth")).cast("bigint")).alias("n_children"),
+        (F.coalesce("__others", F.lit(0)) + F.col("__follows")).alias("n_children"),
         "n_leaves",
         "saved_tokens",
         F.coalesce("ends_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("ends_sha256"),
