@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bazaarlens.llm import tokens
 from bazaarlens.llm.base import place_of, root, running, saved
 
 SEQUENCE_TOKENS = 1024
 END_ID = 2
-TOKENIZER = "byte_bpe_50k.json"
-# Chunks of text whose ids a worker remembers.
-REMEMBERED = 1 << 20
-CHUNK = re.compile(r"(?<=\S) (?=\S)")
+# Pieces of text whose ids a worker remembers.
+REMEMBERED = tokens.PIECES
 
 PIECES = T.StructType(
     [
@@ -33,49 +30,8 @@ PIECES = T.StructType(
 PIECES_WITH_IDS = T.StructType([*PIECES.fields, T.StructField("ids", T.BinaryType())])
 
 
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
-class Encoder(dict):
-    """Chunk of text -> its ids as little-endian unsigned 32-bit numbers.
-
-    The vocabulary's pattern never lets a token cross the place between a character and a single space before the next
-    character, so the ids of a text are those of its chunks in a row, and frequent chunks are encoded once.
-    """
-
-    def __init__(self, path: str, remembered: int = REMEMBERED):
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.remembered = remembered
-        self.tokenizer = Tokenizer.from_file(path)
-        # The string of a special token in a text is ordinary text.
-        self.tokenizer.encode_special_tokens = True
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        found = b"".join([i.to_bytes(4, "little") for i in ids])
-        if len(self) >= self.remembered:
-            self.clear()
-        if len(chunk) < 64:
-            self[chunk] = found
-        return found
-
-    def encode(self, text: str) -> bytes:
-        chunks = text.split(" ")
-        # The common case: words set apart by single spaces. Line breaks inside a chunk do no harm.
-        if not all(c and not c[0].isspace() and not c[-1].isspace() for c in chunks):
-            chunks = CHUNK.split(text)
-        first, rest = chunks[0], chunks[1:]
-        return b"".join([self[first] if first else b"", *[self[" " + c] for c in rest]])
-
-
-@lru_cache(maxsize=1)
-def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
-    return Encoder(path, remembered)
+def tokenizer_path(name: str = tokens.BYTE_BPE) -> str:
+    return tokens.tokenizer_path(name)
 
 
 def cut(total: int, most: int) -> list[tuple[int, int]]:
@@ -96,26 +52,30 @@ def token_pieces(
     remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Documents as pieces of at most ``most`` tokens, the end id included. A null text counts as empty: its piece is the
-    end id alone. A worker remembers the ids of so many chunks of text: some 200 bytes each, and no effect on results."""
+    end id alone. A worker remembers the ids of so many pieces of text, twice over at most: some 200 bytes each, and no
+    effect on results."""
     path = path or tokenizer_path()
     end = end_id.to_bytes(4, "little")
 
-    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path, remembered)
+    schema = PIECES_WITH_IDS if with_ids else PIECES
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = tokens.byte_ids(path, pieces=remembered).encode
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
             rows = []
-            for key, value in zip(batch["doc_id"].tolist(), batch["text"].tolist(), strict=True):
-                ids = encode.encode(value or "") + end
+            for key, value in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                ids = encode(value or "") + end
                 for n, (start, length) in enumerate(cut(len(ids) // 4, most)):
                     part = ids[4 * start : 4 * (start + length)]
-                    row = (None if key != key or key is None else int(key), n, start, length, zlib.crc32(part))
+                    row = (key, n, start, length, zlib.crc32(part))
                     rows.append((*row, part) if with_ids else row)
-            names = (PIECES_WITH_IDS if with_ids else PIECES).names
-            frame = pd.DataFrame(rows, columns=names)
-            yield frame.astype({"doc_id": "Int64"})
+            if rows:
+                columns = zip(zip(*rows, strict=True), types, strict=False)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], schema.names)
 
     narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInPandas(encoded, PIECES_WITH_IDS if with_ids else PIECES)
+    return narrow.mapInArrow(encoded, schema)
 
 
 class TightestBins:

@@ -16,8 +16,15 @@ LONGEST = 64
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Latin text of characters whose class, case and composed form no Unicode version changed, and white space of ASCII.
 PLAIN = re.compile("[\t-\r\x20-\x7e\xa1-\xac\xae-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f]*")
+LETTERS, DIGITS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9"
 # What the classes of a tokenizer's pattern are in plain text.
-IN_PLAIN = {r"[^\s\p{L}\p{N}]": r"(?:[^\s\w]|_)", r"[\p{L}]": r"[^\W\d_]", r"\p{L}": r"[^\W\d_]", r"[\p{N}]": r"\d", r"\p{N}": r"\d"}
+IN_PLAIN = {
+    r"[^\s\p{L}\p{N}]": f"[^\\s{LETTERS}{DIGITS}]",
+    r"[\p{L}]": f"[{LETTERS}]",
+    r"\p{L}": f"[{LETTERS}]",
+    r"[\p{N}]": f"[{DIGITS}]",
+    r"\p{N}": f"[{DIGITS}]",
+}
 
 
 def plain_pattern(pattern: str) -> re.Pattern:

@@ -7,7 +7,7 @@ import zlib
 
 import pytest
 
-from bazaarlens.llm import packing
+from bazaarlens.llm import packing, tokens
 
 TEXTS = [
     None, "", " ", "\n\n", "a  b", "word word, word\nThe\tthing  end ", "  lead", "trail  ", "x" * 300, "nœud été à b",
@@ -16,7 +16,7 @@ TEXTS = [
 
 
 def plain_ids(text):
-    return packing.encoder(packing.tokenizer_path()).tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+    return tokens.byte_ids(packing.tokenizer_path()).tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
 
 
 def naive_best_fit(lengths, most):
