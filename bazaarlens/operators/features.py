@@ -8,7 +8,6 @@ from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.base import Estimator
 from pyspark.ml.feature import (
     IDF,
-    CountVectorizer,
     HashingTF,
     MinMaxScaler,
     OneHotEncoder,
@@ -20,14 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.numbers import log_price, to_double
+from bazaarlens.operators.vocabulary import MOST_WORDS, TermCounts
 from bazaarlens.schemas import MODEL_CATEGORIES, MODEL_NUMERICS
 
 LABEL = "log_price"
 FEATURES = "features"
 TEXT_METHODS = ("tf-idf", "count-vectorizer")
-# The largest index a vector has: no word is left out. The vectorizer keeps its words on the driver; for a vocabulary that
-# outgrows it, hash the words instead.
-ALL_WORDS = (1 << 31) - 1
 
 Stage = Estimator | Transformer
 
@@ -42,6 +39,7 @@ class FeatureSpec:
     text_method: str = "tf-idf"
     min_doc_freq: int = 2
     hash_width: int = 500
+    most_words: int = MOST_WORDS
     omit: frozenset[str] = frozenset()
 
     def __post_init__(self) -> None:
@@ -74,7 +72,7 @@ def text_stages(spec: FeatureSpec) -> list[Stage]:
     words, counts, output = (f"{spec.text}_{part}" for part in ("words", "counts", "features"))
     tokenizer = Tokenizer(inputCol=spec.text, outputCol=words)
     if spec.text_method == "count-vectorizer":
-        return [tokenizer, CountVectorizer(inputCol=words, outputCol=output, vocabSize=ALL_WORDS)]
+        return [tokenizer, TermCounts(inputCol=words, outputCol=output, mostWords=spec.most_words)]
     return [
         tokenizer,
         HashingTF(inputCol=words, outputCol=counts, numFeatures=spec.hash_width),

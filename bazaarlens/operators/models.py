@@ -21,14 +21,15 @@ from pyspark.util import inheritable_thread_target
 
 from bazaarlens.constants import SPLIT_SEED, SPLIT_WEIGHTS
 from bazaarlens.functions.numbers import price_from_log
+from bazaarlens.operators import moments
 from bazaarlens.operators.features import FEATURES, LABEL, FeatureSpec, feature_stages, prepare
 from bazaarlens.session import written
 
 LOG_PREDICTION = "log_prediction"
 PLAIN_FOREST_TREES = 100
-# Partitions of the rows a model is fitted on. Trees draw their rows by partition, so the number is part of the model, not of
-# the cluster; raise it for more rows than so many tasks can hold.
-FIT_PARTITIONS = 16
+# Rows in a partition of those a model is fitted on: few as long as there are few partitions. Trees draw their rows by
+# partition, so the number follows from the rows, not from the cluster.
+FIT_PARTITIONS, FEW_ROWS, MANY_ROWS = 16, 1_000, 100_000
 
 # The grids that are searched.
 GRIDS: dict[str, dict[str, Sequence[float]]] = {
@@ -84,8 +85,13 @@ def labelled(df: DataFrame, spec: FeatureSpec, keys: Sequence[str] = ()) -> Data
     return prepare(df, spec).where(F.col(LABEL).isNotNull()).select(*columns)
 
 
-def laid_out(rows: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+def fit_partitions(rows: int) -> int:
+    return max(1, min(FIT_PARTITIONS, -(-rows // FEW_ROWS)), -(-rows // MANY_ROWS))
+
+
+def laid_out(rows: DataFrame, partitions: int | None = None) -> DataFrame:
     """The rows in a layout that follows from their values alone: the same on any cluster."""
+    partitions = partitions or fit_partitions(rows.count())
     columns = sorted(rows.columns)
     return rows.repartition(partitions, F.xxhash64(*columns)).sortWithinPartitions(*columns)
 
@@ -95,14 +101,17 @@ def fit(
     model_name: str = "random_forest",
     spec: FeatureSpec = FeatureSpec(),
     seed: int = SPLIT_SEED,
-    partitions: int = FIT_PARTITIONS,
+    partitions: int | None = None,
     **params,
 ) -> PipelineModel:
-    """Fits features and regressor. Prepared rows are written down first, since every fitted stage reads them."""
+    """Fits features and regressor. Prepared rows are written down first, since every fitted stage reads them; what the
+    regressor reads is laid out by value."""
     if model_name == "random_forest":
         params.setdefault("numTrees", PLAIN_FOREST_TREES)
-    rows = laid_out(written(labelled(train, spec), "fit-rows"), partitions)
-    return Pipeline(stages=[*feature_stages(spec), regressor(model_name, seed, **params)]).fit(rows)
+    rows = written(labelled(train, spec), "fit-rows")
+    features = Pipeline(stages=feature_stages(spec)).fit(rows)
+    points = features.transform(laid_out(rows, partitions)).select(FEATURES, LABEL)
+    return _chain(features, regressor(model_name, seed, **params).fit(points))
 
 
 def predict(
@@ -184,7 +193,7 @@ def _fold_scores(
     features = Pipeline(stages=feature_stages(spec)).fit(fit_part)
     fit_rows, check_rows = (
         features.transform(part).select(FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
-        for part in (fit_part, check_part)
+        for part in (laid_out(fit_part), check_part)
     )
     try:
         return _score_grid(estimator, maps, fit_rows, check_rows, parallelism)
@@ -208,14 +217,26 @@ def tune(
 
     Features are fitted on the training rows of each fold and shared by the whole grid: no fold sees its own check rows,
     at one feature fit per fold. ``fit_features_once`` fits them on all rows before folding instead. Folds go by a hash of
-    ``keys`` (of all model columns when none are given), so a task that is run again puts each row in the same fold.
+    ``keys`` (of all model columns when none are given), so a task that is run again puts each row in the same fold. Rows
+    are laid out by their values, so neither the cluster nor the files change what a forest draws.
+
+    Linear models with hashed words are scored from sums over the folds (``moments``) up to ``moments.MOST_FEATURES``
+    features; the best point is fitted by Spark in any case.
     """
     estimator = regressor(model_name, seed)
-    maps = _param_maps(estimator, grid or GRIDS[model_name])
+    grid = grid or GRIDS[model_name]
+    maps = _param_maps(estimator, grid)
+    points = tuple({param.name: value for param, value in point.items()} for point in maps)
     rows = labelled(train, spec, keys)
     rows = written(rows.withColumn("fold", hash_bucket(keys or rows.columns, folds, seed)), "tune-rows")
+    in_place = laid_out(rows)
     features = Pipeline(stages=feature_stages(spec)).fit(rows)
-    if fit_features_once:
+    if _by_sums(model_name, spec, grid) and moments.feature_count(rows, spec) <= moments.MOST_FEATURES:
+        by_fold = moments.linear_scores(rows, spec, points, folds, fit_features_once)
+        scores = [float(sum(point) / folds) for point in zip(*by_fold, strict=True)]
+        best_map = maps[max(range(len(scores)), key=scores.__getitem__)]
+        best = estimator.fit(features.transform(in_place).select(FEATURES, LABEL), best_map)
+    elif fit_features_once:
         search = CrossValidator(
             estimator=estimator,
             estimatorParamMaps=maps,
@@ -223,16 +244,21 @@ def tune(
             numFolds=folds,
             foldCol="fold",
             parallelism=parallelism,
-        ).fit(features.transform(rows).select(FEATURES, LABEL, "fold"))
+        ).fit(features.transform(in_place).select(FEATURES, LABEL, "fold"))
         scores, best = list(search.avgMetrics), search.bestModel
     else:
         by_fold = [_fold_scores(rows, fold, spec, estimator, maps, parallelism) for fold in range(folds)]
         scores = [sum(point) / folds for point in zip(*by_fold, strict=True)]
         best_map = maps[max(range(len(scores)), key=scores.__getitem__)]
-        best = estimator.fit(features.transform(rows).select(FEATURES, LABEL), best_map)
-    points = tuple({param.name: value for param, value in point.items()} for point in maps)
+        best = estimator.fit(features.transform(in_place).select(FEATURES, LABEL), best_map)
     return TunedModel(_chain(features, best), points, tuple(scores))
 
 
+def _by_sums(model_name: str, spec: FeatureSpec, grid: dict[str, Sequence[float]]) -> bool:
+    """Whether scores follow from sums: penalised linear models, of which the text is hashed or left out."""
+    hashed = spec.text_method == "tf-idf" or spec.text in spec.omit
+    return model_name == "lr" and hashed and set(grid) == {"regParam", "elasticNetParam"} and min(grid["regParam"]) > 0
+
+
 def _chain(features: PipelineModel, best: Model) -> PipelineModel:
     return PipelineModel([*features.stages, best])

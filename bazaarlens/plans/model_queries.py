@@ -364,6 +364,151 @@ def md_best(spark, sf_dir):
     return _scores(spark, sf_dir, "lr").where("best")
 
 
+# --- models of known rows --------------------------------------------------------------------------------------------
+
+LINE_KEY = ("l_orderkey", "l_linenumber")
+ONE_NUMBER = FeatureSpec(text="nothing", categories=(), numerics=("x",)).without("nothing")
+
+# A line's log price from its quantity alone: penalised regression of one number in closed form.
+_LINES = """WITH lines AS (
+    SELECT l_quantity AS x, l_extendedprice AS price, log10(l_extendedprice) AS y,
+           ('0x' || substr(md5('1000|' || l_orderkey || '|' || l_linenumber), 1, 12))::BIGINT AS bucket FROM lineitem),
+  train AS (SELECT *, bucket % 3 AS fold FROM lines WHERE bucket % 1000 < 700),
+  grid AS (SELECT (row_number() OVER (ORDER BY reg DESC, mix) - 1)::INTEGER AS point, reg, mix
+           FROM (VALUES (0.1::DOUBLE), (0.01::DOUBLE)) a(reg), (VALUES (0.0::DOUBLE), (0.5::DOUBLE), (1.0::DOUBLE)) b(mix))"""
+
+
+def _line_fits(source: str) -> str:
+    """Slope and intercept of each grid point from the sums of ``source``, by ``fold``."""
+    return f"""SELECT fold, point, slope, my - slope * mx AS intercept FROM (
+        SELECT fold, point, mx, my, sign(r) * greatest(0, abs(r) - reg * mix / sy) / (1 + reg * (1 - mix) / sy) * sy / sx AS slope
+        FROM (SELECT fold, avg(x) AS mx, avg(y) AS my, stddev_pop(x) AS sx, stddev_pop(y) AS sy, corr(x, y) AS r FROM {source} GROUP BY fold), grid)"""
+
+
+_LINE_SCORES = f"""{_LINES},
+  folds AS (SELECT DISTINCT fold FROM train),
+  others AS (SELECT f.fold, x, y FROM train t JOIN folds f ON t.fold <> f.fold),
+  fits AS ({_line_fits("others")}),
+  errors AS (
+    SELECT fold, point, 1 - sum(pow(y - slope * x - intercept, 2)) / (var_pop(y) * count(*)) AS r2
+    FROM train JOIN fits USING (fold) GROUP BY fold, point),
+  scores AS (SELECT point, avg(r2) AS r2 FROM errors GROUP BY point),
+  best AS (SELECT min(point) AS point FROM scores WHERE r2 = (SELECT max(r2) FROM scores)),
+  shown AS (
+    SELECT point, 'elasticNetParam=' || CASE mix WHEN 0 THEN '0' WHEN 1 THEN '1' ELSE '0.5' END || ', regParam=' || reg AS params,
+           round(r2, 8) AS cv_r2, point = (SELECT point FROM best) AS best
+    FROM scores JOIN grid USING (point))"""
+
+
+def _line_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    lines = bridge.table(spark, sf_dir, "lineitem")
+    rows = lines.select(*LINE_KEY, F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("price"), F.lit("").alias("nothing"))
+    return models.key_split(rows, LINE_KEY)
+
+
+def _line_tuned(spark: SparkSession, sf_dir: str, **options) -> models.TunedModel:
+    return models.tune(_line_rows(spark, sf_dir)[0], "lr", ONE_NUMBER, keys=LINE_KEY, **options)
+
+
+def _line_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_tuned(spark, sf_dir).score_table().withColumn("cv_r2", F.round("cv_r2", 8))
+
+
+@query("md_cv_lr_lines", f"{_LINE_SCORES} SELECT * FROM shown")
+def md_cv_lr_lines(spark, sf_dir):
+    """The whole grid of the linear model over all order lines."""
+    return _line_scores(spark, sf_dir)
+
+
+@query("md_best_lines", f"{_LINE_SCORES} SELECT * FROM shown WHERE best")
+def md_best_lines(spark, sf_dir):
+    return _line_scores(spark, sf_dir).where("best")
+
+
+@query(
+    "md_tune_lines",
+    f"""{_LINE_SCORES}, everything AS (SELECT 0 AS fold, x, y FROM train), refits AS ({_line_fits("everything")}),
+    predicted AS (SELECT price, pow(10, slope * x + intercept) AS p FROM lines, refits JOIN best USING (point) WHERE bucket % 1000 >= 700)
+    SELECT round(sqrt(avg(pow(price - p, 2))), 2) AS rmse, round(1 - avg(pow(price - p, 2)) / var_pop(price), 6) AS r2,
+           round(sqrt(avg(pow(ln(1 + price) - ln(1 + p), 2))), 6) AS rmsle FROM predicted""",
+)
+def md_tune_lines(spark, sf_dir):
+    """The tuned model's scores on lines it has not seen."""
+    tuned = _line_tuned(spark, sf_dir, fit_features_once=True)
+    scores = metrics.evaluate(models.predict(tuned.model, _line_rows(spark, sf_dir)[1], ONE_NUMBER))
+    return scores.select(F.round("rmse", 2).alias("rmse"), F.round("r2", 6).alias("r2"), F.round("rmsle", 6).alias("rmsle"))
+
+
+CUSTOMER_KEY = ("c_custkey",)
+# A price that jumps at one place of a number: trees find the place, and nothing else is right.
+_STEP = """WITH step AS (
+    SELECT c_custkey, (c_custkey % 8)::DOUBLE AS x, CASE WHEN c_custkey % 8 < 3 THEN 100.0::DOUBLE ELSE 10000.0::DOUBLE END AS price,
+           ('0x' || substr(md5('1000|' || c_custkey), 1, 12))::BIGINT % 1000 < 700 AS train FROM customer)"""
+_STEP_PREDICTED = f"{_STEP} SELECT c_custkey, price AS prediction FROM step WHERE NOT train"
+
+
+def _step_grid(first: str, firsts: tuple[int, ...], second: str, seconds: tuple[int, ...]) -> str:
+    """Every point scores 1, so the first is the best. Points come as the grid lists them, names as a description does."""
+    values = ", ".join(f"({a})" for a in firsts), ", ".join(f"({b})" for b in seconds)
+    return f"""SELECT (row_number() OVER (ORDER BY a, b) - 1)::INTEGER AS point, '{first}=' || a || ', {second}=' || b AS params,
+        1.0::DOUBLE AS cv_r2, row_number() OVER (ORDER BY a, b) = 1 AS best FROM (VALUES {values[0]}) u(a), (VALUES {values[1]}) v(b)"""
+
+
+def _step_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    number = (F.col("c_custkey") % 8).cast("double")
+    price = F.when(number < 3, 100.0).otherwise(10000.0)
+    rows = bridge.table(spark, sf_dir, "customer").select(*CUSTOMER_KEY, number.alias("x"), price.alias("price"), F.lit("").alias("nothing"))
+    return models.key_split(rows, CUSTOMER_KEY)
+
+
+def _step_predicted(spark: SparkSession, sf_dir: str, model_name: str, **params) -> DataFrame:
+    train, test = _step_rows(spark, sf_dir)
+    model = models.fit(train, model_name, ONE_NUMBER, **params)
+    return models.predict(model, test, ONE_NUMBER, keys=CUSTOMER_KEY).select(*CUSTOMER_KEY, F.round("prediction", 6).alias("prediction"))
+
+
+@query("md_rf_step", _STEP_PREDICTED)
+def md_rf_step(spark, sf_dir):
+    """Predictions of a forest for a price that jumps."""
+    return _step_predicted(spark, sf_dir, "random_forest")
+
+
+@query("md_gbt_step", _STEP_PREDICTED)
+def md_gbt_step(spark, sf_dir):
+    return _step_predicted(spark, sf_dir, "gbt")
+
+
+def _step_scores(spark: SparkSession, sf_dir: str, model_name: str) -> DataFrame:
+    tuned = models.tune(_step_rows(spark, sf_dir)[0], model_name, ONE_NUMBER, keys=CUSTOMER_KEY, parallelism=8)
+    return tuned.score_table().withColumn("cv_r2", F.round("cv_r2", 9))
+
+
+@query("md_cv_rf_step", _step_grid("maxDepth", (2, 5, 10), "numTrees", (5, 20, 50)))
+def md_cv_rf_step(spark, sf_dir):
+    """The whole grid of the forest: every point finds the jump in every fold."""
+    return _step_scores(spark, sf_dir, "random_forest")
+
+
+@query("md_cv_gbt_step", _step_grid("maxBins", (10, 20, 40), "maxDepth", (2, 5, 10)))
+def md_cv_gbt_step(spark, sf_dir):
+    return _step_scores(spark, sf_dir, "gbt")
+
+
+@query(
+    "md_predict_lines",
+    f"""{_LINES} SELECT l_orderkey, l_linenumber, round(10 * pow(10, l_quantity / 50), 4) AS prediction FROM lineitem
+        WHERE ('0x' || substr(md5('1000|' || l_orderkey || '|' || l_linenumber), 1, 12))::BIGINT % 1000 >= 700""",
+)
+def md_predict_lines(spark, sf_dir):
+    """Predictions of a linear model for a price of which the logarithm is a line."""
+    rows = bridge.table(spark, sf_dir, "lineitem").select(
+        *LINE_KEY, F.col("l_quantity").alias("x"), (10 * F.pow(F.lit(10.0), F.col("l_quantity") / 50)).alias("price"), F.lit("").alias("nothing")
+    )
+    train, test = models.key_split(rows, LINE_KEY)
+    found = models.predict(models.fit(train, "lr", ONE_NUMBER), test, ONE_NUMBER, keys=LINE_KEY)
+    return found.select(*LINE_KEY, F.round("prediction", 4).alias("prediction"))
+
+
 @query("ex_suite")
 def ex_suite(spark, sf_dir):
     train, test = _split_rows(spark, sf_dir)

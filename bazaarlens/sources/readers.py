@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlens.schemas import LISTINGS, MODEL_CSV, SEED
+from bazaarlens.sources.csv_records import read_csv_records
 
 _BLANKS = " \t\r\n"
 
@@ -19,15 +20,9 @@ def spread(scan: DataFrame) -> DataFrame:
 
 
 def read_model_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Headered CSV of the model table, all text; quoted fields may hold line breaks and doubled quotes."""
-    return (
-        spark.read.schema(MODEL_CSV)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    """Headered CSV of the model table, all text; quoted fields may hold line breaks and doubled quotes. Large files are read in
+    splits."""
+    return read_csv_records(spark, path, MODEL_CSV)
 
 
 def read_listings(spark: SparkSession, path: str, site: str, partitioned: bool = False) -> DataFrame:

@@ -1,0 +1,93 @@
+"""Frequency ranks and word counts as tables, against Spark's own indexer and vectorizer."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import CountVectorizer, StringIndexer
+from pyspark.sql import functions as F
+
+from bazaarlens.operators import features, ranks, vocabulary
+from bazaarlens.operators.features import FeatureSpec
+from bazaarlens.session import scratch_path, written
+
+WORDS = ["b b a", "", "c a", "b", "zz b", None, "ă ắ b c c", "b " * 500]
+
+
+def test_a_million_labels_with_one_that_a_third_of_all_rows_have(spark):
+    n = 1_500_000
+    label = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("l"), F.pmod(F.col("id") * 7919, F.lit(1_000_003))))
+    rows = written(spark.range(n).select(label.alias("label")), "labels")
+    found = written(ranks.frequency_ranks(rows, "label"), "ranks")
+    distinct = rows.select("label").distinct().count()
+    assert found.count() == distinct > 600_000
+    top = found.orderBy("rank").first()
+    assert tuple(top) == ("hot", n // 3, 0)
+    # Ranks are dense, and follow counts and then labels.
+    shape = found.agg(F.max("rank"), F.count_distinct("rank")).first()
+    assert tuple(shape) == (distinct - 1, distinct)
+    pairs = found.alias("a").join(found.alias("b"), F.col("a.rank") + 1 == F.col("b.rank"))
+    right = (F.col("a.n") > F.col("b.n")) | (F.col("a.n") == F.col("b.n")) & (F.col("a.value") < F.col("b.value"))
+    assert pairs.where(~right).count() == 0
+    assert ranks.with_rank(rows, found, "label", "i").count() == n
+
+
+@pytest.mark.parametrize("hot", [0, 2, 100])
+def test_indexes_equal_those_of_the_indexer(spark, monkeypatch, hot):
+    monkeypatch.setattr(ranks.with_rank, "__defaults__", (hot,))
+    rows = spark.createDataFrame([(i, c, d) for i, (c, d) in enumerate(zip("bbbaaczdd" + "e", "xyxyxyxyx" + "q", strict=True))] + [(20, None, "x")], "i int, c string, d string")
+    model = StringIndexer(inputCols=["c", "d"], outputCols=["c_index", "d_index"], handleInvalid="skip").fit(rows)
+    both = rows.unionByName(spark.createDataFrame([(30, "new", "x")], "i int, c string, d string"))
+    expected = sorted(map(tuple, model.transform(both).collect()))
+    found = ranks.index_labels(both, ("c", "d"), fitted_on=rows)
+    assert sorted(map(tuple, found.select("i", "c", "d", "c_index", "d_index").collect())) == expected
+    places = found.select(ranks.one_hot_place(F.col("d_index"), 3).alias("p")).collect()
+    assert {r.p for r in places} == {0, 1, None}
+
+
+def text_rows(spark):
+    rows = spark.createDataFrame(list(enumerate(WORDS)), "i int, text string").withColumn("text", F.coalesce("text", F.lit("")))
+    return rows.repartition(3)
+
+
+def test_word_vectors_equal_those_of_the_vectorizer(spark):
+    spec = FeatureSpec(text="text", text_method="count-vectorizer")
+    rows = text_rows(spark)
+    model = Pipeline(stages=features.text_stages(spec)).fit(rows)
+    names = {r["rank"]: r["value"] for r in model.stages[1].ranks.collect()}
+    plain = CountVectorizer(inputCol="text_words", outputCol="v").fit(model.stages[0].transform(rows))
+    expected = {r.i: {plain.vocabulary[j]: n for j, n in zip(r.v.indices, r.v.values, strict=True)} for r in plain.transform(model.stages[0].transform(rows)).collect()}
+    found = model.transform(rows).collect()
+    assert len(found) == len(WORDS) and all(r.text_features.size == len(names) for r in found)
+    assert {r.i: {names[j]: n for j, n in zip(r.text_features.indices, r.text_features.values, strict=True)} for r in found} == expected
+    totals = Counter(w for text in WORDS for w in ((text or "").lower().rstrip() or "").split(" "))
+    assert [names[j] for j in range(len(names))] == sorted(totals, key=lambda w: (-totals[w], w))
+
+
+def test_unknown_words_count_for_nothing(spark):
+    rows = spark.createDataFrame([(["a", "b"],), (["a"],)], "w array<string>")
+    model = vocabulary.TermCounts("w", "v").fit(rows)
+    new = spark.createDataFrame([(["b", "new", "b"],), (["new"],), ([],)], "w array<string>")
+    assert sorted(str(r.v) for r in model.transform(new).collect()) == ["(2,[1],[2.0])", "(2,[],[])", "(2,[],[])"]
+
+
+def test_too_many_words_are_an_error(spark):
+    rows = spark.createDataFrame([(["a", "b", "c"],)], "w array<string>")
+    with pytest.raises(ValueError, match="3 words are more than 2"):
+        vocabulary.TermCounts("w", "v", mostWords=2).fit(rows)
+    spec = FeatureSpec(text="text", text_method="count-vectorizer", most_words=2)
+    with pytest.raises(ValueError, match="more than 2"):
+        Pipeline(stages=features.text_stages(spec)).fit(text_rows(spark))
+
+
+def test_saved_with_its_vocabulary(spark):
+    spec = FeatureSpec(text="text", text_method="count-vectorizer")
+    rows = text_rows(spark)
+    model = Pipeline(stages=features.text_stages(spec)).fit(rows)
+    path = scratch_path(spark, "t")
+    model.write().overwrite().save(path)
+    model.write().overwrite().save(path)
+    pick = lambda m: sorted((r.i, str(r.text_features)) for r in m.transform(rows).collect())
+    assert pick(PipelineModel.load(path)) == pick(model)
