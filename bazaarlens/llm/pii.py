@@ -17,6 +17,8 @@ NAMES_MALE = ("Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Hugo"
 NAMES_FEMALE = ("Anna", "Berta", "Clara", "Diana", "Elena", "Frida", "Greta", "Hanna", "Irene", "Julia", "Klara", "Laura", "Maria", "Nora", "Olga", "Paula")
 NAMES_ANY = ("Alex", "Billie", "Charlie", "Dominique", "Eden", "Francis", "Gabriel", "Harper", "Jules", "Kim", "Lou", "Marlo", "Noa", "Robin", "Sascha", "Toni")
 SYLLABLES = ("ba", "be", "bo", "da", "de", "do", "fa", "fe", "ga", "go", "ha", "ho", "ka", "ke", "ko", "la", "le", "lo", "ma", "me", "mo", "na", "ne", "no", "pa", "pe", "ra", "ro", "sa", "so", "ta", "to")
+# Draws that keep an entity's form; later ones are longer by a character each.
+DRAWS_IN_FORM = 3
 # The same of other scripts, by the name of the script.
 NAMES_BY_SCRIPT = {
     "Cyrillic": (
@@ -161,20 +163,40 @@ def _digits(value: Column, digest: Column) -> Column:
     return F.concat_ws("", F.transform(F.split(value, ""), other))
 
 
-def _keyed(entity: Column, key: str, attempt: Column) -> Column:
-    """An entity with its digests: of the whole, or a person's surname, and of an email's domain, or a person's given
-    name."""
+def part_of(entity: Column) -> Column:
+    """What an entity shares with others: a person's family, an email's domain; null for the rest."""
+    name = entity["entity"]
+    return (
+        F.when(entity["kind"] == "person", F.concat(F.lit("family "), F.element_at(F.split(F.lower(name), " "), -1)))
+        .when(entity["kind"] == "email", F.concat(F.lit("domain "), F.substring_index(name, "@", -1)))
+    )
+
+
+def _keyed(entity: Column, key: str, attempt: Column, part_attempt: Column) -> Column:
+    """An entity with its digests: ``d1`` of a person's surname or else of the whole, ``d2`` of an email's domain or a person's
+    given name, and the draws of both. A surname and a domain are drawn by themselves, so those who share one keep sharing it
+    whatever is drawn anew for one of them."""
     value, of, name = entity["value"], entity["kind"], entity["entity"]
 
-    def digest(label: str, part: Column) -> Column:
-        return F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit(label), of, part, attempt.cast("string")).cast("binary"), 512)
+    def digest(label: str, part: Column, draw: Column) -> Column:
+        return F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit(label), of, part, draw.cast("string")).cast("binary"), 512)
 
-    words = F.split(F.lower(name), " ")
-    first = F.when(of == "person", F.element_at(words, -1)).otherwise(name)
-    second = F.when(of == "person", F.get(words, 1)).otherwise(F.substring_index(name, "@", -1))
+    words, person = F.split(F.lower(name), " "), of == "person"
+    first = F.when(person, F.element_at(words, -1)).otherwise(name)
+    second = F.when(person, F.get(words, 1)).otherwise(F.substring_index(name, "@", -1))
+    first_draw = F.when(person, part_attempt).otherwise(attempt)
+    second_draw = F.when(person, attempt).otherwise(part_attempt)
     return F.struct(
-        value.alias("value"), of.alias("kind"), name.alias("entity"), digest("1", first).alias("d1"), digest("2", second).alias("d2")
-    )
+        value.alias("value"), of.alias("kind"), name.alias("entity"),
+        digest("1", first, first_draw).alias("d1"), digest("2", second, second_draw).alias("d2"),
+        F.greatest(F.lit(0), first_draw - DRAWS_IN_FORM).alias("n1"), F.greatest(F.lit(0), second_draw - DRAWS_IN_FORM).alias("n2"),
+    )
+
+
+def _longer(text: Column, digest: Column, n: Column, hexadecimal: bool = False) -> Column:
+    """The text with ``n`` more characters: where a form has too few surrogates for its entities, later draws are longer."""
+    end = F.substring(digest, F.lit(-1) * n, n)
+    return F.when(n > 0, F.concat(text, end if hexadecimal else F.translate(end, "0123456789", "ghijklmnop"))).otherwise(text)
 
 
 def _surrogate(e: Column) -> Column:
@@ -184,14 +206,16 @@ def _surrogate(e: Column) -> Column:
     and a surname of syllables, each of the script of the name it replaces and from it alone, so ``Mr. Paul Klee`` and
     ``Mr. Klee`` stay one family. Names beyond Latin, Cyrillic and Greek script are exchanged letter by letter.
     """
-    value, of, d1, d2 = e["value"], e["kind"], e["d1"], e["d2"]
+    value, of, d1, d2, n1, n2 = (e[c] for c in ("value", "kind", "d1", "d2", "n1", "n2"))
     domain = F.substring_index(value, "@", -1)
     email = F.concat(
-        _letters(F.substring_index(value, "@", 1), d1), F.lit("@"), _letters(F.substring_index(domain, ".", 1), d2),
-        F.lit(".example."), F.substring_index(domain, ".", -1),
+        _longer(_letters(F.substring_index(value, "@", 1), d1), d1, n1), F.lit("@"),
+        _longer(_letters(F.substring_index(domain, ".", 1), d2), d2, n2), F.lit(".example."), F.substring_index(domain, ".", -1),
     )
     octets = [(_number(d1, 0, 223) + 1).cast("string"), *[_number(d1, i, 256).cast("string") for i in (1, 2, 3)]]
-    hexadecimal = F.substring(d1, F.lit(1), F.length(value))
+    octets.append(F.when(n1 > 0, _number(d1, 4, 256).cast("string")))
+    hexadecimal = _longer(F.substring(d1, F.lit(1), F.length(value)), d1, n1, hexadecimal=True)
+    number = F.concat(_digits(value, d1), F.when(n1 > 0, F.translate(F.substring(d1, F.lit(-1) * n1, n1), "abcdef", "012345")).otherwise(""))
     words = F.split(value, " ")
     title = F.regexp_replace(F.get(words, 0), r"\.$", "")
 
@@ -208,12 +232,12 @@ def _surrogate(e: Column) -> Column:
     for script, names in NAMES_BY_SCRIPT.items():
         given = given.when(old_given.rlike(rf"^\p{{Is{script}}}"), given_of(*names))
         surname = surname.when(old_surname.rlike(rf"^\p{{Is{script}}}"), surname_of(SYLLABLES_BY_SCRIPT[script]))
-    given = F.when(F.size(words) > 2, given.otherwise(_letters(old_given, d2)))
-    surname = surname.otherwise(_letters(old_surname, d1))
+    given = F.when(F.size(words) > 2, _longer(given.otherwise(_letters(old_given, d2)), d2, n2))
+    surname = _longer(surname.otherwise(_letters(old_surname, d1)), d1, n1)
     return (
         F.when(of == "email", email)
         .when(of == "address", F.concat_ws(".", *octets))
-        .when(of.isin("phone", "card"), _digits(value, d1))
+        .when(of.isin("phone", "card"), number)
         .when(of == "secret", F.when(value == F.upper(value), F.upper(hexadecimal)).otherwise(hexadecimal))
         .otherwise(F.concat_ws(" ", F.get(words, 0), given, surname))
     )
@@ -230,34 +254,67 @@ def entities(docs: DataFrame, text: str) -> DataFrame:
     return rows.withColumns({"kind": kind(F.col("value")), "entity": canonical(F.col("value"))}).drop("value")
 
 
-def redrawn(docs: DataFrame, key: str, text: str = "text", attempts: int = 20) -> DataFrame:
-    """``(entity, attempt)`` of the entities whose first surrogate would be taken: by another entity, which keeps it if
-    its name is smaller, or as another entity's real value. Each round draws anew for those; rounds end when none is left.
+def _shown(kind: Column, entity: Column) -> Column:
+    """An entity as a value again. Numbers lose their separators in the canonical form; a plus sign tells phones again."""
+    return F.when(kind == "phone", F.concat(F.lit("+"), entity)).otherwise(entity)
 
-    Entities are made distinct before the shuffle, so a value in a third of all documents is one row.
+
+def _drawn_until_distinct(drawn: DataFrame, key: str, name: str) -> DataFrame:
+    """Draws anew for those of ``drawn`` whose surrogate another one has or has as its real value, until none is left.
+
+    ``drawn`` has ``kind``, ``entity`` and the draws ``attempt`` and ``part_attempt``; kinds named after a part are judged by
+    that part of the surrogate alone. Of those that share a surrogate, one drawn least often keeps it. Draws after the first
+    ``DRAWS_IN_FORM`` are a character longer each time, so every crowd is resolved; each round takes in a smaller rest.
     """
-    drawn = saved(entities(docs.select(text), text).distinct().withColumn("attempt", F.lit(0)), "entities")
-    for _ in range(attempts):
-        # Numbers lose their separators in the canonical form; a plus sign tells phones again.
-        shown = F.when(F.col("kind") == "phone", F.concat(F.lit("+"), F.col("entity"))).otherwise(F.col("entity"))
-        named = drawn.withColumn("e", _keyed(F.struct(shown.alias("value"), "kind", "entity"), key, F.col("attempt")))
-        named = named.withColumn("made", _surrogate(F.col("e"))).drop("e").withColumn("new", canonical(F.col("made")))
-        named = saved(named.drop("made"), "surrogates")
-        first = F.min(F.struct("attempt", "entity"))["entity"]
+    while True:
+        e = F.struct(_shown(F.col("kind"), F.col("entity")).alias("value"), "kind", "entity")
+        named = drawn.withColumn("e", _keyed(e, key, F.col("attempt"), F.col("part_attempt")))
+        named = named.withColumn("made", _surrogate(F.col("e"))).drop("e")
+        whole = canonical(F.col("made"))
+        if name == "parts":
+            # Families by surname, domains by all behind the sign.
+            family = F.element_at(F.split(F.lower(whole), " "), -1)
+            whole = F.when(F.col("kind") == "person", family).otherwise(F.substring_index(whole, "@", -1))
+            real_name = F.when(F.col("kind") == "person", F.element_at(F.split(F.lower("entity"), " "), -1)).otherwise(
+                F.substring_index("entity", "@", -1)
+            )
+        else:
+            real_name = F.col("entity")
+        named = saved(named.withColumns({"new": whole, "real": real_name}).drop("made"), f"surrogates-of-{name}")
+        draws = F.col("part_attempt") if name == "parts" else F.col("attempt")
+        first = F.min(F.struct(draws, F.col("entity")))["entity"]
         winners = named.groupBy("kind", "new").agg(first.alias("winner"))
-        real = drawn.select(F.col("kind").alias("__kind"), F.col("entity").alias("__real"), F.lit(True).alias("taken"))
-        judged = (
-            named.join(winners, ["kind", "new"])
-            .join(real, (F.col("kind") == F.col("__kind")) & (F.col("new") == F.col("__real")), "left")
-            .withColumn("again", (F.col("entity") != F.col("winner")) | F.coalesce("taken", F.lit(False)))
-        )
-        drawn = saved(
-            judged.select("kind", "entity", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"), "again"), "entities"
+        real = named.select(F.col("kind").alias("__kind"), F.col("real").alias("__real"), F.lit(True).alias("taken")).distinct()
+        judged = named.join(winners, ["kind", "new"]).join(
+            real, (F.col("kind") == F.col("__kind")) & (F.col("new") == F.col("__real")), "left"
         )
-        if not drawn.filter("again").limit(1).count():
-            return drawn.filter("attempt > 0").select("kind", "entity", "attempt")
-        drawn = drawn.drop("again")
-    raise RuntimeError(f"entities still share surrogates after {attempts} draws")
+        again = (F.col("entity") != F.col("winner")) | F.coalesce("taken", F.lit(False))
+        judged = saved(judged.select(*drawn.columns, again.alias("again")), f"judged-{name}")
+        if not judged.filter("again").limit(1).count():
+            return drawn
+        column = "part_attempt" if name == "parts" else "attempt"
+        drawn = judged.withColumn(column, F.col(column) + F.col("again").cast("int")).drop("again")
+
+
+def redrawn(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """``(name, attempt)`` of what is not given its first surrogate, because another entity has it or it is another one's real
+    value: families and domains first, then entities, of which only their own part is drawn anew.
+
+    Entities are made distinct before the shuffle, so a value in a third of all documents is one row.
+    """
+    none = F.lit(0)
+    found = saved(entities(docs.select(text), text).distinct(), "entities")
+    with_part = found.withColumn("part", part_of(F.struct("kind", "entity")))
+    # One entity stands for all that share a part: the part's surrogate depends on nothing else.
+    parts = with_part.filter("part IS NOT NULL").groupBy("kind", "part").agg(F.min("entity").alias("entity"))
+    parts = _drawn_until_distinct(
+        saved(parts.withColumns({"attempt": none, "part_attempt": none}), "parts"), key, "parts"
+    )
+    draws = parts.filter("part_attempt > 0").select("part", "part_attempt")
+    whole = with_part.join(draws, "part", "left").withColumns({"attempt": none, "part_attempt": F.coalesce("part_attempt", none)})
+    whole = _drawn_until_distinct(saved(whole, "whole-entities"), key, "entities")
+    again = whole.filter("attempt > 0").select(F.concat_ws(" ", "kind", "entity").alias("name"), "attempt")
+    return again.unionByName(draws.select(F.col("part").alias("name"), F.col("part_attempt").alias("attempt")))
 
 
 def replace_pii(docs: DataFrame, key: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -265,25 +322,31 @@ def replace_pii(docs: DataFrame, key: str, text: str = "text", doc_id: str = "do
 
     A surrogate follows from the key and the entity, so it is the same in all documents and in a rerun, and one projection
     writes it where the entity stands. Only entities whose surrogate would collide (see ``redrawn``) are looked up: the
-    documents that hold one are joined with a map of theirs.
+    documents that hold one are joined with a map of theirs. Persons of one family get one surname and emails of one domain
+    one domain, in all documents. Distinct entities get distinct surrogates: where a form has too few, some are longer than
+    what they replace. Nothing ends in an error.
 
     A null text stays null, with no entities; texts without entities are unchanged. Repeated rows are treated alike. Other
     columns pass through.
     """
     docs = docs.drop("n_entities")
-    again = redrawn(docs, key, text)
+    again = saved(redrawn(docs, key, text), "redrawn")
     if again.limit(1).count():
-        again = small_or_shuffled(saved(again, "redrawn"), 200_000)
+        again = small_or_shuffled(again, 200_000)
         held = entities(docs.select(F.col(doc_id).alias("__id"), text), text)
-        entry = F.struct(F.concat_ws(" ", "kind", "entity").alias("name"), "attempt")
-        maps = held.join(again, ["kind", "entity"]).groupBy("__id").agg(F.map_from_entries(F.collect_set(entry)).alias("__again"))
+        names = F.array_compact(F.array(F.concat_ws(" ", "kind", "entity"), part_of(F.struct("kind", "entity"))))
+        held = held.select("__id", F.explode(names).alias("name")).distinct()
+        entry = F.struct("name", "attempt")
+        maps = held.join(again, "name").groupBy("__id").agg(F.map_from_entries(F.collect_set(entry)).alias("__again"))
         rows = docs.join(small_or_shuffled(saved(maps, "redrawn-maps"), 100_000), F.col(doc_id).eqNullSafe(F.col("__id")), "left")
     else:
         rows = docs.withColumn("__again", F.lit(None).cast("map<string,int>"))
 
     def keyed(e: Column) -> Column:
-        attempt = F.try_element_at(F.col("__again"), F.concat_ws(" ", e["kind"], e["entity"]))
-        return _keyed(e, key, F.coalesce(attempt, F.lit(0)))
+        def draws(name: Column) -> Column:
+            return F.coalesce(F.try_element_at(F.col("__again"), name), F.lit(0))
+
+        return _keyed(e, key, draws(F.concat_ws(" ", e["kind"], e["entity"])), draws(F.coalesce(part_of(e), F.lit(""))))
 
     # Step by step, so that each digest is worked out once.
     rows = rows.withColumn("__found", F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0)))

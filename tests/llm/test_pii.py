@@ -131,3 +131,33 @@ def test_numbers_in_groups_go(spark):
     assert n == 6 and match, new
     assert not any(real in new for real in ("123-4567", "123.4567", "2345678", "45-6789"))
     assert replaced(spark, [(2, kept, "")])[2] == (kept, 0)
+
+
+def test_crowded_forms_end_and_stay_distinct(spark):
+    rows = [(10 * i + j, f"to {i}@{j}.com.", "") for i in range(10) for j in range(10)]
+    found = [text.removeprefix("to ").removesuffix(".") for text, _ in replaced(spark, rows).values()]
+    assert len(set(found)) == 100 and not {f"{i}@{j}.com" for i in range(10) for j in range(10)} & set(found)
+    domains = {}
+    for key, (text, _) in replaced(spark, rows).items():
+        domains.setdefault(key % 10, set()).add(text.split("@")[1])
+    assert all(len(d) == 1 for d in domains.values()) and len({*map(min, domains.values())}) == 10
+
+
+def test_families_stay_families(spark):
+    names = ["Adam", "Bert", "Carl", "Dave", "Egon", "Fred", "Gert", "Hans", "Ivo", "Jan", "Kurt", "Leo", "Max", "Noel", "Otto", "Pit", "Rolf", "Sven", "Tim", "Udo"]
+    rows = [(i, f"Mr. {n} Klee came. Mr. Klee left with Dr. {n} Meier.", "") for i, n in enumerate(names)]
+    found = replaced(spark, rows)
+    form = re.compile(r"Mr\. (\w+) (\w+) came\. Mr\. (\w+) left with Dr\. (\w+) (\w+)\.")
+    parts = [form.fullmatch(found[i][0]).groups() for i in range(20)]
+    assert {p[1] for p in parts} == {p[2] for p in parts} and len({p[1] for p in parts}) == 1
+    assert len({p[4] for p in parts}) == 1 and parts[0][4] != parts[0][1]
+    assert len({p[0] for p in parts}) == 20 and len({p[3] for p in parts}) == 20
+
+
+def test_emails_of_one_domain_stay_together(spark):
+    rows = [(i, f"u{i % 100}x{i // 100}@mail.org and a{i}@shop{i % 7}.net", "") for i in range(3000)]
+    found = replaced(spark, rows)
+    pairs = [re.findall(r"(\S+)@(\S+)", found[i][0]) for i in range(3000)]
+    assert len({p[0][1] for p in pairs}) == 1 and len({p[0][0] for p in pairs}) == 3000
+    assert [len({p[1][1] for p in pairs[k::7]}) for k in range(7)] == [1] * 7 and len({p[1][1] for p in pairs}) == 7
+    assert len({p[1] for p in pairs}) == 3000
