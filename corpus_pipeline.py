@@ -13,8 +13,8 @@ from bazaarlens.llm.base import saved, small_or_shuffled, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 MOST_BROADCAST = 200_000
-# Workers serve all stages in turn, so packing leaves less behind in them than on its own.
-REMEMBERED = 1 << 16
+# Workers serve all stages in turn, so packing remembers fewer pieces of text than on its own.
+REMEMBERED = 1 << 18
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
