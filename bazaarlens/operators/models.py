@@ -247,7 +247,12 @@ def tune(
         ).fit(features.transform(in_place).select(FEATURES, LABEL, "fold"))
         scores, best = list(search.avgMetrics), search.bestModel
     else:
-        by_fold = [_fold_scores(rows, fold, spec, estimator, maps, parallelism) for fold in range(folds)]
+        # Fits of one fold leave gaps that those of the others fill.
+        with ThreadPool(folds) as pool:
+            one = inheritable_thread_target(rows.sparkSession)(
+                lambda fold: _fold_scores(rows, fold, spec, estimator, maps, parallelism)
+            )
+            by_fold = pool.map(one, range(folds), chunksize=1)
         scores = [sum(point) / folds for point in zip(*by_fold, strict=True)]
         best_map = maps[max(range(len(scores)), key=scores.__getitem__)]
         best = estimator.fit(features.transform(in_place).select(FEATURES, LABEL), best_map)

@@ -512,7 +512,7 @@ def md_predict_lines(spark, sf_dir):
 @query("ex_suite")
 def ex_suite(spark, sf_dir):
     train, test = _split_rows(spark, sf_dir)
-    return experiments.run_all(train, test, save_to=scratch_path(spark, "experiments"), keys=KEY, parallelism=8)
+    return experiments.run_all(train, test, save_to=scratch_path(spark, "experiments"), keys=KEY, parallelism=8, at_once=5)
 
 
 # --- artefacts -------------------------------------------------------------------------------------------------------
