@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlens.constants import SITE_A_HOST, SIZE_TAB_WITH_VALUE
+from bazaarlens.functions.characters import decoded
 
 # Workers get the scanner below along with the query and need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -51,18 +52,15 @@ def absolute_from_scheme(href: Column) -> Column:
 # --- text of a node --------------------------------------------------------------------------------------------------
 
 _LINE_TAGS = r"(?i)<br[^>]*>|</?(?:div|p|ul|ol|li|h[1-6]|section|article|header|footer|table|tr|form)(?:\s[^>]*)?>"
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
 
 def node_text(inner_html: Column) -> Column:
-    """Visible text: one line per block node, single-spaced, entities read."""
+    """Visible text: one line per block node, single-spaced, character references read, fixed spaces as plain ones."""
     text = F.regexp_replace(inner_html, r"\s+", " ")
     text = F.regexp_replace(text, _LINE_TAGS, "\n")
     text = F.regexp_replace(text, "<[^>]*>", "")
     text = F.btrim(F.regexp_replace(text, r"\s*\n\s*", "\n"), F.lit(" \n"))
-    for entity, character in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return text
+    return F.translate(decoded(text), "\xa0", " ")
 
 
 def last_line(text: Column) -> Column:
@@ -98,22 +96,24 @@ def leaf_pattern(css_class: str) -> str:
 
 
 def leaf_texts(html: Column, css_class: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(leaf_pattern(css_class)), F.lit(1))
+    """Texts of the leaf nodes with all these class names, character references read."""
+    return F.transform(F.regexp_extract_all(html, F.lit(leaf_pattern(css_class)), F.lit(1)), decoded)
 
 
 def texts_of_class_only(html: Column, css_class: str) -> Column:
     """Texts of the leaf nodes that carry this class name and no other."""
-    return F.regexp_extract_all(html, F.lit(rf'<[a-z0-9]+[^>]*\sclass="{css_class}"[^>]*>([^<]*)<'), F.lit(1))
+    found = F.regexp_extract_all(html, F.lit(rf'<[a-z0-9]+[^>]*\sclass="{css_class}"[^>]*>([^<]*)<'), F.lit(1))
+    return F.transform(found, decoded)
 
 
 def all_leaf_texts(html: Column) -> Column:
     """Texts of all nodes that hold text and no other node."""
-    return F.regexp_extract_all(html, F.lit(r"<[a-z0-9]+(?:\s[^>]*)?>\s*([^<>]*[^<>\s])\s*</"), F.lit(1))
+    return F.transform(F.regexp_extract_all(html, F.lit(r"<[a-z0-9]+(?:\s[^>]*)?>\s*([^<>]*[^<>\s])\s*</"), F.lit(1)), decoded)
 
 
 def heading(html: Column) -> Column:
     """Text of the first small heading, null without one."""
-    return F.nullif(F.regexp_extract(html, r"<h6[^>]*>([^<]*)<", 1), F.lit(""))
+    return decoded(F.nullif(F.regexp_extract(html, r"<h6[^>]*>([^<]*)<", 1), F.lit("")))
 
 
 def attr_map(entries: Column) -> Column:

@@ -1,7 +1,7 @@
 """Column functions over listing text: names, option text, shipping, and the description block.
 
 Plain substitutions use ``replace``, which works on the bytes of the string; patterns are kept for what needs them.
-Text is expected in composed Unicode form (NFC).
+Text is expected in composed Unicode form (NFC); ``characters.composed`` brings it there.
 """
 
 from __future__ import annotations
@@ -50,15 +50,14 @@ SPECIAL = special_pattern()
 # (kind, what, replacement); "literal" is plain text, "pattern" a regular expression.
 MARKUP_STEPS = (
     ("literal", " &amp;", ","),
-    # The lookahead turns most positions away by their first character, before the alternatives are tried.
-    ("pattern", r'(?=[<dc" ])(?:<(?:svg.*?</svg>|div>|label.*?>|flex.*?>)|div|class=|"| href=/)', ""),
+    ("pattern", '<svg.*?</svg>|<div>|div|class=|"|<label.*?>|<flex.*?>| href=/', ""),
     ("literal", "</a>", "-"),
     ("literal", "</label>", ": "),
     ("literal", "< ", "<"),
     ("pattern", r"/.*?>", "/>"),
     ("literal", "<a ", "<"),
     ("literal", "<p ", "<"),
-    ("pattern", r" {2,}", " "),
+    ("pattern", " +", " "),
     ("literal", "</>", "/"),
     ("pattern", r"<.*?>", ""),
 )

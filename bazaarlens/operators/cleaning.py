@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlens.functions import numbers, shop, text
+from bazaarlens.functions.characters import composed
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -54,6 +55,13 @@ extract_shop_creation_time = _step("shop_creation_time", "shop_info", shop.age_m
 extract_shop_num_follower = _step("shop_num_follower", "shop_info", shop.follower_count)
 
 
+def compose_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Letters with separate marks as single characters, in the named columns (all text columns if none are named): the form
+    that every other step takes. Put it first where texts may come in either form."""
+    names = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({name: composed(F.col(name)) for name in names})
+
+
 def clean_desc(df: DataFrame, fix_slash_categories: bool = False) -> DataFrame:
     return df.withColumn("product_desc", text.flatten_markup(F.col("product_desc"), fix_slash_categories))
 
@@ -78,18 +86,18 @@ def clean_listings(
     fix_slash_categories: bool = False,
     strict_counts: bool = False,
     extra_letters: str = "",
+    compose: bool = False,
 ) -> DataFrame:
-    """All cleaning steps over listings of either site, keeping any other columns as they are.
+    """All cleaning steps over listings of either site, keeping any other columns as they are. With ``compose``, text may come
+    with separate marks.
 
     Listings that carry no description breadcrumb but a category and brand of their own (site B) keep those.
     """
     flat, head = "product_desc", "__head"
-    flattened = df.withColumns(
-        {
-            flat: text.flatten_markup(F.col(flat), fix_slash_categories),
-            "attrs": _as_text(df, "attrs"),
-        }
-    ).withColumn(head, text.before_marker(F.col(flat)))
+    df = df.withColumn("attrs", _as_text(df, "attrs"))
+    if compose:
+        df = compose_text(df)
+    flattened = df.withColumn(flat, text.flatten_markup(F.col(flat), fix_slash_categories)).withColumn(head, text.before_marker(F.col(flat)))
 
     panel = F.col("shop_info")
     cleaned = {
