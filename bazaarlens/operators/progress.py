@@ -19,7 +19,12 @@ def resume(urls: DataFrame, processed: DataFrame, redo_last: bool = True) -> Dat
 
     The URL at the cursor may have been cut off half-way and is worked on again; ``redo_last=False`` trusts it as done.
     """
-    reached = cursors(processed).withColumnRenamed("category", "__category")
+    return resume_at(urls, cursors(processed), redo_last)
+
+
+def resume_at(urls: DataFrame, cursors: DataFrame, redo_last: bool = True) -> DataFrame:
+    """URLs from the ``cursor`` of their category onwards; all of a category that has none."""
+    reached = cursors.withColumnRenamed("category", "__category")
     joined = urls.join(reached, F.col("category").eqNullSafe(F.col("__category")), "left")
     start = F.coalesce("cursor", F.lit(-1))
     keep = F.col("pos") >= start if redo_last else F.col("pos") > start
@@ -37,7 +42,10 @@ def unfinished(urls: DataFrame, finished: DataFrame) -> DataFrame:
 
 
 def distinct_records(records: DataFrame) -> DataFrame:
-    """One record per URL and option choice: undoes what a redone URL wrote twice."""
+    """One record per URL and option choice: undoes what a redone URL wrote twice.
+
+    Of a stream, those seen in earlier batches go as well: what was seen is the stream's state.
+    """
     choices = F.array_sort(F.map_entries("attrs"))  # whatever the order of the map
     keyed = records.withColumn("__attrs", F.to_json(choices, {"ignoreNullFields": "false"}))
     return keyed.dropDuplicates(["url", "__attrs"]).drop("__attrs")

@@ -12,8 +12,10 @@ from bazaarlens.plans import bridge
 from bazaarlens.plans import oracle_parts as o
 from bazaarlens.plans.cleaning_queries import CLEANED, CLEANED_COLUMNS
 from bazaarlens.plans.registry import query
+from bazaarlens.schemas import LISTINGS
 from bazaarlens.session import scratch_path
-from bazaarlens.sources import readers, writers
+from bazaarlens.sources import readers, runs, writers
+from bazaarlens.streaming import cursors
 from bazaarlens.streaming.ingest import ingest
 
 PAGE_KEYS = ("category", "page_no", "url")
@@ -281,6 +283,36 @@ def pg_stream(spark, sf_dir):
     return spark.read.parquet(output).select(*CLEANED_COLUMNS)
 
 
+@query("pg_stream_distinct", f"{o.LISTING} {CLEANED}")
+def pg_stream_distinct(spark, sf_dir):
+    """The second load holds all listings again, and the stream is restarted for it: each listing comes out once."""
+    folder = scratch_path(spark, "stream")
+    landing, output, checkpoint = (f"{folder}/{name}" for name in ("landing", "cleaned", "checkpoint"))
+    listings = bridge.raw_listings(spark, sf_dir, "p_size")
+    for load in (listings.where(F.coalesce(F.col("p_size") <= 25, F.lit(False))), listings):
+        writers.append_listings(load.drop("p_size"), landing)
+        ingest(spark, landing, output, checkpoint, distinct=True).awaitTermination()
+    return spark.read.parquet(output).select(*CLEANED_COLUMNS)
+
+
+@query(
+    "pg_resume_stream",
+    f"""SELECT category, pos, url FROM {_URLS} LEFT JOIN
+        (SELECT category, max(pos) AS cursor FROM {_URLS} WHERE url LIKE '%#top' GROUP BY 1)
+        USING (category) WHERE pos >= coalesce(cursor, 0)""",
+)
+def pg_resume_stream(spark, sf_dir):
+    """The rows of pg_resume, from cursors that a stream keeps over two loads of progress, the later positions first."""
+    folder = scratch_path(spark, "cursors")
+    landing, output, checkpoint = (f"{folder}/{name}" for name in ("landing", "cursors", "checkpoint"))
+    urls = bridge.url_list(spark, sf_dir)
+    begun = urls.where(F.endswith("url", F.lit("#top")))
+    for odd in (1, 0):
+        begun.where(F.col("pos") % 2 == odd).write.mode("append").json(landing)
+        cursors.track(spark, landing, output, checkpoint).awaitTermination()
+    return progress.resume_at(urls, cursors.latest(spark, output))
+
+
 # --- sources and sinks -----------------------------------------------------------------------------------------------
 
 
@@ -356,6 +388,19 @@ def src_urls(spark, sf_dir):
     return readers.read_urls(spark, f"{path}/*/*.txt")
 
 
+@query("snk_ndjson_runs", f"{o.LISTING} SELECT url, {o.RATING} AS avg_rating, CAST(p_size AS VARCHAR) AS size FROM listing")
+def snk_ndjson_runs(spark, sf_dir):
+    """Two runs of which the second is repeated, and a third that is killed before its end: each listing is there once."""
+    path = scratch_path(spark, "runs")
+    listings = bridge.raw_listings(spark, sf_dir, "p_size")
+    small = F.coalesce(F.col("p_size") <= 25, F.lit(False))
+    for run, rows in (("1", small), ("2", ~small), ("2", ~small)):
+        runs.append_run(listings.where(rows).drop("p_size"), path, run)
+    writers.append_listings(listings.drop("p_size"), f"{path}/{runs.DATA}/attempt=3-killed")
+    read = runs.read_runs(spark, path, LISTINGS["a"])
+    return read.select("url", "avg_rating", F.col("attrs")["Size"].alias("size"))
+
+
 @query("snk_urls", f"SELECT category, url FROM {_URLS}")
 def snk_urls(spark, sf_dir):
     path = scratch_path(spark, "urls")

@@ -36,11 +36,15 @@ def read_listings(spark: SparkSession, path: str, site: str, partitioned: bool =
     return fix_missing(spark.read.schema(schema).json(path), site)
 
 
-def stream_listings(spark: SparkSession, path: str, site: str, files_per_batch: int | None = None) -> DataFrame:
+def stream_listings(
+    spark: SparkSession, path: str, site: str, files_per_batch: int | None = None, bytes_per_batch: int | None = None
+) -> DataFrame:
     """Raw listings as a stream over the files of a folder."""
     reader = spark.readStream.schema(LISTINGS[site])
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return fix_missing(reader.json(path), site)
 
 
