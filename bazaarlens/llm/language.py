@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,8 +21,8 @@ TRAIN_ROWS = 5_000
 LANGUAGE_ROWS = 500
 ROUNDS = 2
 SMOOTHING = 0.1
-# Words longer than this are cut into stretches of it.
-WORD_CHARACTERS = 64
+# Longer words are taken one by one, in logarithms, so that they need little memory and lose no precision.
+TOGETHER = 64
 REMEMBERED = 1 << 19
 BATCH_WORDS, BATCH_TEXTS = 10_000, 200
 # Probability of a character that no piece starts with, in any language.
@@ -42,13 +43,27 @@ def pieces(path: str) -> dict[str, int]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     found = {model.id_to_piece(i).lstrip("▁").lower() for i in range(model.vocab_size())}
-    return {p: n for n, p in enumerate(sorted(p for p in found if p.isalpha()))}
+    return {p: n for n, p in enumerate(sorted(p for p in found if p and letters_of(p) == p))}
+
+
+def _letter_or_mark(character: str) -> bool:
+    return character.isalpha() or unicodedata.category(character)[0] == "M"
+
+
+def letters_of(word: str) -> str:
+    """A word without all but letters and their marks, such as vowel signs; nothing if it has no letter."""
+    if word.isalpha():
+        return word
+    # No character before this one is a mark.
+    if word < "\u0300" and max(word, default="") < "\u0300":
+        return "".join(filter(str.isalpha, word))
+    kept = "".join(filter(_letter_or_mark, word))
+    return kept if any(map(str.isalpha, kept)) else ""
 
 
 def letter_words(text: str | None) -> list[str]:
-    """The words of a text in lower case, letters only."""
-    words = (text or "").lower().split()
-    return [w if w.isalpha() else "".join(filter(str.isalpha, w)) for w in words]
+    """The words of a text in lower case, letters and marks only."""
+    return [letters_of(w) for w in (text or "").lower().split()]
 
 
 @lru_cache(maxsize=1)
@@ -59,8 +74,7 @@ def beginnings(path: str) -> frozenset[str]:
 
 @dataclass(frozen=True)
 class Lattice:
-    """The pieces found in words: arc i leads from ``start`` to ``end`` in a word. Piece -1 is a character that is none.
-    Words have at most ``WORD_CHARACTERS`` characters."""
+    """The pieces found in words: arc i leads from ``start`` to ``end`` in a word. Piece -1 is a character that is none."""
 
     lengths: np.ndarray
     word: np.ndarray
@@ -100,6 +114,32 @@ class Lattice:
         np.add.at(counts, (self.piece, language[self.word]), share * times[self.word])
         return counts[:-1]
 
+    def _log_walk(self, logs: np.ndarray, backward: bool) -> np.ndarray:
+        """``_walk`` of a single word, in logarithms. A piece is short, so each place adds up few arcs, whatever the word."""
+        length = int(self.lengths[0])
+        total = np.full((length + 1, logs.shape[1]), -np.inf)
+        total[length if backward else 0] = 0
+        near, far = (self.end, self.start) if backward else (self.start, self.end)
+        order = np.argsort(far, kind="stable")
+        cuts = np.searchsorted(far[order], np.arange(length + 2))
+        for at in range(length - 1, -1, -1) if backward else range(1, length + 1):
+            arcs = order[cuts[at] : cuts[at + 1]]
+            total[at] = np.logaddexp.reduce(total[near[arcs]] + logs[arcs], axis=0)
+        return total
+
+    def log_likelihood(self, probabilities: np.ndarray) -> np.ndarray:
+        """The logarithm of ``likelihoods`` of a single word."""
+        return self._log_walk(np.log(probabilities[self.piece]), False)[-1]
+
+    def log_expected(self, probabilities: np.ndarray, language: int, times: float) -> np.ndarray:
+        """``expected`` of a single word."""
+        logs = np.log(probabilities[self.piece, language])[:, None]
+        ahead, behind = self._log_walk(logs, False)[:, 0], self._log_walk(logs, True)[:, 0]
+        share = np.exp(ahead[self.start] + logs[:, 0] + behind[self.end] - ahead[-1])
+        counts = np.zeros(probabilities.shape)
+        np.add.at(counts, (self.piece, language), share * times)
+        return counts[:-1]
+
 
 def lattice(words: list[str], path: str) -> Lattice:
     known, begun, found = pieces(path), beginnings(path), []
@@ -117,8 +157,15 @@ def lattice(words: list[str], path: str) -> Lattice:
     return Lattice(np.array([len(w) for w in words], np.int64), *arcs.T)
 
 
-def stretches(word: str) -> list[str]:
-    return [word[i : i + WORD_CHARACTERS] for i in range(0, len(word), WORD_CHARACTERS)]
+def log_likelihoods(words: list[str], probabilities: np.ndarray, path: str) -> np.ndarray:
+    """The logarithm of the probability of each word in each language, whatever its length."""
+    out = np.zeros((len(words), probabilities.shape[1]))
+    short = [i for i, w in enumerate(words) if len(w) <= TOGETHER]
+    out[short] = np.log(np.maximum(lattice([words[i] for i in short], path).likelihoods(probabilities), 1e-300))
+    for i, word in enumerate(words):
+        if len(word) > TOGETHER:
+            out[i] = lattice([word], path).log_likelihood(probabilities)
+    return out
 
 
 @dataclass(frozen=True)
@@ -144,9 +191,7 @@ class WordScores:
         new = sorted(words - self.place.keys())
         for at in range(0, len(new), BATCH_WORDS):
             some = new[at : at + BATCH_WORDS]
-            parts = [stretches(w) for w in some]
-            found = lattice([x for p in parts for x in p], self.model.path).likelihoods(self.model.probabilities)
-            whole = np.add.reduceat(np.log(np.maximum(found, 1e-300)), np.cumsum([0, *map(len, parts[:-1])]))
+            whole = log_likelihoods(some, self.model.probabilities, self.model.path)
             self.place.update(zip(some, range(len(self.rows), len(self.rows) + len(some)), strict=True))
             self.rows = np.concatenate([self.rows, whole])
 
@@ -246,9 +291,13 @@ def _round(counted: DataFrame, languages: list[str], before: np.ndarray, path: s
         place = {x: i for i, x in enumerate(languages)}
         total = np.zeros((before.shape[0] - 1, len(languages)))
         for batch in batches:
-            parts = [(p, place[x], n) for x, w, n in batch.itertuples(index=False) for p in stretches(w)]
-            words, language, times = map(list, zip(*parts, strict=True)) if parts else ([], [], [])
+            rows = [(w, place[x], n) for x, w, n in batch.itertuples(index=False)]
+            short = [row for row in rows if len(row[0]) <= TOGETHER]
+            words, language, times = map(list, zip(*short, strict=True)) if short else ([], [], [])
             total += lattice(words, path).expected(shared.value, np.array(language, np.int64), np.array(times, float))
+            for word, language_at, n in rows:
+                if len(word) > TOGETHER:
+                    total += lattice([word], path).log_expected(shared.value, language_at, n)
         # Whole millionths, so that sums do not hang on the order of tasks.
         for i, lang in enumerate(languages):
             some = np.flatnonzero(total[:, i])

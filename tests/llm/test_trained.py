@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +66,37 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(counts, expected)
 
 
+@pytest.mark.parametrize("word", ["internationalization" * 5, "ab" * 500, "ที่นี่ไม่มีช่องว่าง".replace(" ", "") * 20, "zß字" * 40])
+def test_long_words_are_scored_whole(word):
+    path = language.vocabulary_path()
+    known = language.pieces(path)
+    probabilities = np.random.default_rng(1).dirichlet(np.ones(len(known)), 3).T
+    probabilities = np.vstack([probabilities, np.full(3, language.UNKNOWN)])
+    found = language.log_likelihoods(["short", word], probabilities, path)
+    # Exact sums over all segmentations, by place, in numbers of any size.
+    for lang in range(3):
+        total = [Fraction(1)]
+        for end in range(1, len(word) + 1):
+            here = Fraction(0)
+            for start in range(max(0, end - 40), end):
+                if word[start:end] in known:
+                    here += total[start] * Fraction(float(probabilities[known[word[start:end]], lang]))
+            if word[end - 1] not in known:
+                here += total[end - 1] * Fraction(language.UNKNOWN)
+            total.append(here)
+        exact = math.log(total[-1].numerator) - math.log(total[-1].denominator)
+        assert found[1, lang] == pytest.approx(exact, rel=1e-9)
+    one = language.lattice(["short"], path)
+    assert np.allclose(found[0], one.log_likelihood(probabilities)) and np.allclose(found[0], np.log(one.likelihoods(probabilities)[0]))
+    both = one.expected(probabilities, np.array([2]), np.array([3.0])), one.log_expected(probabilities, 2, 3.0)
+    assert np.allclose(*both)
+    assert language.lattice([word], path).log_expected(probabilities, 1, 2.0).sum() > 0
+
+
+def test_marks_stay_with_their_letters():
+    assert language.letter_words("हिन्दी, ที่ a1b 12 ́ don't é́x \u0301a") == ["हिन्दी", "ที่", "ab", "", "", "dont", "é́x", "\u0301a"]
+
+
 def test_languages_of_held_out_documents(spark):
     langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = op7_language_id(spark, SF).collect()
