@@ -84,7 +84,8 @@ def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages carry no time of capture; they get one second each, in the order of their ids."""
     time = F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce(F.pmod("page_id", F.lit(10**9)), F.lit(0)))
     captures = warc.capture_histories(table(spark, sf_dir, "pages"), time)
-    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    digest = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return captures.select(*digest, "urlkey", "timestamp", "range", "nth")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,9 @@ from bazaarlens.llm.base import saved, small_or_shuffled, text_of
 from bazaarlens.session import scratch_path
 
 VERSION = "WARC/1.1"
-RECORDS_PER_FILE = 2_000
+# Pages below this size share files of at most so many records; files of longer ones are bounded by bytes.
+SHORT_BYTES, RECORDS_PER_FILE = 64 << 10, 2_000
+FILE_BYTES = SHORT_BYTES * RECORDS_PER_FILE
 # Captures that one merge task holds at most, about.
 RANGE_ROWS = 50_000
 MOST_BROADCAST = 500_000
@@ -66,8 +68,8 @@ def write_archives(
     timestamp: Column | None = None,
     min_bytes: int = 0,
 ) -> None:
-    """One WARC record a page, in files of at most ``RECORDS_PER_FILE`` records; each task's records are sorted by URL key
-    and time, so a file is a sorted run.
+    """One WARC record a page, in files of at most ``FILE_BYTES`` of payload, about, or one record; each task's records are
+    sorted by URL key and time, so a file is a sorted run. Times are written in UTC, whatever the session's zone.
 
     Of pages with equal payloads of at least ``min_bytes``, the one with the smallest id is a response and holds the
     payload; the others are revisits that refer to it and hold the HTTP head alone. Rows that share the smallest id are all
@@ -94,7 +96,7 @@ def write_archives(
         F.lit(VERSION + BREAK),
         header("WARC-Type", F.when(F.col("__revisit"), F.lit("revisit")).otherwise(F.lit("response"))),
         header("WARC-Record-ID", name),
-        header("WARC-Date", F.date_format("__time", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        header("WARC-Date", utc_time(F.col("__time"))),
         header("WARC-Target-URI", uri),
         header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("__digest"))),
         header("WARC-Profile", profile),
@@ -105,8 +107,24 @@ def write_archives(
         F.col("__body"),
     )
     ordered = rows.withColumn("__http", http).withColumn("__body", body).withColumn("__key", url_key(F.col(url)))
-    ordered = ordered.sortWithinPartitions("__key", "__time", page_id)
-    ordered.select(record.alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    long = F.col("__bytes") >= SHORT_BYTES
+    longest = pages.agg(F.max(F.octet_length(text_of(payload)))).head()[0] or 0
+
+    def write(some: DataFrame, most: int) -> None:
+        run = some.sortWithinPartitions("__key", "__time", page_id).select(record.alias("value"))
+        run.write.mode("append").option("lineSep", END).option("maxRecordsPerFile", most).text(path)
+
+    write(ordered.filter(~long), RECORDS_PER_FILE)
+    if longest >= SHORT_BYTES:
+        write(ordered.filter(long), max(1, FILE_BYTES // longest))
+
+
+def utc_time(time: Column) -> Column:
+    """A time to the second in UTC. Days and seconds are counted, as Spark's own formats follow the session's zone."""
+    second = F.unix_seconds(time)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(second / 86_400).cast("int")).cast("string")
+    parts = [F.lpad(F.floor(F.pmod(second, F.lit(86_400)) / size % base).cast("string"), 2, "0") for size, base in ((3600, 24), (60, 60), (1, 60))]
+    return F.concat(day, F.lit("T"), F.concat_ws(":", *parts), F.lit("Z"))
 
 
 @F.pandas_udf(T.StringType())

@@ -72,3 +72,47 @@ def test_loser_tree(k):
 def test_url_keys():
     assert warc.key_of("http://www.B.example:80/A/?b=1#c") == "example,b)/a?b=1"
     assert warc.key_of(None) == "" and warc.key_of("http://[bad") == "http://[bad"
+
+
+def test_files_are_bounded_by_bytes_and_hold_longer_pages_alone(spark, monkeypatch):
+    import glob
+    import os
+
+    from bazaarlens.session import scratch_path
+
+    monkeypatch.setattr(warc, "SHORT_BYTES", 1_000)
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 5)
+    monkeypatch.setattr(warc, "FILE_BYTES", 5_000)
+    pages = [(i, f"http://a.example/{i}", f"{i}" * 150) for i in range(60)] + [(100 + i, f"http://b.example/{i}", f"{i}x" * 900) for i in range(9)]
+    pages.append((200, "http://c.example/", "long" * 5_000))
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string").coalesce(1)
+    path = scratch_path(spark, "t")
+    assert result(warc.capture_histories(frame, path=path)) == expected(pages)
+    sizes = sorted(os.path.getsize(f) for f in glob.glob(f"{path}/*.txt"))
+    # Heads take some 500 bytes a record.
+    assert len(sizes) >= 22 and sizes[-1] < 21_000 and sizes[-2] < 5_000 + 5 * 600
+
+
+def test_times_are_in_utc_in_any_zone(spark):
+    from pyspark.sql import functions as F
+
+    seconds = [0, 1_711_846_800, 1_711_850_399, 1_730_000_000, -1, 253_402_300_799]
+    frame = spark.createDataFrame([(s,) for s in seconds], "s bigint")
+    expected_times = ["1970-01-01T00:00:00Z", "2024-03-31T01:00:00Z", "2024-03-31T01:59:59Z", "2024-10-27T03:33:20Z", "1969-12-31T23:59:59Z", "9999-12-31T23:59:59Z"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("Europe/Paris", "Asia/Ho_Chi_Minh", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            found = frame.select(warc.utc_time(F.timestamp_seconds("s")).alias("t")).collect()
+            assert [r.t for r in found] == expected_times
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_the_merged_order_is_in_the_result(spark):
+    from bazaarlens.llm.queries import op9_warc_index
+
+    rows = op9_warc_index(spark, "/root/testdata/sf0.001").collect()
+    rows.sort(key=lambda r: (r["range"], r["nth"]))
+    keys = [(r["urlkey"], r["timestamp"], r["page_id"]) for r in rows]
+    assert keys == sorted(keys) and len({(r["range"], r["nth"]) for r in rows}) == len(rows)
