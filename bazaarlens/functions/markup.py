@@ -6,6 +6,7 @@ tag scanner over Arrow batches that cuts out the inner HTML of each wanted node;
 
 from __future__ import annotations
 
+import html as html_text
 import re
 import sys
 from collections import Counter
@@ -159,6 +160,7 @@ _OPAQUE = {
     "script": re.compile(r"</script\s*+>", re.IGNORECASE),
     "style": re.compile(r"</style\s*+>", re.IGNORECASE),
 }
+_ANCHOR = re.compile(r"""<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _CLASS = re.compile(r"""\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
 
@@ -238,3 +240,94 @@ def nested_nodes(html: Column, outer: str, inner: str) -> Column:
         return pages.map(nested)
 
     return cut.asNondeterministic()(html)
+
+
+def item_links(html: Column, item: str) -> Column:
+    """The target of the first link in each node that carries the class names of ``item``, in page order and with character
+    references read; null for an item without one. Nodes inside others count as well. A page's items and links are all the
+    rules of a category look at, so no markup needs to go any further. Not deterministic, as ``nodes_by_class``."""
+    wanted = {"item": frozenset(item.split())}
+
+    def target(node: str) -> str | None:
+        found = _ANCHOR.search(node)
+        return html_text.unescape(next(filter(None, found.groups()), "")) or None if found else None
+
+    @F.pandas_udf("array<string>")
+    def scan(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: [target(node) for node in cut_nodes(page or "", wanted)["item"]])
+
+    return scan.asNondeterministic()(html)
+
+
+def option_blocks(html: Column, classes: Mapping[str, str], block: str, group: str) -> Column:
+    """``nodes_by_class`` with one more field, ``groups``: the nodes with just the class names of ``group`` that are children
+    of a child of the first node with the class names of ``block``; null without such a block. One scan of the page."""
+    wanted = {name: frozenset(names.split()) for name, names in {**classes, "__block": block}.items()}
+    exactly = group.split()
+    fields = [*classes, "groups"]
+    result = T.StructType([T.StructField(name, T.ArrayType(T.StringType())) for name in fields])
+
+    def groups(blocks: list[str]) -> list[str] | None:
+        if not blocks:
+            return None
+        inside = [inner for tag, _, inner in children(blocks[0]) if tag == "div"]
+        return [node for inner in inside for tag, names, node in children(inner) if tag == "div" and names.split() == exactly]
+
+    @F.pandas_udf(result)
+    def cut(pages: pd.Series) -> pd.DataFrame:
+        rows = []
+        for page in pages:
+            nodes = cut_nodes(page or "", wanted)
+            rows.append([*[nodes[name] for name in classes], groups(nodes["__block"])])
+        return pd.DataFrame(rows, columns=fields)
+
+    return cut.asNondeterministic()(html)
+
+
+def children(inner: str) -> list[tuple[str, str, str]]:
+    """``(element, class, inner HTML)`` of the direct children of a node, in order."""
+    found, depth, start, at = [], [], 0, 0
+    first: tuple[str, str] = ("", "")
+    while tag := _TAG.search(inner, at):
+        at = tag.end()
+        name = "!--" if tag["name"] is None else tag["name"].lower()
+        if name in _OPAQUE and not tag["end"] and (end := _OPAQUE[name].search(inner, at)):
+            at = end.end()
+            continue
+        if name == "!--":
+            continue
+        if tag["end"]:
+            # An end tag closes whatever was left open inside its node.
+            if name in depth:
+                while depth.pop() != name:
+                    pass
+                if not depth:
+                    found.append((*first, inner[start : tag.start()]))
+            continue
+        if not depth:
+            attribute = _CLASS.search(tag["rest"])
+            first = (name, next(filter(None, attribute.groups()), "") if attribute else "")
+            start = at
+        if name not in _VOID:
+            depth.append(name)
+        elif not depth:
+            found.append((*first, ""))
+    if depth:
+        found.append((*first, inner[start:]))
+    return found
+
+
+def nested_children(html: Column, outer: str, inner: str) -> Column:
+    """For all nodes with the class names of ``outer``: ``node``, the inner HTML, and ``lists``, for each node inside it with
+    those of ``inner`` the inner HTML of its direct children, whatever they hold. Not deterministic, as ``nodes_by_class``."""
+    around, within = {"node": frozenset(outer.split())}, {"inner": frozenset(inner.split())}
+
+    @F.pandas_udf("array<struct<node:string, lists:array<array<string>>>>")
+    def cut(pages: pd.Series) -> pd.Series:
+        def nested(page: str | None) -> list[dict]:
+            nodes = cut_nodes(page or "", around)["node"]
+            return [{"node": n, "lists": [[c for _, _, c in children(x)] for x in cut_nodes(n, within)["inner"]]} for n in nodes]
+
+        return pages.map(nested)
+
+    return cut.asNondeterministic()(html)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.constants import PAGES_PER_CATEGORY, SITE_A_CLASSES, SITE_B_CLASSES, SIZE_TAB_WITH_VALUE
 from bazaarlens.functions import markup
-from bazaarlens.schemas import REQUIRED
+from bazaarlens.schemas import REQUIRED, REQUIRED_NODES
 from bazaarlens.session import written
 
 # Page numbers that may share a task: some megabytes of keys and URLs, and a short table of blocks even for a huge category.
@@ -160,6 +160,33 @@ def listing_urls(
     return found.select("category", "page_no", "pos", url.alias("url"))
 
 
+def item_rows(pages: DataFrame, site: str) -> DataFrame:
+    """Narrow rows ``(category, page_no, url, targets)`` of category pages: the target of the first link of each item, null for
+    an item without one. Items are known by their site's class name, and may hold any markup."""
+    css = {"a": SITE_A_CLASSES, "b": SITE_B_CLASSES}[site]
+    return pages.select("category", "page_no", "url", markup.item_links(F.col("html"), css["item"]).alias("targets"))
+
+
+def listing_urls_by_class(pages: DataFrame, site: str, page_count: int | None = None) -> DataFrame:
+    """``listing_urls`` with items by class name: pages are scanned once, and the rules of the site work on what was found.
+
+    The narrow rows are written down, as several rules read them; no markup is shuffled or read again.
+    """
+    found = written(item_rows(pages, site), "page-items")
+
+    def capped(visited: DataFrame) -> DataFrame:
+        return visited if page_count is None else first_pages(visited, page_count)
+
+    if site == "a":
+        visited = capped(before_repeat(found))
+        visited, url = visited.where(F.forall("targets", lambda t: t.isNotNull())), markup.absolute_from_root(F.col("href"))
+    else:
+        visited = capped(before_stop(found, F.size("targets") == 0))
+        url = markup.absolute_from_scheme(F.col("href"))
+    rows = visited.select("category", "page_no", F.posexplode("targets").alias("pos", "href"))
+    return rows.select("category", "page_no", "pos", url.alias("url"))
+
+
 # --- records ---------------------------------------------------------------------------------------------------------
 
 
@@ -209,48 +236,57 @@ def variants(
 def site_a_options(pages: DataFrame) -> DataFrame:
     """Landed listing pages of site A to ``(url, groups, chosen)``, the input of ``variants``.
 
-    Options to choose are those whose button has no state of its own: the chosen one and sold-out ones do not count.
-    ``chosen`` is the map of all groups as the page shows them.
+    Option groups are those inside the option block. Options to choose are those whose button has no state of its own: the
+    chosen one and sold-out ones do not count. ``chosen`` is the map of all groups as the page shows them.
     """
     css = SITE_A_CLASSES
-    nodes = markup.nodes_by_class(F.col("html"), {"option_group": css["option_group"]})
-    found = F.col("node")["option_group"]
+    nodes = markup.option_blocks(F.col("html"), {}, css["option_block"], css["option_group"])
+    return pages.select("url", nodes.alias("node")).select(
+        "url", _groups_a().alias("groups"), _chosen_a(F.col("node")["groups"]).alias("chosen")
+    )
+
+
+def _groups_a() -> Column:
+    css = SITE_A_CLASSES
     groups = F.transform(
-        found,
+        F.col("node")["groups"],
         lambda group: F.struct(
             F.get(markup.leaf_texts(group, css["option_name"]), F.lit(0)).alias("name"),
             markup.texts_of_class_only(group, css["option_value"]).alias("options"),
         ),
     )
-    return pages.select("url", nodes.alias("node")).select(
-        "url", _named(groups).alias("groups"), _chosen_a(found).alias("chosen")
-    )
+    return _named(groups)
 
 
 def site_b_options(pages: DataFrame) -> DataFrame:
-    """Landed listing pages of site B to ``(url, groups, chosen)``: every node in the list of an option group is an option.
+    """Landed listing pages of site B to ``(url, groups, chosen)``: every direct child of the list of an option group is an
+    option, whatever nodes it holds, if it shows any text.
 
     Lists are cut inside their own group; a group without one offers no choice and is only in ``chosen``. Sizes on
     another tab than the international one have no value, as in records, but still count as options.
     """
     css = SITE_B_CLASSES
-    nested = markup.nested_nodes(F.col("html"), css["option_group"], css["option_values"])
+    nested = markup.nested_children(F.col("html"), css["option_group"], css["option_values"])
+    return pages.select("url", nested.alias("options")).select(
+        "url", _groups_b().alias("groups"), _chosen_b(F.transform("options", lambda group: group["node"])).alias("chosen")
+    )
+
+
+def _groups_b() -> Column:
+    css = SITE_B_CLASSES
 
     def listed(group: Column) -> Column:
         tab = F.get(markup.leaf_texts(group["node"], css["size_tab"]), F.lit(0))
         hidden = tab.isNotNull() & (F.btrim(tab, F.lit(" \n\t")) != SIZE_TAB_WITH_VALUE)
+        name = markup.heading(group["node"])
 
-        def offered(values: Column) -> Column:
-            return F.transform(markup.all_leaf_texts(values), lambda option: F.when(~hidden, option))
+        def offered(options: Column) -> Column:
+            shown = F.filter(F.transform(options, markup.node_text), lambda text: text != "")
+            return F.transform(shown, lambda text: F.when(~hidden, text))
 
-        name = markup.heading(group["node"])
-        return F.transform(group["inner"], lambda values: F.struct(name.alias("name"), offered(values).alias("options")))
+        return F.transform(group["lists"], lambda options: F.struct(name.alias("name"), offered(options).alias("options")))
 
-    return pages.select("url", nested.alias("node")).select(
-        "url",
-        _named(F.flatten(F.transform("node", listed))).alias("groups"),
-        _chosen_b(F.transform("node", lambda group: group["node"])).alias("chosen"),
-    )
+    return _named(F.flatten(F.transform("options", listed)))
 
 
 def required_only(records: DataFrame, site: str) -> DataFrame:
@@ -262,8 +298,12 @@ def _cut(pages: DataFrame, keys: tuple[str, ...], css: dict[str, str], names: tu
     """The wanted nodes of each page that has all nodes its site's records cannot be without."""
     nodes = markup.nodes_by_class(F.col("html"), {name: css[name] for name in names})
     cut = pages.select(*keys, nodes.alias("node"))
-    for name in REQUIRED[site]:
-        cut = cut.where(F.size(F.col("node")[name]) > 0)
+    return _complete(cut, site)
+
+
+def _complete(cut: DataFrame, site: str) -> DataFrame:
+    for name in REQUIRED[site] + REQUIRED_NODES[site]:
+        cut = cut.where(F.coalesce(F.size(F.col("node")[name]), F.lit(0)) > 0)
     return cut
 
 
@@ -281,6 +321,7 @@ def _named(options: Column) -> Column:
 
 def _chosen_a(groups: Column) -> Column:
     css = SITE_A_CLASSES
+    groups = F.coalesce(groups, F.array().cast("array<string>"))
     options = F.transform(groups, lambda group: markup.chosen_option(group, css["option_name"], css["option_selected"]))
     return markup.attr_map(_named(options))
 
@@ -293,38 +334,68 @@ def _chosen_b(groups: Column) -> Column:
     return markup.attr_map(_named(options))
 
 
-def site_a_records(pages: DataFrame) -> DataFrame:
-    """Landed listing pages ``(url, html)`` of site A to raw listings. Pages without a required field give none."""
-    css = SITE_A_CLASSES
-    names = ("product_name", "price", "rating_strip", "shipping_block", "option_group", "product_desc", "shop_info")
-    return (
-        _cut(pages, ("url",), css, names, "a")
-        .withColumn("strip", _text("rating_strip"))
-        .select(
-            _text("product_name").alias("product_name"),
-            markup.last_line(_text("shipping_block")).alias("shipping"),
-            _text("shop_info").alias("shop_info"),
-            _text("price").alias("price"),
-            _first("product_desc").alias("product_desc"),
-            *[markup.rating_strip(F.col("strip"))[n].alias(n) for n in ("avg_rating", "num_review", "num_sold")],
-            _chosen_a(F.col("node")["option_group"]).alias("attrs"),
-            "url",
-        )
+def _records_a(cut: DataFrame, *more: Column) -> DataFrame:
+    return cut.withColumn("strip", _text("rating_strip")).select(
+        _text("product_name").alias("product_name"),
+        markup.last_line(_text("shipping_block")).alias("shipping"),
+        _text("shop_info").alias("shop_info"),
+        _text("price").alias("price"),
+        _first("product_desc").alias("product_desc"),
+        *[markup.rating_strip(F.col("strip"))[n].alias(n) for n in ("avg_rating", "num_review", "num_sold")],
+        _chosen_a(F.col("node")["groups"]).alias("attrs"),
+        "url",
+        *more,
     )
 
 
-def site_b_records(pages: DataFrame) -> DataFrame:
-    """Landed listing pages ``(category, url, html)`` of site B to raw listings, likewise."""
+def _cut_a(pages: DataFrame) -> DataFrame:
+    """The nodes of whole listing pages of site A, from one scan of each page."""
+    css = SITE_A_CLASSES
+    names = ("product_name", "price", "rating_strip", "shipping_block", "product_desc", "shop_info")
+    nodes = markup.option_blocks(F.col("html"), {name: css[name] for name in names}, css["option_block"], css["option_group"])
+    return _complete(pages.select("url", nodes.alias("node")), "a")
+
+
+def site_a_records(pages: DataFrame) -> DataFrame:
+    """Landed listing pages ``(url, html)`` of site A to raw listings. Pages without a required field or a rating strip give
+    none; those without an option block give a record without options."""
+    return _records_a(_cut_a(pages))
+
+
+def site_a_variants(pages: DataFrame) -> DataFrame:
+    """Landed listing pages of site A to raw listings, one for each variant, numbered by ``variant_no``: the whole record with
+    the options of the variant. From one scan of each page."""
+    records = _records_a(_cut_a(pages), _groups_a().alias("groups"))
+    return variants(records.withColumnRenamed("attrs", "chosen"), skip_empty_groups=True, chosen="chosen").drop("groups", "chosen")
+
+
+def _records_b(pages: DataFrame, *more: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     css = SITE_B_CLASSES
     names = (
         "product_name", "brand_name", "num_review", "price", "avg_rating", "option_group", "product_desc", "shop_info",
     )
     description = F.concat(F.lit(f'<div class="{css["product_desc"]}">'), _first("product_desc"), F.lit("</div>"))
-    return _cut(pages, ("category", "url"), css, names, "b").select(
+    return _cut(pages, ("category", "url", *keep), css, names, "b").select(
         *[_text(name).alias(name) for name in ("product_name", "shop_info", "price", "brand_name", "num_review")],
         _chosen_b(F.col("node")["option_group"]).alias("attrs"),
         description.alias("product_desc"),
         _text("avg_rating").alias("avg_rating"),
         "category",
         "url",
+        *more,
     )
+
+
+def site_b_records(pages: DataFrame) -> DataFrame:
+    """Landed listing pages ``(category, url, html)`` of site B to raw listings, likewise."""
+    return _records_b(pages)
+
+
+def site_b_variants(pages: DataFrame) -> DataFrame:
+    """Landed listing pages of site B to raw listings, one for each variant; see ``site_a_variants``. A group that offers nothing
+    gives no variant."""
+    css = SITE_B_CLASSES
+    nested = markup.nested_children(F.col("html"), css["option_group"], css["option_values"])
+    scanned = pages.withColumn("options", nested)
+    records = _records_b(scanned, _groups_b().alias("groups"), keep=("options",))
+    return variants(records.withColumnRenamed("attrs", "chosen"), chosen="chosen").drop("groups", "chosen")

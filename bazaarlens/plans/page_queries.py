@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarlens.constants import SITE_A_CLASSES, SITE_B_CLASSES
 from bazaarlens.functions import markup
 from bazaarlens.functions.numbers import to_double
 from bazaarlens.operators import pages, progress
@@ -229,6 +231,52 @@ def pg_page_variants_b(spark, sf_dir):
     )
 
 
+@query(
+    "pg_variant_records",
+    f"""{o.LISTING}, paged AS (
+         SELECT *, CASE WHEN p_partkey % 3 > 0 THEN [split_part(p_name, ' ', -1)]
+                        ELSE [split_part(p_name, ' ', 1), split_part(p_name, ' ', -1)] END AS colors FROM listing)
+       SELECT url, CAST(i - 1 AS BIGINT) AS variant_no, colors[i] AS color, CAST(p_size AS VARCHAR) AS size, 2 AS options,
+              CAST(CAST(amount AS BIGINT) AS VARCHAR) AS price, upper(p_name) AS name, {_SHIPPING} AS shipping
+       FROM paged CROSS JOIN UNNEST(range(1, len(colors) + 1)) AS a(i)""",
+)
+def pg_variant_records(spark, sf_dir):
+    """Whole records of site A, one for each variant, from one scan of the page."""
+    records = pages.site_a_variants(bridge.listing_pages(spark, sf_dir))
+    attrs = F.col("attrs")
+    # Of a range of prices the upper one, without separators.
+    price = F.regexp_replace(F.element_at(F.split("price", " - "), -1), "[^0-9]", "")
+    return records.select(
+        "url", "variant_no", attrs["Màu Sắc"].alias("color"), attrs["Size"].alias("size"), F.size(attrs).alias("options"),
+        price.alias("price"), F.regexp_extract("product_name", r"% ?\] ?(.*)!!!", 1).alias("name"), "shipping",
+    )
+
+
+def _with_items(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
+    """Category pages whose items carry their site's class name."""
+    css = {"a": SITE_A_CLASSES, "b": SITE_B_CLASSES}[site]
+    item = F.replace("html", F.lit("<li>"), F.lit(f'<li class="x {css["item"]}">'))
+    return bridge.category_pages(spark, sf_dir).withColumn("html", item)
+
+
+@query(
+    "pg_urls_a_by_class",
+    f"""{o.PAGES}{o.STOPS}, visited AS (SELECT * FROM before_repeat WHERE items = links)
+        SELECT category, page_no, pos, 'https://shopee.vn' || href AS url FROM ({o.links('visited')})""",
+)
+def pg_urls_a_by_class(spark, sf_dir):
+    return pages.listing_urls_by_class(_with_items(spark, sf_dir, "a"), "a")
+
+
+@query(
+    "pg_urls_b_by_class",
+    f"""{o.PAGES}{o.STOPS}, visited AS (SELECT * FROM before_empty)
+        SELECT category, page_no, pos, 'https://' || substr(href, 3) AS url FROM ({o.links('visited')})""",
+)
+def pg_urls_b_by_class(spark, sf_dir):
+    return pages.listing_urls_by_class(_with_items(spark, sf_dir, "b"), "b")
+
+
 @query(
     "pg_required",
     f"""{o.LISTING} SELECT url, p_brand AS brand_name, {o.RATING} AS num_review FROM listing

@@ -43,6 +43,9 @@ REQUIRED = {
     "b": ("product_name", "brand_name", "num_review", "price"),
 }
 
+# Nodes a landed page must have besides.
+REQUIRED_NODES = {"a": ("rating_strip",), "b": ()}
+
 OPTION_GROUPS = T.ArrayType(
     T.StructType(
         [
