@@ -12,7 +12,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.operators import experiments, features, metrics, models
+from bazaarlens.operators import experiments, features, metrics, models, ranks, vocabulary
 from bazaarlens.operators.features import FEATURES, LABEL, FeatureSpec
 from bazaarlens.plans import bridge
 from bazaarlens.plans import oracle_parts as o
@@ -82,9 +82,33 @@ _TERMS = f"{_WORDS}, terms AS (SELECT doc_id, unnest(words) AS term FROM words)"
 
 @query("ft_countvec", f"{_TERMS} SELECT term, count(*)::DOUBLE AS total FROM terms GROUP BY term")
 def ft_countvec(spark, sf_dir):
+    return ft_vocabulary(spark, sf_dir).drop("place")
+
+
+@query(
+    "ft_vocabulary",
+    f"""{_TERMS} SELECT term, count(*)::DOUBLE AS total, row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS place
+        FROM terms GROUP BY term""",
+)
+def ft_vocabulary(spark, sf_dir):
+    """The whole vocabulary with the place of each word in a vector of counts."""
     words = Tokenizer(inputCol="text", outputCol="words").transform(_documents(spark, sf_dir))
-    terms = words.select(F.explode("words").alias("term"))
-    return terms.groupBy("term").agg(F.count("*").cast("double").alias("total"))
+    found = vocabulary.word_ranks(words, "words")
+    return found.select(F.col("value").alias("term"), F.col("n").cast("double").alias("total"), F.col("rank").alias("place"))
+
+
+@query(
+    "ft_countvec_entries",
+    f"""{_TERMS}, places AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS place FROM terms GROUP BY term)
+        SELECT doc_id, place, count(*)::DOUBLE AS n FROM terms JOIN places USING (term) GROUP BY doc_id, place""",
+)
+def ft_countvec_entries(spark, sf_dir):
+    """The entries of all word count vectors, as the model stage makes them."""
+    words = Tokenizer(inputCol="text", outputCol="words").transform(_documents(spark, sf_dir))
+    found = written(vocabulary.word_ranks(words, "words"), "vocabulary")
+    counts = vocabulary.word_counts(words.select("doc_id", "words"), "words", found, "doc_id")
+    pairs = counts.select("doc_id", F.explode(F.arrays_zip("places", "counts")).alias("e"))
+    return pairs.select("doc_id", F.col("e.places").cast("bigint").alias("place"), F.col("e.counts").alias("n"))
 
 
 @query(
@@ -169,6 +193,31 @@ def ft_onehot_third(spark, sf_dir):
     return _onehot_entries(spark, sf_dir, ("third_category",))
 
 
+@query(
+    "ft_onehot_all",
+    f"{_RANKS} "
+    + " UNION ALL ".join(
+        f"""SELECT url, '{n}' AS feature, rank_{n}.idx::INTEGER AS pos, 1.0::DOUBLE AS value
+            FROM model {_RANK_JOINS} WHERE rank_{n}.idx < rank_{n}.labels - 1"""
+        for n in MODEL_CATEGORIES
+    ),
+)
+def ft_onehot_all(spark, sf_dir):
+    """The entries of all encoded categories."""
+    return _onehot_entries(spark, sf_dir, MODEL_CATEGORIES)
+
+
+@query(
+    "ft_index_ranks",
+    f"""{_RANKS} SELECT url, {", ".join(f"rank_{n}.idx::DOUBLE AS {n}_index" for n in MODEL_CATEGORIES)}
+        FROM model {_RANK_JOINS}""",
+)
+def ft_index_ranks(spark, sf_dir):
+    """The indexes of ft_index from ranks that stay tables."""
+    rows = written(_prepared(spark, sf_dir).select("url", *MODEL_CATEGORIES), "labels")
+    return ranks.index_labels(rows, MODEL_CATEGORIES).select("url", *[f"{name}_index" for name in MODEL_CATEGORIES])
+
+
 @query(
     "ft_minmax",
     o.MODEL
