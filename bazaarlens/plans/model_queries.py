@@ -131,10 +131,22 @@ def ft_idf(spark, sf_dir):
     )
 
 
-@query("ft_tfidf")
+_WEIGHTED = f"{_TERMS}, {o.tf_idf('doc_id', 'terms')}"
+
+
+@query("ft_hashtf_entries", f"{_WEIGHTED} SELECT doc_id, pos, n AS value FROM weighted")
+def ft_hashtf_entries(spark, sf_dir):
+    """The places and counts of all hashed words."""
+    tokenizer, hashing, _ = features.text_stages(DOCUMENT_TEXT)
+    counted = hashing.transform(tokenizer.transform(_documents(spark, sf_dir)))
+    return counted.select("doc_id", _entries("text_counts")).where(F.col("value") > 0)
+
+
+@query("ft_tfidf", f"{_WEIGHTED} SELECT doc_id, pos, round(value, 9) AS value FROM weighted WHERE value > 0")
 def ft_tfidf(spark, sf_dir):
     weighted = _fit(_documents(spark, sf_dir), features.text_stages(DOCUMENT_TEXT))
-    return weighted.select("doc_id", _entries("text_features")).where(F.col("value") > 0)
+    shown = weighted.select("doc_id", _entries("text_features")).where(F.col("value") > 0)
+    return shown.withColumn("value", F.round("value", 9))
 
 
 # --- category and number features ------------------------------------------------------------------------------------
@@ -254,6 +266,48 @@ def ft_build(spark, sf_dir):
     return _fit(_prepared(spark, sf_dir), features.feature_stages()).select("url", _vector_size(FEATURES))
 
 
+def _assembled(categories: tuple[str, ...], numerics: tuple[str, ...], text: bool) -> str:
+    """The entries of the assembled vector: words, then categories, then numbers."""
+    parts, before = [], "0"
+    if text:
+        parts.append("SELECT url, pos, round(value, 9) AS value FROM weighted")
+        before = "500"
+    for n in categories:
+        parts.append(f"""SELECT url, (rank_{n}.idx + {before})::INTEGER, 1.0::DOUBLE FROM model {_RANK_JOINS}
+            WHERE rank_{n}.idx < rank_{n}.labels - 1""")
+        before += f" + (SELECT max(labels) - 1 FROM rank_{n})"
+    for i, n in enumerate(numerics):
+        parts.append(f"""SELECT url, ({before} + {i})::INTEGER, round(CASE WHEN max({n}) OVER () = min({n}) OVER () THEN 0.5::DOUBLE
+            ELSE ({n} - min({n}) OVER ()) / (max({n}) OVER () - min({n}) OVER ()) END, 9) FROM model""")
+    words = r"""SELECT url, unnest(regexp_split_to_array(regexp_replace(lower(name_description), '\s+$', ''), '\s')) AS term FROM model"""
+    return f"""{_RANKS}, terms AS ({words}), {o.tf_idf('url', 'terms')}
+        SELECT * FROM ({" UNION ALL ".join(parts)}) AS entries(url, pos, value) WHERE value > 0"""
+
+
+def _vector_entries(spark: SparkSession, sf_dir: str, spec: FeatureSpec) -> DataFrame:
+    built = _fit(_prepared(spark, sf_dir), features.feature_stages(spec)).select("url", _entries(FEATURES))
+    return built.where(F.col("value") > 0).withColumn("value", F.round("value", 9))
+
+
+@query("ft_build_entries", _assembled(MODEL_CATEGORIES, o.NUMERICS, True))
+def ft_build_entries(spark, sf_dir):
+    """Every entry of the whole feature vectors, by place."""
+    return _vector_entries(spark, sf_dir, FeatureSpec())
+
+
+@query("ft_assemble_entries", _assembled(MODEL_CATEGORIES, o.NUMERICS, False))
+def ft_assemble_entries(spark, sf_dir):
+    return _vector_entries(spark, sf_dir, FeatureSpec().without("name_description"))
+
+
+@query(
+    "ft_omit_entries",
+    _assembled(MODEL_CATEGORIES[:3], tuple(n for n in o.NUMERICS if n not in ("num_review", "num_sold")), True),
+)
+def ft_omit_entries(spark, sf_dir):
+    return _vector_entries(spark, sf_dir, FeatureSpec().without("shop_like_tier", "num_review", "num_sold"))
+
+
 # --- metrics ---------------------------------------------------------------------------------------------------------
 
 _SCORED = """WITH scored AS (SELECT l_extendedprice AS price, l_quantity * p_retailprice * 1.1::DOUBLE AS prediction

@@ -154,3 +154,43 @@ def first_pages(source: str, count: int = 10) -> str:
         f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY page_no) AS nth FROM {source}) "
         f"WHERE nth <= {count})"
     )
+
+
+def _times(a: str, b: int) -> str:
+    return f"(({a}) * {b}::UBIGINT) % 4294967296::UBIGINT"
+
+
+def _turned(a: str, bits: int) -> str:
+    return f"(((({a}) << {bits}) % 4294967296::UBIGINT) | (({a}) >> {32 - bits}))"
+
+
+def hashed_places(words: str, width: int = 500) -> str:
+    """CTEs up to ``places (term, pos)``: the place of each distinct ``term`` of a CTE in a hashed vector.
+
+    The hash is the public 32-bit Murmur3 of the word's UTF-8 bytes, seed 42, read as a signed number.
+    """
+    # The constants of the hash.
+    c1, c2, add, f1, f2 = 3432918353, 461845907, 3864292196, 2246822507, 3266489909
+
+    def scrambled(k: str) -> str:
+        return _times(_turned(_times(k, c1), 15), c2)
+
+    block = "('0x' || substr(h, 8 * i + 7, 2) || substr(h, 8 * i + 5, 2) || substr(h, 8 * i + 3, 2) || substr(h, 8 * i + 1, 2))::UBIGINT"
+    tail = "('0x' || substr(h, 8 * (n // 4) + 5, 2) || substr(h, 8 * (n // 4) + 3, 2) || substr(h, 8 * (n // 4) + 1, 2))::UBIGINT"
+    step = f"(5 * {_turned('xor(a, ' + scrambled('k') + ')', 13)} + {add}) % 4294967296::UBIGINT"
+    return f"""spelled AS (SELECT term, hex(encode(term)) AS h, length(hex(encode(term))) // 2 AS n FROM (SELECT DISTINCT term FROM {words})),
+      blocks AS (SELECT term, h, n, list_reduce(list_prepend(42::UBIGINT, list_transform(range(0, n // 4), lambda i: {block})), lambda a, k: {step}) AS a FROM spelled),
+      ends AS (SELECT term, xor(CASE n % 4 WHEN 0 THEN a ELSE xor(a, {scrambled(tail)}) END, n::UBIGINT) AS a FROM blocks),
+      once AS (SELECT term, {_times('xor(a, a >> 16)', f1)} AS a FROM ends),
+      twice AS (SELECT term, {_times('xor(a, a >> 13)', f2)} AS a FROM once),
+      places AS (SELECT term, ((((xor(a, a >> 16)::BIGINT + 2147483648) % 4294967296 - 2147483648) % {width} + {width}) % {width})::INTEGER AS pos FROM twice)"""
+
+
+def tf_idf(key: str, words: str) -> str:
+    """CTEs from ``words (key, term)``, a row for each word, to ``weighted (key, pos, n, value)``."""
+    return f"""{hashed_places(words)},
+      counts AS (SELECT {key}, pos, count(*)::DOUBLE AS n FROM {words} JOIN places USING (term) GROUP BY {key}, pos),
+      seen AS (SELECT pos, count(*) AS df FROM counts GROUP BY pos),
+      rows_in AS (SELECT count(DISTINCT {key}) AS m FROM {words}),
+      weighted AS (SELECT {key}, pos, n, CASE WHEN df < 2 THEN 0.0::DOUBLE ELSE n * ln((m + 1.0::DOUBLE) / (df + 1.0::DOUBLE)) END AS value
+                   FROM counts JOIN seen USING (pos), rows_in)"""
