@@ -62,7 +62,7 @@ def token_pieces(
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.byte_ids(path, pieces=remembered).encode
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        for batch in batches:
+        for batch in tokens.few_rows(batches):
             rows = []
             for key, value in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 ids = encode(value or "") + end

@@ -110,7 +110,7 @@ def write_token_files(
         store.create_dir(f"{folder}/data", recursive=True)
         part, nth, out, name = TaskContext.get().partitionId(), -1, None, ""
         try:
-            for batch in batches:
+            for batch in tokens.few_rows(batches):
                 keys, rows = [], []
                 for key, value in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                     if out is None or offset >= file_bytes:

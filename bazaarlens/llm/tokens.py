@@ -10,6 +10,8 @@ from functools import lru_cache
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 # Entries a worker remembers of each kind: some 200 bytes each, twice at most, without effect on results.
 CHUNKS, PIECES = 1 << 17, 1 << 19
+# Rows of a batch that a worker holds as Python objects at once.
+ROWS_AT_ONCE = 512
 # Longer chunks are not remembered.
 LONGEST = 64
 # The pattern that the byte-level pre-tokenizer has built in (fixed value).
@@ -33,6 +35,13 @@ def plain_pattern(pattern: str) -> re.Pattern:
     return re.compile(pattern)
 
 
+def few_rows(batches):
+    """Arrow batches in slices of few rows, since texts may be long."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
