@@ -30,7 +30,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies, the one with the smallest id. Documents without an id stay."""
+    """One document of each class of near copies, the one with the smallest id. Documents without an id stay; rows that share an
+    id stay or go together."""
     found = near_dup.near_duplicates(docs)
     gone = saved(found.filter("doc_id <> class_id").select("doc_id").distinct(), "near-copies")
     return docs.join(small_or_shuffled(gone, MOST_BROADCAST), "doc_id", "left_anti").select(*docs.columns)
