@@ -11,6 +11,8 @@ MIN_SITES = 5
 # Bits of the sketch's table size; its error is about 1.04 divided by the root of that size.
 SKETCH_BITS = 10
 MOST_BROADCAST_LINES, MOST_BROADCAST_DOCS = 200_000, 200_000
+# Places of lines that may go along with those documents: 4 bytes each.
+MOST_BROADCAST_PLACES = 2_000_000
 
 
 def _line(column: str) -> Column:
@@ -53,7 +55,7 @@ def drop_boilerplate(
     Lines are told apart without the white space around them, and only those with a letter or digit count. A null site is
     a site of its own. A null text stays null, with no lines; an empty text has one empty line. Repeated rows are treated
     alike. The lines themselves are never shuffled, only their hashes; the text is moved only where more than
-    ``MOST_BROADCAST_DOCS`` rows lose lines.
+    ``MOST_BROADCAST_DOCS`` rows lose lines, or more than ``MOST_BROADCAST_PLACES`` lines go.
     """
     docs = docs.drop("n_lines", "n_removed")
     found = small_or_shuffled(
@@ -63,7 +65,9 @@ def drop_boilerplate(
     key = F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(" "), text_of(text)))
     hit = _lines(docs.select(key.alias("__key"), text), text).join(found, "line", "left_semi")
     hits = saved(hit.groupBy("__key").agg(F.collect_set("pos").alias("__drop")), "boilerplate-places")
-    joined = docs.withColumn("__key", key).join(small_or_shuffled(hits, MOST_BROADCAST_DOCS), "__key", "left")
+    n, places = hits.agg(F.count("*"), F.coalesce(F.sum(F.size("__drop")), F.lit(0))).head()
+    small = n <= MOST_BROADCAST_DOCS and places <= MOST_BROADCAST_PLACES
+    joined = docs.withColumn("__key", key).join(F.broadcast(hits) if small else hits, "__key", "left")
     lines = F.split(F.col(text), "\n")
     rest = F.filter("__lines", lambda line, i: ~F.array_contains("__drop", i))
     return (

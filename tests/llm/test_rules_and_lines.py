@@ -6,6 +6,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from bazaarlens.llm import line_dedup, quality_rules
 
 TEXTS = [
@@ -99,3 +101,13 @@ def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string, source string")
     assert quality_rules.ledger(empty).count() == 0
     assert line_dedup.drop_boilerplate(empty).count() == 0
+
+
+@pytest.mark.parametrize("name", ["MOST_BROADCAST_DOCS", "MOST_BROADCAST_PLACES"])
+def test_lines_go_the_same_without_a_broadcast(spark, monkeypatch, name):
+    rows = [(i, f"own {i}\nshared line\nother shared line", f"s{i % 9}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    expected = sorted(line_dedup.drop_boilerplate(docs).collect())
+    monkeypatch.setattr(line_dedup, name, 3)
+    found = line_dedup.drop_boilerplate(docs)
+    assert sorted(found.collect()) == expected and {r.n_removed for r in expected} == {2}
