@@ -24,9 +24,9 @@ HASHES = TREES * STEP
 TARGET_RECALL = 0.9995
 # Of 64 signature values, so many are equal in a pair of similarity 0.8 but for one pair in ten million.
 LEAST_EQUAL = 35
-# Runs up to this size give all their pairs; of larger ones each member meets so many next to it in the trie: enough, over
-# all trees, to tie alike ones into one block, where all pairs are compared.
-SMALL_RUN, NEXT = 32, 1
+# Runs up to this size are compared in sorted order; larger ones are cut into parts of so many texts, and every two parts
+# meet in a task of their own.
+SMALL_RUN, RUN_TEXTS = 32, 1024
 BLOCK_TEXTS, BLOCK_SHINGLES = 256, 1_000_000
 COLUMNS = 2048
 ROWS_SENT = 500
@@ -92,7 +92,7 @@ def signatures(docs: DataFrame, text: str, doc_id: str, words: int) -> DataFrame
 
 
 def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs within runs of rows that share a prefix, from rows in trie order. What a run needs of the batch before is
+    """Pairs within runs of rows that share a prefix, from rows sorted by prefix. What a run needs of the batch before is
     carried over."""
     keys, nodes, sketches = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, HASHES), np.uint8)
     for batch in batches:
@@ -102,9 +102,6 @@ def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys = np.concatenate([keys, batch["key"].to_numpy(np.int64)])
         nodes = np.concatenate([nodes, batch["node"].to_numpy(np.int64)])
         sketches = np.concatenate([sketches, np.frombuffer(b"".join(batch["sketch"]), np.uint8).reshape(-1, HASHES)])
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        run = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(keys)]))
-        large = (np.bincount(run) > SMALL_RUN)[run]
         found = []
         for offset in range(1, SMALL_RUN):
             if offset >= len(keys):
@@ -112,8 +109,6 @@ def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             same = keys[offset:] == keys[:-offset]
             if not same.any():
                 break
-            if offset > NEXT:
-                same &= ~large[offset:]
             right = np.flatnonzero(same) + offset
             found.append((right - offset, right))
         left, right = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (list(zip(*found)) or ([], [])))
@@ -126,23 +121,73 @@ def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, nodes, sketches = keys[keep:], nodes[keep:], sketches[keep:]
 
 
+def smallest_linked(alike: np.ndarray) -> np.ndarray:
+    """The lowest place each row of a symmetric matrix leads to."""
+    label = np.arange(len(alike))
+    while True:
+        near = np.where(alike, label[None, :], len(label)).min(axis=1, initial=len(label))
+        lower = np.minimum(label, near)
+        lower = np.minimum(lower, lower[lower])
+        if (lower == label).all():
+            return label
+        label = lower
+
+
+def _ties(run: pa.Table) -> pa.Table:
+    """Compares all pairs of one part of a run, or across two parts, and gives a row for each text tied to a smaller one: as
+    many rows as tie the same texts together, not all pairs."""
+    nodes, side = run["node"].to_numpy(), run["side"].to_numpy()
+    order = np.lexsort((nodes, side))
+    nodes, cut = nodes[order], int((side == 0).sum())
+    sketches = np.frombuffer(b"".join(run["sketch"].to_pylist()), np.uint8).reshape(-1, HASHES)[order]
+    two = 0 < cut < len(nodes)
+    rows, columns = (sketches[:cut], sketches[cut:]) if two else (sketches, sketches)
+    across = np.ascontiguousarray(columns.T)
+    equal = np.zeros((len(rows), len(columns)), np.uint8)
+    for at in range(0, len(rows), 128):
+        for value in range(HASHES):
+            equal[at : at + 128] += rows[at : at + 128, value, None] == across[value]
+    alike = equal >= LEAST_EQUAL
+    if two:
+        whole = np.zeros((len(nodes), len(nodes)), bool)
+        whole[:cut, cut:], whole[cut:, :cut] = alike, alike.T
+        alike = whole
+    near = nodes[smallest_linked(alike)]
+    tied = nodes != near
+    a, b = nodes[tied], near[tied]
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
 def candidate_pairs(texts: DataFrame, prefix: int) -> DataFrame:
-    """Pairs ``(a, b)`` of nodes that share a prefix in some tree and whose sketches are close enough.
+    """Pairs ``(a, b)`` of nodes that tie together all that share a prefix in some tree and whose sketches are close enough.
 
-    Tree t's labels are ``DEPTH`` values from the t-th stretch of the signature on, wrapping around. Rows are sorted by
-    prefix and the rest of the label over all tasks by range, so a prefix that very many texts share is spread, and its
-    members meet those next to them in the trie.
+    Tree t's labels are ``DEPTH`` values from the t-th stretch of the signature on, wrapping around. All texts under one
+    prefix are compared with each other. Up to ``SMALL_RUN`` of them stand together in one task; of a prefix that more texts
+    share, each text is sent to every part of its run, and the parts are compared two by two in tasks of their own.
     """
     tree = texts.select("node", "sketch", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig")
-    label = F.expr(f"substring(concat(sig, sig), tree * {4 * STEP} + 1, {4 * DEPTH})")
-    rows = tree.withColumn("label", label).select(
-        F.xxhash64("tree", F.expr(f"substring(label, 1, {4 * prefix})")).alias("key"),
-        F.expr(f"substring(label, {4 * prefix + 1})").alias("rest"),
-        "node",
-        "sketch",
+    label = F.expr(f"substring(concat(sig, sig), tree * {4 * STEP} + 1, {4 * prefix})")
+    rows = tree.select(F.xxhash64("tree", label).alias("key"), "node", "sketch")
+    counted = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > SMALL_RUN)
+    large = saved(counted.select("key", F.ceil(F.col("n") / RUN_TEXTS).cast("int").alias("parts")), "large-runs")
+    large = small_or_shuffled(large, MOST_BROADCAST)
+    small = rows.join(large, "key", "left_anti").repartition("key").sortWithinPartitions("key")
+    pairs = small.select("key", "node", "sketch").mapInPandas(_pairs, "a bigint, b bigint")
+    dealt = dealt_to_parts(rows.join(large, "key"), "key", "node", "sketch")
+    ties = dealt.groupBy("key", "low", "high").applyInArrow(_ties, "a bigint, b bigint")
+    return pairs.unionByName(ties).distinct()
+
+
+def dealt_to_parts(rows: DataFrame, group: str, *columns: str) -> DataFrame:
+    """Rows of a group of ``parts``, once for every two parts ``(low, high)`` that their own is one of; ``side`` is 1 in
+    the higher one of two."""
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    meets = F.expr(
+        "transform(sequence(0, parts - 1), other -> named_struct('low', least(part, other), 'high', greatest(part, other),"
+        " 'side', if(other < part, 1, 0)))"
     )
-    ordered = rows.repartitionByRange("key", "rest", "node").sortWithinPartitions("key", "rest", "node")
-    return ordered.select("key", "node", "sketch").mapInPandas(_pairs, "a bigint, b bigint").distinct()
+    dealt = rows.withColumn("part", part).select("*", F.explode(meets).alias("meet"))
+    return dealt.select(group, "meet.low", "meet.high", "meet.side", *columns)
 
 
 def links_within(sets: list[np.ndarray], side: np.ndarray, similarity: Fraction) -> np.ndarray:
@@ -180,14 +225,7 @@ def _verifier(similarity: Fraction):
         nodes, weights = group["node"].to_numpy(np.int64), group["copies"].to_numpy(np.int64)
         sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
         alike = links_within(sets, group["side"].to_numpy() == 1, similarity)
-        label = np.arange(len(nodes))
-        while True:
-            near = np.where(alike, label[None, :], len(nodes)).min(axis=1)
-            lower = np.minimum(label, near)
-            lower = np.minimum(lower, lower[lower])
-            if (lower == label).all():
-                break
-            label = lower
+        label = smallest_linked(alike)
         return pd.DataFrame(
             {"node": nodes, "links": alike @ weights, "text_links": alike.sum(axis=1), "label": nodes[label]}
         )
@@ -219,13 +257,7 @@ def verified_links(blocks: DataFrame, docs: DataFrame, text: str, doc_id: str, w
     texts = docs.select(F.col(doc_id).cast("bigint").alias("__id"), F.col(text).alias("text"))
     sets = texts.join(reps, F.col("__id") == F.col("__rep")).select("node", "block", "copies", "parts", "text")
     sets = sets.mapInArrow(shingled, "node bigint, block bigint, copies bigint, parts int, shingles binary")
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    meets = F.expr(
-        "transform(sequence(0, parts - 1), other -> named_struct('low', least(part, other), 'high', greatest(part, other),"
-        " 'side', if(other < part, 1, 0)))"
-    )
-    dealt = sets.withColumn("part", part).select("*", F.explode(meets).alias("meet"))
-    dealt = dealt.select("block", "meet.low", "meet.high", "meet.side", "node", "copies", "shingles")
+    dealt = dealt_to_parts(sets, "block", "node", "copies", "shingles")
     return dealt.groupBy("block", "low", "high").applyInPandas(
         _verifier(similarity), "node bigint, links bigint, text_links bigint, label bigint"
     )

@@ -6,6 +6,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from bazaarlens.llm import near_dup
@@ -117,3 +118,35 @@ def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1500), (1500, 1200)]
     found = components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     assert {(r["node"], r["label"]) for r in found} == {(i, 0) for i in range(201)} | {(i, 1000) for i in (1000, 1200, 1500)}
+
+
+def test_alike_texts_far_apart_under_one_prefix(spark, monkeypatch):
+    """Texts that share only the first tree's prefix, and stand at both ends of a run of many others."""
+    rng = np.random.default_rng(11)
+
+    def signed(node, values):
+        values = np.array(values, np.uint64).astype(">u4")
+        return node, bytearray(values.tobytes()), bytearray(values.astype(np.uint8).tobytes())
+
+    count = 3 * near_dup.SMALL_RUN
+    rows, expected = [], set()
+    for n in range(count):
+        values = rng.integers(1 << 20, 1 << 31, near_dup.HASHES)
+        values[:4] = 7
+        other = values.copy()
+        values[4::4], other[4::4] = n, (1 << 32) - 1 - n
+        rows += [signed(n, values), signed(10_000 + n, other)]
+        expected.add((n, 10_000 + n))
+    texts = spark.createDataFrame(rows, "node bigint, sig binary, sketch binary")
+    for part in (1024, 50):
+        monkeypatch.setattr(near_dup, "RUN_TEXTS", part, raising=False)
+        assert {(r["a"], r["b"]) for r in near_dup.candidate_pairs(texts, 4).collect()} == expected
+
+
+def test_ties_of_a_part_hold_its_texts_together():
+    sketches = np.random.default_rng(2).integers(0, 256, (6, near_dup.HASHES)).astype(np.uint8)
+    sketches[3] = sketches[5] = sketches[0]
+    nodes = np.array([10, 11, 12, 13, 14, 15])
+    for side, expected in (([0] * 6, {(10, 13), (10, 15)}), ([0, 0, 0, 1, 1, 1], {(10, 13), (10, 15)}), ([0, 0, 0, 0, 1, 1], {(10, 15), (10, 13)})):
+        run = pa.table({"node": nodes, "side": side, "sketch": [s.tobytes() for s in sketches]})
+        assert {tuple(r.values()) for r in near_dup._ties(run).to_pylist()} == expected
