@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -274,3 +275,44 @@ def test_short_counts_come_back(spark, values):
     rows = spark.createDataFrame([(v,) for v in values], "n long")
     found = rows.select("n", numbers.k_int(short_count(F.col("n"))).alias("k")).collect()
     assert all(r.k == (r.n if r.n < 1000 else r.n // 100 * 100) for r in found)
+
+
+def test_fast_patterns_match_as_the_plain_ones(spark):
+    """Every character, and markup cut in all odd ways, against the patterns as they read."""
+    from bazaarlens.constants import VIETNAMESE_LETTERS
+    from bazaarlens.functions import text
+
+    for extra in ("", "éß中"):
+        letters = set(VIETNAMESE_LETTERS + VIETNAMESE_LETTERS.upper() + extra)
+        plain = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_ ")
+        points = [n for n in range(1, 0x1F700) if not 0xD800 <= n < 0xE000]
+        rows = spark.createDataFrame([(n, chr(n)) for n in points], "n int, c string")
+        blanked = rows.select("n", text.blank_special(F.concat(F.lit("a"), "c", "c", F.lit("b")), extra).alias("r")).collect()
+        kept = letters | plain
+        assert all(r.r == (f"a{chr(r.n) * 2}b" if chr(r.n) in kept else "a b") for r in blanked)
+
+    steps = {
+        0: '<svg.*?</svg>|<div>|div|class=|"|<label.*?>|<flex.*?>| href=/', 1: r"/.*?>", 2: " +", 3: r"<.*?>",
+    }
+    fast = [what for kind, what, _ in text.MARKUP_STEPS if kind == "pattern"]
+    rng = random.Random(4)
+    parts = ["<svg", "</svg>", "<div>", "div", "class=", '"', "<label", "<flex", " href=/", ">", "<", "/", " ", "  ", "\n", "\r",
+             "\u0085", "\u2028", "\u2029", "x", "\t", "ơ", "😀"]
+    texts = spark.createDataFrame([("".join(rng.choices(parts, k=30)),) for _ in range(3000)], "t string")
+    replacements = ("", "/>", " ", "")
+    differ = [
+        F.count_if(F.regexp_replace("t", steps[i], replacements[i]) != F.regexp_replace("t", fast[i], replacements[i])) for i in steps
+    ]
+    assert list(texts.agg(*differ).first()) == [0, 0, 0, 0]
+
+
+def test_more_parts_are_more_tasks(spark, sf, monkeypatch):
+    from bazaarlens.plans import bridge, model_queries
+
+    monkeypatch.setattr(bridge, "TASK_PARTS", 10, raising=False)
+    tasks = -(-bridge.table(spark, sf, "part").count() // 10)
+    assert tasks > spark.sparkContext.defaultParallelism
+    assert bridge.listing_pages_b(spark, sf).rdd.getNumPartitions() == tasks
+    assert bridge.raw_listings(spark, sf).rdd.getNumPartitions() == tasks
+    train, _ = model_queries._split_rows(spark, sf, "augmented_description")
+    assert "augmented_description" not in train.columns
