@@ -153,6 +153,21 @@ def test_tuning_picks_the_best_point(spark, rows, once):
     assert metrics.evaluate(models.predict(tuned.model, rows)).first().r2 > 0.9
 
 
+def test_fits_of_a_small_grid_have_few_tasks_and_large_ones_take_turns(rows, monkeypatch):
+    """Side by side, 20,000 rows are one task of a fit; of large tables only as many fits as hold the stated rows are at work."""
+    assert models.fit_partitions(20_000, models.FEW_ROWS_OF_MANY_FITS) == 1
+    assert [models.fit_partitions(n) for n in (300, 20_000, 3_000_000)] == [1, 16, 30]
+    assert models.fits_at_once(20_000, 3, 8) == (3, 8)
+    assert models.fits_at_once(600_000, 3, 8) == (3, 1)
+    assert models.fits_at_once(5_000_000, 3, 8) == (1, 1)
+    asked = []
+    monkeypatch.setattr(models, "_score_grid", lambda *args: asked.append((args[2].rdd.getNumPartitions(), args[4])) or [0.0])
+    monkeypatch.setattr(models, "FEW_ROWS", 50)
+    monkeypatch.setattr(models, "ROWS_AT_ONCE", 300)
+    models.tune(rows, "gbt", grid={"maxDepth": [2]}, keys=("url",), parallelism=8)
+    assert asked == [(1, 1)] * 3
+
+
 def test_full_grids():
     assert [len(models._param_maps(models.regressor(n), g)) for n, g in models.GRIDS.items()] == [9, 6, 9]
 
