@@ -91,3 +91,22 @@ def test_saved_with_its_vocabulary(spark):
     model.write().overwrite().save(path)
     pick = lambda m: sorted((r.i, str(r.text_features)) for r in m.transform(rows).collect())
     assert pick(PipelineModel.load(path)) == pick(model)
+
+
+def test_words_are_counted_inside_their_row_without_a_shuffle(spark, monkeypatch):
+    made = [(1, ["b", "a", "b", ""]), (2, []), (3, None), (4, ["a"]), (5, ["", "", "", "b"])]
+    rows = spark.createDataFrame(made, "k long, words array<string>")
+    plans, write = [], vocabulary.written
+
+    def watched(df, *args, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *args, **options)
+
+    monkeypatch.setattr(vocabulary, "written", watched)
+    counted = vocabulary.counted_words(rows, "words", "k")
+    assert "Exchange" not in plans[0]
+    assert sorted(map(tuple, counted.collect())) == [(1, "", 1), (1, "a", 1), (1, "b", 2), (4, "a", 1), (5, "", 3), (5, "b", 1)]
+    found = ranks.frequency_ranks(counted, "word", times="n")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, vocabulary.word_ranks(rows, "words").collect()))
+    entries = vocabulary.word_entries(counted, found, "k")
+    assert sorted(map(tuple, entries.where("k = 5").collect())) == [(5, 0, 3.0), (5, 1, 1.0)]
