@@ -22,7 +22,7 @@ from pyspark.util import inheritable_thread_target
 from bazaarlens.constants import SPLIT_SEED, SPLIT_WEIGHTS
 from bazaarlens.functions.numbers import price_from_log
 from bazaarlens.operators import moments
-from bazaarlens.operators.features import FEATURES, LABEL, FeatureSpec, feature_stages, prepare
+from bazaarlens.operators.features import FEATURES, LABEL, FeatureSpec, feature_stages, fit_features, prepare
 from bazaarlens.session import written
 
 LOG_PREDICTION = "log_prediction"
@@ -99,10 +99,10 @@ def fits_at_once(rows: int, folds: int, parallelism: int) -> tuple[int, int]:
     return folds_at_once, fits // folds_at_once
 
 
-def laid_out(rows: DataFrame, partitions: int | None = None) -> DataFrame:
-    """The rows in a layout that follows from their values alone: the same on any cluster."""
+def laid_out(rows: DataFrame, partitions: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """The rows in a layout that follows from their values alone, those of the columns ``by`` if named: the same on any cluster."""
     partitions = partitions or fit_partitions(rows.count())
-    columns = sorted(rows.columns)
+    columns = sorted(by or rows.columns)
     return rows.repartition(partitions, F.xxhash64(*columns)).sortWithinPartitions(*columns)
 
 
@@ -118,9 +118,9 @@ def fit(
     regressor reads is laid out by value."""
     if model_name == "random_forest":
         params.setdefault("numTrees", PLAIN_FOREST_TREES)
-    rows = written(labelled(train, spec), "fit-rows")
-    features = Pipeline(stages=feature_stages(spec)).fit(rows)
-    points = features.transform(laid_out(rows, partitions)).select(FEATURES, LABEL)
+    columns = labelled(train, spec)
+    features, rest, rows = fit_features(columns, spec)
+    points = rest.transform(laid_out(rows, partitions, columns.columns)).select(FEATURES, LABEL)
     return _chain(features, regressor(model_name, seed, **params).fit(points))
 
 

@@ -133,6 +133,20 @@ def test_plain_forest_has_100_trees(rows):
     assert model.stages[-1].getNumTrees == 100
 
 
+def test_texts_are_cut_into_words_once_for_a_fit(spark, rows):
+    """Fitted stages read hashed words from the written table, and the whole model gives the same vectors."""
+    spec = FeatureSpec()
+    prepared = features.prepare(rows)
+    whole, rest, hashed = features.fit_features(prepared, spec, unread=("name_description", "price", "log_price"))
+    assert "name_description_counts" in hashed.columns and not {"name_description", "name_description_words"} & set(hashed.columns)
+    old = Pipeline(stages=features.feature_stages(spec)).fit(prepared).transform(prepared).select("url", "features")
+    for made in (whole.transform(prepared), rest.transform(hashed)):
+        assert {r.url: r.features for r in made.collect()} == {r.url: r.features for r in old.collect()}
+    counted = FeatureSpec(text_method="count-vectorizer")
+    whole, rest, kept = features.fit_features(prepared, counted)
+    assert len(whole.stages) == len(rest.stages) and "name_description" in kept.columns
+
+
 def test_unknown_model():
     with pytest.raises(ValueError, match="unknown model"):
         models.regressor("svm")
