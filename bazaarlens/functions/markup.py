@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from operator import itemgetter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -273,13 +274,14 @@ def option_blocks(html: Column, classes: Mapping[str, str], block: str, group: s
         inside = [inner for tag, _, inner in children(blocks[0]) if tag == "div"]
         return [node for inner in inside for tag, names, node in children(inner) if tag == "div" and names.split() == exactly]
 
-    @F.pandas_udf(result)
-    def cut(pages: pd.Series) -> pd.DataFrame:
+    # Pages leave the Arrow batch one by one: what a worker holds beside it is one page and what was cut.
+    @F.arrow_udf(result)
+    def cut(pages: pa.Array) -> pa.Array:
         rows = []
         for page in pages:
-            nodes = cut_nodes(page or "", wanted)
-            rows.append([*[nodes[name] for name in classes], groups(nodes["__block"])])
-        return pd.DataFrame(rows, columns=fields)
+            nodes = cut_nodes(page.as_py() or "", wanted)
+            rows.append({**{name: nodes[name] for name in classes}, "groups": groups(nodes["__block"])})
+        return pa.array(rows, pa.struct([(name, pa.list_(pa.string())) for name in fields]))
 
     return cut.asNondeterministic()(html)
 

@@ -88,3 +88,17 @@ def test_variants_of_site_b_are_whole_records(spark):
     found = pages.site_b_variants(spark.createDataFrame([("c", "u", html)], "category string, url string, html string")).orderBy("variant_no").collect()
     assert [r.attrs for r in found] == [{"Màu": m, "Cỡ": c} for m in ("Đen bóng", "Trắng") for c in ("42", "43")]
     assert {(r.product_name, r.brand_name, r.category, r.url) for r in found} == {("Giày", "B&B", "c", "u")}
+
+
+def test_option_blocks_leave_the_batch_page_by_page(spark):
+    """The scan takes Arrow values, not a column of all pages of a batch as Python strings; a missing page has no block."""
+    from pyspark.util import PythonEvalType
+
+    from bazaarlens.functions import markup
+
+    made = [("<div class='b'><div><div class='g'>x</div></div></div>",), ("<p class='t'>y</p>",), (None,)]
+    rows = spark.createDataFrame(made, "html string")
+    cut = rows.select(markup.option_blocks(rows["html"], {"t": "t"}, "b", "g").alias("n"))
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert f", {PythonEvalType.SQL_SCALAR_ARROW_UDF}" in plan
+    assert [(r.n.t, r.n.groups) for r in cut.collect()] == [([], ["x"]), (["y"], None), ([], None)]
