@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,6 +14,9 @@ from bazaarlens.session import scratch_path
 # What separates words; fixed by the contracts.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
+# Rows of whole texts that Spark hands to a worker at once where several operators share executors; Spark's own 10,000 are
+# some 26 MB, in buffers twice as large on either side.
+BATCH_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +30,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Arrow batches of at most so many rows for what runs inside; what is lazy must be saved there. No effect on results."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(name))
+    spark.conf.set(name, min(rows, before) if before > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def small_or_shuffled(df: DataFrame, most_rows: int) -> DataFrame:
     """A saved table, marked for broadcast if it has at most ``most_rows`` rows; a plain join side otherwise."""
     return F.broadcast(df) if df.count() <= most_rows else df

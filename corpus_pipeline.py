@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import classifier, exact_dedup, mixing, near_dup, packing
-from bazaarlens.llm.base import saved, small_or_shuffled, table
+from bazaarlens.llm.base import saved, small_batches, small_or_shuffled, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -19,9 +19,10 @@ REMEMBERED = 1 << 16
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    model = classifier.train(docs, table(spark, sf_dir, "labels"))
-    scored = classifier.score(docs, model, name="__score")
-    return scored.filter(F.col("__score") >= classifier.THRESHOLD).select(*docs.columns)
+    with small_batches(spark):
+        model = classifier.train(docs, table(spark, sf_dir, "labels"))
+        scored = classifier.score(docs, model, name="__score")
+        return saved(scored.filter(F.col("__score") >= classifier.THRESHOLD).select(*docs.columns), "good-documents")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +33,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies, the one with the smallest id. Documents without an id stay; rows that share an
     id stay or go together."""
-    found = near_dup.near_duplicates(docs)
+    with small_batches(spark):
+        found = near_dup.near_duplicates(docs)
     gone = saved(found.filter("doc_id <> class_id").select("doc_id").distinct(), "near-copies")
     return docs.join(small_or_shuffled(gone, MOST_BROADCAST), "doc_id", "left_anti").select(*docs.columns)
 
@@ -49,7 +51,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences."""
-    return packing.packed_documents(docs, remembered=REMEMBERED)
+    with small_batches(spark):
+        return packing.packed_documents(docs, remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Stage]] = [
