@@ -15,7 +15,7 @@ from bazaarlens.plans import oracle_parts as o
 from bazaarlens.plans.cleaning_queries import CLEANED, CLEANED_COLUMNS
 from bazaarlens.plans.registry import query
 from bazaarlens.schemas import LISTINGS
-from bazaarlens.session import scratch_path
+from bazaarlens.session import scratch_path, written
 from bazaarlens.sources import readers, runs, writers
 from bazaarlens.streaming import cursors
 from bazaarlens.streaming.ingest import ingest
@@ -322,7 +322,9 @@ def pg_stream(spark, sf_dir):
     """Lands the listings in two loads with a run of the stream after each; the second run takes only new files."""
     folder = scratch_path(spark, "stream")
     landing, output, checkpoint = (f"{folder}/{name}" for name in ("landing", "cleaned", "checkpoint"))
-    listings = bridge.raw_listings(spark, sf_dir, "p_size")
+    # Both loads read what the parts sold, which is worked out once.
+    sold = written(bridge.sold_parts(spark, sf_dir), "sold-parts")
+    listings = bridge.raw_listings(spark, sf_dir, "p_size", sold=sold)
     for first in (True, False):
         # A part without a size is in the second load.
         load = listings.where(F.coalesce(F.col("p_size") <= 25, F.lit(False)) == first).drop("p_size")
@@ -336,7 +338,8 @@ def pg_stream_distinct(spark, sf_dir):
     """The second load holds all listings again, and the stream is restarted for it: each listing comes out once."""
     folder = scratch_path(spark, "stream")
     landing, output, checkpoint = (f"{folder}/{name}" for name in ("landing", "cleaned", "checkpoint"))
-    listings = bridge.raw_listings(spark, sf_dir, "p_size")
+    sold = written(bridge.sold_parts(spark, sf_dir), "sold-parts")
+    listings = bridge.raw_listings(spark, sf_dir, "p_size", sold=sold)
     for load in (listings.where(F.coalesce(F.col("p_size") <= 25, F.lit(False))), listings):
         writers.append_listings(load.drop("p_size"), landing)
         ingest(spark, landing, output, checkpoint, distinct=True).awaitTermination()
