@@ -15,7 +15,7 @@ from bazaarlens.plans import oracle_parts as o
 from bazaarlens.plans.cleaning_queries import CLEANED, CLEANED_COLUMNS
 from bazaarlens.plans.registry import query
 from bazaarlens.schemas import LISTINGS
-from bazaarlens.session import scratch_path, written
+from bazaarlens.session import scratch_path, shuffles_dropped, written
 from bazaarlens.sources import readers, runs, writers
 from bazaarlens.streaming import cursors
 from bazaarlens.streaming.ingest import ingest
@@ -338,11 +338,13 @@ def pg_stream_distinct(spark, sf_dir):
     """The second load holds all listings again, and the stream is restarted for it: each listing comes out once."""
     folder = scratch_path(spark, "stream")
     landing, output, checkpoint = (f"{folder}/{name}" for name in ("landing", "cleaned", "checkpoint"))
-    sold = written(bridge.sold_parts(spark, sf_dir), "sold-parts")
-    listings = bridge.raw_listings(spark, sf_dir, "p_size", sold=sold)
-    for load in (listings.where(F.coalesce(F.col("p_size") <= 25, F.lit(False))), listings):
-        writers.append_listings(load.drop("p_size"), landing)
-        ingest(spark, landing, output, checkpoint, distinct=True).awaitTermination()
+    # What lands stays, so it is compressed; what a load or a run shuffles is of no more use behind it.
+    with shuffles_dropped(spark):
+        sold = written(bridge.sold_parts(spark, sf_dir), "sold-parts")
+        listings = bridge.raw_listings(spark, sf_dir, "p_size", sold=sold)
+        for load in (listings.where(F.coalesce(F.col("p_size") <= 25, F.lit(False))), listings):
+            writers.append_listings(load.drop("p_size"), landing, "gzip")
+            ingest(spark, landing, output, checkpoint, distinct=True).awaitTermination()
     return spark.read.parquet(output).select(*CLEANED_COLUMNS)
 
 

@@ -8,13 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def append_listings(records: DataFrame, path: str) -> None:
-    """Appends records as NDJSON, nulls and non-ASCII text kept as they are."""
+def append_listings(records: DataFrame, path: str, compression: str = "none") -> None:
+    """Appends records as NDJSON, nulls and non-ASCII text kept as they are. Readers know compressed files by their names."""
     if "category" in records.columns:
         writer = records.hint("rebalance", "category").write.partitionBy("category")
     else:
         writer = records.hint("rebalance").write
-    writer.mode("append").option("ignoreNullFields", False).json(path)
+    writer.mode("append").option("ignoreNullFields", False).json(path, compression=compression)
 
 
 def append_urls(urls: DataFrame, path: str) -> None:

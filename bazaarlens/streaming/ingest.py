@@ -35,7 +35,8 @@ def ingest(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        clean(batch).write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+        # Cleaned listings hold their text three times over.
+        clean(batch).write.mode("overwrite").parquet(f"{output}/batch={batch_id}", compression="zstd")
 
     landed = stream_listings(spark, landing, site, files_per_batch, bytes_per_batch)
     return (

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from bazaarlens.plans import bridge, model_queries
+from bazaarlens.plans import bridge, model_queries, page_queries
 from bazaarlens.schemas import MODEL_CATEGORIES
 
 
@@ -42,3 +42,18 @@ def test_assembled_vectors_hold_the_words_of_a_listing(spark, four_parts):
     sizes = {(row.url[-1], row["size"]) for row in model_queries.ft_assemble(spark, four_parts).collect()}
     labels = bridge.model_rows(spark, four_parts).agg(*[F.count_distinct(name) for name in MODEL_CATEGORIES]).first()
     assert sizes == {(str(i), 500 + sum(labels) - len(labels) + 7) for i in range(4)}
+
+
+def test_distinct_stream_leaves_no_shuffles_and_lands_compressed_files(spark, four_parts, tmp_path, monkeypatch):
+    monkeypatch.setattr(page_queries, "scratch_path", lambda _, name: str(tmp_path / name))
+
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {name for name in blocks.mkString(" ").split() if name.startswith("shuffle_")}
+
+    before = shuffles()
+    found = page_queries.pg_stream_distinct(spark, four_parts)
+    assert not shuffles() - before
+    assert found.count() == 4
+    files = [*(tmp_path / "stream" / "landing").glob("part-*")]
+    assert files and all(file.name.endswith(".json.gz") for file in files)
