@@ -231,3 +231,22 @@ def test_scores(spark):
     assert found.rmsle == pytest.approx(0.13924335796818993, abs=1e-15)
     assert found.rmse == pytest.approx(math.sqrt((4 + 100) / 2))
     assert found.r2 == pytest.approx(1 - 104 / (2 * 45**2))
+
+
+def test_experiments_run_side_by_side_as_far_as_the_drivers_heap_goes(spark, monkeypatch):
+    heap = spark._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    pools, given = [], []
+
+    def run(experiment, train, test, save_to, **tuning):
+        given.append(tuning["parallelism"])
+        return None, (experiment.name, "m", "p", 0.0, 0.0, 0.0)
+
+    pool = experiments.ThreadPool
+    monkeypatch.setattr(experiments, "ThreadPool", lambda n: pools.append(n) or pool(n))
+    monkeypatch.setattr(experiments, "run", run)
+    for share in (heap // 2, heap + 1):
+        monkeypatch.setattr(experiments, "EXPERIMENT_HEAP", share)
+        monkeypatch.setattr(experiments, "FIT_HEAP", heap // 13)
+        found = experiments.run_all(spark.range(1), spark.range(1), parallelism=8, at_once=5)
+        assert [row.experiment for row in found.collect()] == [e.name for e in experiments.EXPERIMENTS]
+    assert pools == [2, 1] and given == [2] * 5 + [4] * 5
